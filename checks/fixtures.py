@@ -190,18 +190,6 @@ def derive_order_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def map_ship(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(MAP_SHIP, MAP_SHIP_COLUMNS)
-
-
-def map_pay(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(MAP_PAY, MAP_PAY_COLUMNS)
-
-
-def map_cancel(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(MAP_CANCEL, MAP_CANCEL_COLUMNS)
-
-
 def derive_map_place(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two lists side by side: cities in every row, provinces in the first few."""
     nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
@@ -235,6 +223,24 @@ def order_category(spark: SparkSession, sf_dir: str) -> DataFrame:
                  lambda: write_stage(derive_order_category(spark, sf_dir), "order_category"))
 
 
+def _mapping(spark: SparkSession, name: str, rows: list, columns: list[str]) -> DataFrame:
+    # stored like every mapping, so that the planner knows its size
+    return _once(spark, "", name,
+                 lambda: write_stage(spark.createDataFrame(rows, columns), name))
+
+
+def map_ship(spark: SparkSession) -> DataFrame:
+    return _mapping(spark, "map_ship", MAP_SHIP, MAP_SHIP_COLUMNS)
+
+
+def map_pay(spark: SparkSession) -> DataFrame:
+    return _mapping(spark, "map_pay", MAP_PAY, MAP_PAY_COLUMNS)
+
+
+def map_cancel(spark: SparkSession) -> DataFrame:
+    return _mapping(spark, "map_cancel", MAP_CANCEL, MAP_CANCEL_COLUMNS)
+
+
 def map_place(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _once(spark, sf_dir, "map_place",
                  lambda: write_stage(derive_map_place(spark, sf_dir), "map_place"))
