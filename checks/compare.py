@@ -39,8 +39,8 @@ def _rows(columns: list[str], rows) -> list[tuple]:
     return sorted(plain, key=repr)
 
 
-def difference(spark, con, sf_dir: str, name: str, sql: str) -> str | None:
-    """None when rows, columns and value types agree, else what differs."""
+def difference(spark, con, sf_dir: str, name: str, sql: str) -> str | int:
+    """The number of rows when all columns and values agree, else what differs."""
     df = REGISTRY[name](spark, sf_dir)
     got_columns, got = df.columns, df.collect()
     result = con.execute(sql)
@@ -54,7 +54,7 @@ def difference(spark, con, sf_dir: str, name: str, sql: str) -> str | None:
     for a, b in zip(got_rows, want_rows):
         if a != b or [type(x) for x in a] != [type(x) for x in b]:
             return f"values {a} <> {b}"
-    return None
+    return len(got_rows)
 
 
 def main() -> int:
@@ -69,8 +69,8 @@ def main() -> int:
             found = difference(spark, con, sf_dir, name, sql[name]) if name in sql else "no SQL"
         except Exception as error:  # report and go on with the next query
             found = f"{type(error).__name__}: {str(error)[:300]}"
-        bad += found is not None
-        print(f"{name:32s} {time.time() - start:6.2f}s {found or 'ok'}", flush=True)
+        bad += not isinstance(found, int)
+        print(f"{name:32s} {time.time() - start:6.2f}s {found}", flush=True)
     print(f"{bad} of {len(sys.argv[2:] or REGISTRY)} differ")
     return 1 if bad else 0
 

@@ -430,8 +430,7 @@ def oracle_sql() -> dict[str, str]:
       SELECT DISTINCT 'province', province, province_new FROM map_place WHERE province <> ''"""
     q["snapshot_backup"] = "SELECT * FROM typed_sales"
     q["export_roundtrip"] = (
-        "SELECT COLUMNS(c -> c <> 'order_timestamp')::VARCHAR, "
-        "strftime(order_timestamp, '%Y-%m-%d %H:%M:%S') AS order_timestamp FROM "
+        "SELECT CAST(COLUMNS(*) AS VARCHAR) FROM "
         "(SELECT * REPLACE (coalesce(shipping_category, '') AS shipping_category, "
         "coalesce(shipping_carrier, '') AS shipping_carrier) FROM fact)"
     )
@@ -617,8 +616,9 @@ def oracle_sql() -> dict[str, str]:
       JOIN (SELECT DISTINCT pay_method_new AS pay_method, payment_category FROM map_pay)
         USING (pay_method) GROUP BY 1, 2"""
     stages = [
-        ("raw", "raw_sales"), ("without_duplicates", "unique_raw"), ("with_qty", "with_qty"),
-        ("with_pay_method", "with_pay"), ("repaired", "repaired"), ("clean", "clean"),
+        ("raw", "raw_sales"), ("duplicates", f"({_AUDITS['duplicates']})"), ("without_duplicates", "unique_raw"), ("with_qty", "with_qty"),
+        ("with_pay_method", "with_pay"), ("repaired", "repaired"),
+        ("duplicates_clean", f"({_AUDITS['duplicates_clean']})"), ("clean", "clean"),
         ("flagged", "flagged"), ("with_valid_payment", "valid_payment"), ("final", "final"),
         ("fact", "fact"),
         ("dim_order_category", "order_category WHERE order_id IN (SELECT order_id FROM fact)"),

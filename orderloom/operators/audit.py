@@ -16,7 +16,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType, Tim
 from ..functions import local_now
 from ..plans import fixed_values as fv
 from ..plans.stage_store import write_stage
-from .dedup import duplicate_groups
+from .dedup import first_of_each_group
 
 AUDIT_SCHEMA = StructType(
     [
@@ -72,13 +72,17 @@ def audit_entries(
     return _entries(per_key, df, entry, key, why, F.col("__affected"))
 
 
-def audit_duplicates(df: DataFrame, cols: list[str], key: str = fv.KEY) -> DataFrame:
+def audit_duplicates(
+    df: DataFrame, cols: list[str], key: str = fv.KEY, firsts: DataFrame | None = None
+) -> DataFrame:
     """Log rows for the orders that ``drop_one_per_duplicate_group`` deletes.
 
-    Here ``problematic_rows`` is the size of the group.
+    Here ``problematic_rows`` is the size of the group. ``firsts`` is the
+    result of ``first_of_each_group``, if it is known.
     """
-    groups = duplicate_groups(df, cols, key, rows="__affected")
-    return _entries(groups, df, "duplicates", key, None, F.col("__affected"))
+    if firsts is None:
+        firsts = first_of_each_group(df, cols, key)
+    return _entries(firsts, df, "duplicates", key, None, F.col("group_rows"))
 
 
 # --- appending --------------------------------------------------------------
@@ -117,17 +121,18 @@ def new_entries(batch: DataFrame, log: DataFrame) -> DataFrame:
     return once.select(*batch.columns).unionByName(batch.where(~whole))
 
 
-def number_rows(df: DataFrame, order_by: list[str], start: Column, name: str) -> DataFrame:
-    """Add consecutive numbers ``start + 1`` … in the given order.
+def place_rows(df: DataFrame, order_by: list[str]) -> DataFrame:
+    """A stage table of range-sorted rows with their partition and position."""
+    placed = df.orderBy(*order_by).withColumn("__place", F.monotonically_increasing_id())
+    return write_stage(placed, "placed-rows")
+
+
+def number_rows(placed: DataFrame, start: Column, name: str) -> DataFrame:
+    """Turn the places of :func:`place_rows` into consecutive numbers ``start + 1`` …
 
-    The rows are range-sorted and written down with their partition and
-    position; only the row counts per partition, one number each, are summed
-    up in one place.
+    Only the row counts per partition, one number each, are summed up in one
+    place; the rows stay where they are.
     """
-    placed = write_stage(
-        df.orderBy(*order_by).withColumn("__place", F.monotonically_increasing_id()),
-        "numbered-rows",
-    )
     partition = F.shiftright("__place", 33)
     position = F.col("__place").bitwiseAND(F.lit(2**33 - 1))
     sizes = placed.groupBy(partition.alias("__part")).agg(F.count(F.lit(1)).alias("__size"))
@@ -163,17 +168,20 @@ def append_audit(
     log = read_log(spark, log_path, without_batch=batch_id)
     fresh = new_entries(batch, log)
     start = F.coalesce(log.agg(F.max("log_id").alias("log_id")).scalar(), F.lit(0))
-    numbered = write_stage(
-        number_rows(fresh, order_by, start, "log_id")
+    placed = place_rows(fresh, order_by)
+    if strict and placed.count() != batch.count():
+        raise ValueError("audit entries repeat a key: " + ", ".join(fv.AUDIT_KEY))
+    numbered = (
+        number_rows(placed, start, "log_id")
         .withColumn("logged_at", local_now(fv.LOCAL_ZONE))
-        .select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in AUDIT_SCHEMA.fields]),
-        "audit-batch",
+        .select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in AUDIT_SCHEMA.fields])
     )
-    if strict and numbered.count() != batch.count():
-        raise ValueError("audit entries repeat a key: " + ", ".join(fv.AUDIT_KEY))
-    for path in (log_path, mirror_path):
-        numbered.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
-    return numbered
+    folder = f"{BATCH}={batch_id}"
+    numbered.write.mode("overwrite").parquet(f"{log_path}/{folder}")
+    # the mirror copies what was written, ids and times included
+    written = spark.read.schema(AUDIT_SCHEMA).parquet(f"{log_path}/{folder}")
+    written.write.mode("overwrite").parquet(f"{mirror_path}/{folder}")
+    return written
 
 
 def audit_summary(log: DataFrame) -> DataFrame:

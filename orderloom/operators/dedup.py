@@ -77,10 +77,24 @@ def duplicate_rows(
     return members.select(*df.columns, F.col(_ROWS).alias(rows))
 
 
-def drop_one_per_duplicate_group(df: DataFrame, cols: list[str], key: str) -> DataFrame:
-    """Delete one row, the one with the smallest key, of each duplicate group."""
-    victims = duplicate_groups(df, cols, key).select(key)
-    return without_keys(df, write_stage(victims, "duplicate-victims"), key)
+def first_of_each_group(
+    df: DataFrame, cols: list[str], key: str, rows: str = "group_rows"
+) -> DataFrame:
+    """A stage table of the rows that :func:`drop_one_per_duplicate_group` deletes:
+    the smallest key of each duplicate group and the size of the group."""
+    return write_stage(duplicate_groups(df, cols, key, rows).select(key, rows), "group-firsts")
+
+
+def drop_one_per_duplicate_group(
+    df: DataFrame, cols: list[str], key: str, firsts: DataFrame | None = None
+) -> DataFrame:
+    """Delete one row, the one with the smallest key, of each duplicate group.
+
+    ``firsts`` is the result of :func:`first_of_each_group`, if it is known.
+    """
+    if firsts is None:
+        firsts = first_of_each_group(df, cols, key)
+    return without_keys(df, firsts.select(key), key)
 
 
 def drop_duplicates_keep_first(df: DataFrame, cols: list[str], key: str) -> DataFrame:

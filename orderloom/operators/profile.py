@@ -136,21 +136,26 @@ def numeric_format_profile(
 
 
 def null_blank_profile(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Blank and NULL rows per column, in one pass.
+    """Blank and NULL rows per column, all from one aggregate.
 
     ``value_rows`` counts values, so it is 0 for NULLs; ``table_rows`` counts
     rows. A status without rows is not listed.
     """
-    blank = F.when(is_blank("value"), F.lit("blank"))
-    status = blank.when(F.col("value").isNull(), F.lit("null"))
+    counts = df.agg(
+        *[F.count_if(is_blank(c)).alias(f"{c}/blank") for c in cols],
+        *[F.count_if(F.col(c).isNull()).alias(f"{c}/null") for c in cols],
+    )
+    parts = F.split("what", "/")
+    rows = F.col("table_rows")
+    status = parts.getItem(1)
     return (
-        _stacked(df, cols)
-        .withColumn("status", status)
-        .where(F.col("status").isNotNull())
-        .groupBy("attribute", "status")
-        .agg(
-            F.count("value").alias("value_rows"),
-            F.count(F.lit(1)).alias("table_rows"),
+        counts.unpivot([], counts.columns, "what", "table_rows")
+        .where(rows > 0)
+        .select(
+            parts.getItem(0).alias("attribute"),
+            status.alias("status"),
+            F.when(status == "null", F.lit(0)).otherwise(rows).alias("value_rows"),
+            rows,
         )
     )
 

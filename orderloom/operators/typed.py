@@ -8,6 +8,7 @@ from typing import Callable
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import (
+    any_of,
     is_true,
     matches_glob,
     read_date,
@@ -147,7 +148,8 @@ def constraint_violations(
 ) -> DataFrame:
     """(key, constraint, violations): one row per broken constraint and row,
     and one per repeated key with the number of rows that share it."""
-    broken = df.select(
+    any_broken = any_of([is_true(~c.holds()) for c in constraints])
+    broken = df.where(any_broken).select(
         key,
         F.explode(failed_constraints(constraints)).alias("constraint"),
         F.lit(1).cast("bigint").alias("violations"),

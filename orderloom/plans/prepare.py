@@ -45,10 +45,12 @@ class Stages:
     """The order table after each change, as the next step and the log see it."""
 
     raw: DataFrame
+    duplicates: DataFrame
     without_duplicates: DataFrame
     with_qty: DataFrame
     with_pay_method: DataFrame
     repaired: DataFrame
+    duplicates_clean: DataFrame
     clean: DataFrame
     flagged: DataFrame
     with_valid_payment: DataFrame
@@ -82,7 +84,10 @@ def build_stages(
     """
     key = fv.KEY
     raw = inputs.sales
-    without_duplicates = dedup.drop_one_per_duplicate_group(raw, fv.DUPLICATE_COLUMNS_RAW, key)
+    duplicates = dedup.first_of_each_group(raw, fv.DUPLICATE_COLUMNS_RAW, key)
+    without_duplicates = dedup.drop_one_per_duplicate_group(
+        raw, fv.DUPLICATE_COLUMNS_RAW, key, duplicates
+    )
     with_qty = drop_blank(without_duplicates, "qty")
     unified = unify_value(with_qty, "order_status", fv.RECEIVED_PATTERN, fv.RECEIVED)
     shipped = standardize(
@@ -95,7 +100,10 @@ def build_stages(
     placed = standardize_places(paid_by, inputs.places)
     repaired = write_stage(date_repair(placed, "order_date", "order_timestamp"), "repaired")
 
-    clean = dedup.drop_one_per_duplicate_group(repaired, fv.DUPLICATE_COLUMNS_CLEAN, key)
+    duplicates_clean = dedup.first_of_each_group(repaired, fv.DUPLICATE_COLUMNS_CLEAN, key)
+    clean = dedup.drop_one_per_duplicate_group(
+        repaired, fv.DUPLICATE_COLUMNS_CLEAN, key, duplicates_clean
+    )
     typed = load_typed(clean)
     if constraints is not None:
         typed = (
@@ -109,8 +117,8 @@ def build_stages(
     with_valid_payment = rules.drop_violations(flagged, "invalid_zero_payment")
     final = rules.drop_violations(with_valid_payment, "invalid_ship_disc")
     return Stages(
-        raw, without_duplicates, with_qty, with_pay_method, repaired, clean,
-        flagged, with_valid_payment, final,
+        raw, duplicates, without_duplicates, with_qty, with_pay_method, repaired,
+        duplicates_clean, clean, flagged, with_valid_payment, final,
     )
 
 
@@ -125,7 +133,9 @@ def audit_batches(stages: Stages, unique_key: bool = False) -> dict[str, DataFra
 
     longer = like_ignoring_case("order_status", fv.RECEIVED_PATTERN_AUDIT)
     return {
-        "duplicates": audit.audit_duplicates(stages.raw, fv.DUPLICATE_COLUMNS_RAW),
+        "duplicates": audit.audit_duplicates(
+            stages.raw, fv.DUPLICATE_COLUMNS_RAW, firsts=stages.duplicates
+        ),
         "blank_qty": entries(stages.without_duplicates, "blank_qty", is_blank("qty")),
         "status": entries(stages.with_qty, "status", longer),
         "ship_method": entries(stages.with_qty, "ship_method"),
@@ -136,7 +146,9 @@ def audit_batches(stages: Stages, unique_key: bool = False) -> dict[str, DataFra
         "invalid_date": entries(
             stages.with_pay_method, "invalid_date", read_date("order_date").isNull()
         ),
-        "duplicates_clean": audit.audit_duplicates(stages.repaired, fv.DUPLICATE_COLUMNS_CLEAN),
+        "duplicates_clean": audit.audit_duplicates(
+            stages.repaired, fv.DUPLICATE_COLUMNS_CLEAN, firsts=stages.duplicates_clean
+        ),
         "weight_flag": flagged(stages.flagged, "weight_flag"),
         "zero_payment": entries(
             stages.flagged, "zero_payment", rules.ROW_RULES["invalid_zero_payment"].broken()
