@@ -8,23 +8,42 @@ so each rule is spelled out here once, from built-in expressions only.
 
 from __future__ import annotations
 
+import decimal
 import re
 import string
 
 from pyspark.sql import Column, functions as F
 
-_LEADING_WHOLE_NUMBER = r"^\s*([+-]?\d+)"
+# 25 digits after the leading zeros are more than 64 bits hold and fit a decimal
+_LEADING_WHOLE_NUMBER = r"^\s*([+-]?0*\d{1,25})"
 _DATE_AND_MAYBE_TIME = (
-    r"^\d{4}-\d{2}-\d{2}([ T]\d{2}:\d{2}(:\d{2}(\.\d+)?)?)?\z"
+    r"^\d{4}-\d{2}-\d{2}([ T]([01]\d|2[0-3]):[0-5]\d(:[0-5]\d(\.\d+)?)?)?\z"
 )
-_LONG_MAX = 2**63 - 1
-_LONG_MIN = -(2**63)
+_LONG_MAX = decimal.Decimal(2**63 - 1)
+_LONG_MIN = decimal.Decimal(-(2**63))
 
 
 def as_column(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _read_odd_number(c: Column) -> Column:
+    digits = F.regexp_extract(c, _LEADING_WHOLE_NUMBER, 1).try_cast("decimal(38,0)")
+    known = F.coalesce(digits, F.lit(decimal.Decimal(0)))
+    within = F.least(F.greatest(known, F.lit(_LONG_MIN)), F.lit(_LONG_MAX))
+    return within.cast("bigint")
+
+
+def _read_whole_number(c: Column) -> Column:
+    # Plain numbers, with decimals or not, are done by the first cast. The few
+    # other texts are read in a lambda: spelled out in place for every column,
+    # their code would push the generated method beyond the size that the JVM
+    # compiles, and the whole load would run interpreted.
+    plain = F.substring_index(c, ".", 1).try_cast("bigint")
+    odd = F.get(F.transform(F.array(c), _read_odd_number), F.lit(0))
+    return F.coalesce(plain, odd)
+
+
 def whole_number(c: str | Column) -> Column:
     """Text to bigint by its longest leading whole number.
 
@@ -32,18 +51,15 @@ def whole_number(c: str | Column) -> Column:
     NULL, and a number beyond 64 bits stops at the limit. Never raises.
     """
     c = as_column(c)
-    digits = F.regexp_extract(c, _LEADING_WHOLE_NUMBER, 1)
-    limit = F.when(digits.startswith("-"), F.lit(_LONG_MIN)).otherwise(F.lit(_LONG_MAX))
-    return (
-        F.when(c.isNull(), F.lit(None).cast("bigint"))
-        .when(digits == "", F.lit(0).cast("bigint"))
-        .otherwise(F.coalesce(digits.try_cast("bigint"), limit))
+    return F.when(c == "", F.lit(0).cast("bigint")).when(
+        c.isNotNull(), _read_whole_number(c)
     )
 
 
 def whole_number_or_null(c: str | Column) -> Column:
     """As :func:`whole_number`, but a blank is NULL rather than 0."""
-    return whole_number(F.nullif(as_column(c), F.lit("")))
+    c = as_column(c)
+    return F.when(c != "", _read_whole_number(c))
 
 
 def text_length(c: str | Column) -> Column:
@@ -88,8 +104,8 @@ def matches_glob(c: str | Column, pattern: str) -> Column:
 def read_timestamp(c: str | Column) -> Column:
     """ISO text to a zone-free timestamp in whole seconds, NULL when invalid."""
     c = as_column(c)
-    parsed = F.when(c.rlike(_DATE_AND_MAYBE_TIME), c.try_cast("timestamp_ntz"))
-    return F.date_trunc("second", parsed).cast("timestamp_ntz")
+    to_the_second = F.substring(c, 1, 19)
+    return F.when(c.rlike(_DATE_AND_MAYBE_TIME), to_the_second.try_cast("timestamp_ntz"))
 
 
 def read_date(c: str | Column) -> Column:
@@ -98,9 +114,8 @@ def read_date(c: str | Column) -> Column:
     Only zero-padded dates that exist in the calendar count as valid.
     """
     c = as_column(c)
-    return F.when(
-        c.rlike(_DATE_AND_MAYBE_TIME), c.try_cast("timestamp_ntz").cast("date")
-    )
+    day = F.substring(c, 1, 10)
+    return F.when(c.rlike(_DATE_AND_MAYBE_TIME), day.try_cast("date"))
 
 
 def day_first_to_iso(c: str | Column) -> Column:

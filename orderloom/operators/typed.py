@@ -6,6 +6,7 @@ from dataclasses import dataclass
 from typing import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StringType
 
 from ..functions import (
     any_of,
@@ -26,7 +27,7 @@ READERS: dict[str, Callable[[str], Column]] = {
     "text": F.trim,
     "whole": whole_number_or_null,
     "timestamp": lambda c: read_timestamp(F.trim(c)),
-    "date": lambda c: read_date(F.trim(F.col(c).cast("string"))),
+    "date": lambda c: read_date(F.trim(c)),
 }
 
 # fixed values: the typed table, in column order
@@ -59,7 +60,13 @@ def load_typed(df: DataFrame, columns: dict[str, str] | None = None) -> DataFram
     A blank number is NULL; an unreadable date or timestamp is NULL.
     """
     columns = columns or TYPED_COLUMNS
-    return df.select(*[READERS[kind](name).alias(name) for name, kind in columns.items()])
+
+    def read(name: str, kind: str) -> Column:
+        # a column with a type of its own, such as a repaired date, is kept
+        is_text = isinstance(df.schema[name].dataType, StringType)
+        return READERS[kind](name) if is_text else F.col(name)
+
+    return df.select(*[read(name, kind).alias(name) for name, kind in columns.items()])
 
 
 # --- constraints ------------------------------------------------------------

@@ -199,9 +199,10 @@ def prepare(
     )
     payments = sinks.snapshot(star.dim_payments(inputs.pay_methods), f"{out}/dim_payments")
     log_path, mirror_path = f"{out}/audit_log", f"{out}/backup_audit_log"
+    # entries of one step differ in their order, those of two steps in their texts
     audit.append_audit(
         all_audit_entries(stages, unique_key), log_path, mirror_path,
-        batch_id="prepare", order_by=["step", fv.KEY],
+        batch_id="prepare", order_by=["step", fv.KEY], unique_batch=unique_key,
     )
     if csv:
         sinks.export_csv(fact, f"{out}/csv/fact_sales")
