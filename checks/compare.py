@@ -39,9 +39,8 @@ def _rows(columns: list[str], rows) -> list[tuple]:
     return sorted(plain, key=repr)
 
 
-def difference(spark, con, sf_dir: str, name: str, sql: str) -> str | int:
+def difference(df, con, sql: str) -> str | int:
     """The number of rows when all columns and values agree, else what differs."""
-    df = REGISTRY[name](spark, sf_dir)
     got_columns, got = df.columns, df.collect()
     result = con.execute(sql)
     want_columns = [d[0] for d in result.description]
@@ -66,7 +65,7 @@ def main() -> int:
     for name in sys.argv[2:] or REGISTRY:
         start = time.time()
         try:
-            found = difference(spark, con, sf_dir, name, sql[name]) if name in sql else "no SQL"
+            found = difference(REGISTRY[name](spark, sf_dir), con, sql[name])
         except Exception as error:  # report and go on with the next query
             found = f"{type(error).__name__}: {str(error)[:300]}"
         bad += not isinstance(found, int)

@@ -11,7 +11,7 @@ from __future__ import annotations
 from dataclasses import dataclass, fields
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import is_blank, like_ignoring_case, read_date
 from ..operators import audit, dedup, flags, rules, star
@@ -23,7 +23,7 @@ from ..operators.standardize import (
     unify_value,
 )
 from ..operators.typed import Constraint, enforce, load_typed, quarantine
-from ..sources import sinks
+from ..sources import landing, sinks
 from . import fixed_values as fv
 from .stage_store import write_stage
 
@@ -40,6 +40,44 @@ class Inputs:
     order_categories: DataFrame
 
 
+# fixed values: headers of the mapping files
+MAPPING_COLUMNS = {
+    "ship_methods": ["ship_method", "ship_method_new", "shipping_carrier", "shipping_category"],
+    "pay_methods": ["pay_method", "pay_method_new", "payment_category"],
+    "cancel_reasons": ["cancel_id", "cancel_by", "reason", "cancel_reason"],
+    "places": ["province", "province_new", "city", "city_new"],
+    "order_categories": ["order_id", "product_category"],
+}
+
+
+def read_inputs(
+    spark: SparkSession,
+    sales: str,
+    sales_sep: str = fv.LANDING_SEPARATOR,
+    mapping_sep: str = ",",
+    **mappings: str,
+) -> Inputs:
+    """The inputs from delimited files; ``mappings`` gives a path per mapping.
+
+    The landing text is parsed once and kept as a columnar stage table, since
+    every later step reads only some of its columns. Its own header decides the
+    order of its columns. The order categories, one row per order and category,
+    are as long as the sales and are kept the same way.
+    """
+    missing = set(MAPPING_COLUMNS) ^ set(mappings)
+    if missing:
+        raise ValueError(f"paths missing or unknown: {sorted(missing)}")
+    text = landing.rename_columns(
+        landing.read_landing(spark, sales, sep=sales_sep), fv.LANDING_RENAMES
+    )
+    tables = {
+        name: landing.read_landing(spark, path, MAPPING_COLUMNS[name], mapping_sep)
+        for name, path in mappings.items()
+    }
+    tables["order_categories"] = write_stage(tables["order_categories"], "order-categories")
+    return Inputs(sales=write_stage(text.select(*fv.RAW_COLUMNS), "landed-sales"), **tables)
+
+
 @dataclass(frozen=True)
 class Stages:
     """The order table after each change, as the next step and the log see it."""
