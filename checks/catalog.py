@@ -436,7 +436,9 @@ def audit_mirror_stream(spark, sf_dir):
     return audit.read_log(spark, mirror).drop("logged_at", "log_id")
 
 
-on_stages("audit_summary", lambda s: audit.audit_summary(all_audit_entries(s)))
+on_stages(
+    "audit_summary", lambda s: audit.audit_summary(all_audit_entries(s, unique_key=True))
+)
 
 # --- star schema and the whole run ------------------------------------------
 

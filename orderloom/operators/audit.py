@@ -8,12 +8,13 @@ is repeated after a failure leaves no doubles.
 from __future__ import annotations
 
 import uuid
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampNTZType
 
-from ..functions import local_now
+from ..functions import is_true, local_now
 from ..plans import fixed_values as fv
 from ..plans.stage_store import write_stage
 from .dedup import first_of_each_group
@@ -32,21 +33,32 @@ BATCH = "batch_id"
 # --- entries ----------------------------------------------------------------
 
 
+def _texts(entry: str, reason: Column | None) -> dict[str, Column]:
+    attribute, fixed_reason, solution, source = fv.AUDIT_TEXTS[entry]
+    return {
+        "attribute": F.lit(attribute),
+        "reason": F.lit(fixed_reason) if reason is None else reason,
+        "solution": F.lit(solution),
+        "source_table": F.lit(source),
+    }
+
+
 def _entries(rows: DataFrame, table: DataFrame, entry: str, key: str, reason: Column | None,
              affected: Column) -> DataFrame:
-    attribute, fixed_reason, solution, source = fv.AUDIT_TEXTS[entry]
     total = table.agg(F.count(key).alias("total_rows")).scalar()
     return rows.select(
         F.col(key).alias(fv.KEY),
-        F.lit(attribute).alias("attribute"),
-        (F.lit(fixed_reason) if reason is None else reason).alias("reason"),
-        F.lit(solution).alias("solution"),
-        F.lit(source).alias("source_table"),
+        *[text.alias(name) for name, text in _texts(entry, reason).items()],
         total.alias("total_rows"),
         affected.cast("bigint").alias("problematic_rows"),
     )
 
 
+def _affected(key: str) -> Column:
+    """The rows of an order whose key occurs once; a NULL key counts as 0."""
+    return F.when(F.col(key).isNull(), 0).otherwise(1).cast("bigint")
+
+
 def audit_entries(
     df: DataFrame,
     entry: str,
@@ -65,8 +77,7 @@ def audit_entries(
     found = df if where is None else df.where(where)
     why = F.col(reason) if reason else None
     if unique_key:
-        affected = F.when(F.col(key).isNull(), 0).otherwise(1)
-        return _entries(found, df, entry, key, why, affected)
+        return _entries(found, df, entry, key, why, _affected(key))
     first = [F.min(reason).alias(reason)] if reason else []
     per_key = found.groupBy(key).agg(F.count(key).alias("__affected"), *first)
     return _entries(per_key, df, entry, key, why, F.col("__affected"))
@@ -85,6 +96,53 @@ def audit_duplicates(
     return _entries(firsts, df, "duplicates", key, None, F.col("group_rows"))
 
 
+@dataclass(frozen=True)
+class LogStep:
+    """The log entries of one change: of the rows of ``table`` that meet ``where``."""
+
+    step: int
+    entry: str
+    table: str
+    where: Column
+    reason: str | None = None
+
+
+def fused_entries(
+    df: DataFrame, members: dict[str, Column], steps: list[LogStep], key: str = fv.KEY
+) -> DataFrame:
+    """The entries of many changes from one scan for rows and one for totals.
+
+    ``members`` says for each table, all of them row-local selections of
+    ``df``, which rows it has. A key has to occur once in ``df``. The result
+    has the columns of :func:`audit_entries` and ``step``.
+    """
+    has_key = F.col(key).isNotNull()
+    totals = df.agg(
+        F.struct(*[F.count_if(is_true(m) & has_key).alias(t) for t, m in members.items()]).alias(
+            "totals"
+        )
+    ).scalar()
+    found = [
+        F.when(
+            is_true(members[s.table]) & is_true(s.where),
+            F.struct(
+                *[
+                    text.alias(name)
+                    for name, text in _texts(s.entry, F.col(s.reason) if s.reason else None).items()
+                ],
+                totals.getField(s.table).alias("total_rows"),
+                F.lit(s.step).alias("step"),
+            ),
+        )
+        for s in steps
+    ]
+    one = F.explode(F.array_compact(F.array(*found))).alias("e")
+    return df.select(F.col(key).alias(fv.KEY), one).select(
+        fv.KEY, "e.attribute", "e.reason", "e.solution", "e.source_table", "e.total_rows",
+        _affected(fv.KEY).alias("problematic_rows"), "e.step",
+    )
+
+
 # --- appending --------------------------------------------------------------
 
 

@@ -97,10 +97,10 @@ def of_length(col: str, n: int) -> Constraint:
 
 
 def written_as(col: str, glob: str, reader: Callable[[Column], Column]) -> Constraint:
-    """Text of a given shape that can also be read; typed columns are formatted first."""
+    """Text of a given shape that can also be read."""
 
     def holds() -> Column:
-        text = F.col(col).cast("string")
+        text = F.col(col)
         return matches_glob(text, glob) & F.when(
             text.isNotNull(), reader(text).isNotNull()
         )
@@ -108,22 +108,27 @@ def written_as(col: str, glob: str, reader: Callable[[Column], Column]) -> Const
     return Constraint(f"{col} readable", holds)
 
 
-def sales_constraints() -> list[Constraint]:
-    """The constraints of the typed order table."""
+def sales_constraints(text_dates: bool = False) -> list[Constraint]:
+    """The constraints of the typed order table.
+
+    Dates and timestamps that are still text (``text_dates``) have to be
+    well-formed and readable; with types of their own they always are.
+    """
     whole_positive = ["qty", "weight_gr", "category_count"]
     whole_from_zero = ["returned_qty", "discount", "ship_fee", "ship_disc", "payment", "ship_est"]
     required = [
         c for c in TYPED_COLUMNS if c not in ("order_timestamp", "order_date_clean")
     ]
+    readable = [
+        written_as("order_timestamp", fv.TIMESTAMP_GLOB, read_timestamp),
+        written_as("order_date_clean", fv.DATE_GLOB, read_date),
+    ]
     return (
         [not_null(c) for c in required]
         + [of_length(fv.KEY, fv.KEY_LENGTH)]
         + [positive(c) for c in whole_positive]
         + [not_negative(c) for c in whole_from_zero]
-        + [
-            written_as("order_timestamp", fv.TIMESTAMP_GLOB, read_timestamp),
-            written_as("order_date_clean", fv.DATE_GLOB, read_date),
-        ]
+        + (readable if text_dates else [])
     )
 
 

@@ -85,6 +85,11 @@ def join_counted_groups(
     return joined.drop(_SLOT, *["__g_" + n for n in [*on, _SLOT]])
 
 
+def is_short(keys: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> bool:
+    """Whether a stage table may be broadcast; its rows are counted from file footers."""
+    return keys.count() <= broadcast_rows
+
+
 def without_keys(
     df: DataFrame, keys: DataFrame, key: str, broadcast_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
@@ -93,5 +98,5 @@ def without_keys(
     The list is broadcast only when it is short; a long one is joined by a
     shuffle on the key. A NULL key matches nothing and stays.
     """
-    short = keys.count() <= broadcast_rows
+    short = is_short(keys, broadcast_rows)
     return df.join(F.broadcast(keys) if short else keys, key, "left_anti")

@@ -11,9 +11,9 @@ from __future__ import annotations
 from dataclasses import dataclass, fields
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..functions import is_blank, like_ignoring_case, read_date
+from ..functions import is_blank, is_true, like_ignoring_case, read_date
 from ..operators import audit, dedup, flags, rules, star
 from ..operators.standardize import (
     date_repair,
@@ -25,6 +25,7 @@ from ..operators.standardize import (
 from ..operators.typed import Constraint, enforce, load_typed, quarantine
 from ..sources import landing, sinks
 from . import fixed_values as fv
+from .group_joins import is_short
 from .stage_store import write_stage
 
 
@@ -126,6 +127,9 @@ def build_stages(
     without_duplicates = dedup.drop_one_per_duplicate_group(
         raw, fv.DUPLICATE_COLUMNS_RAW, key, duplicates
     )
+    if not is_short(duplicates):
+        # a long list is removed by a shuffle; the steps below should not repeat it
+        without_duplicates = write_stage(without_duplicates, "without-duplicates")
     with_qty = drop_blank(without_duplicates, "qty")
     unified = unify_value(with_qty, "order_status", fv.RECEIVED_PATTERN, fv.RECEIVED)
     shipped = standardize(
@@ -160,50 +164,95 @@ def build_stages(
     )
 
 
-def audit_batches(stages: Stages, unique_key: bool = False) -> dict[str, DataFrame]:
-    """The log entries of every change, each from the table just before it."""
+def _members() -> dict[str, dict[str, Column]]:
+    """Per table that is read, the tables that are row-local selections of it."""
+    everything = F.lit(True)
+    with_qty = ~is_blank("qty")
+    paid = ~is_true(rules.ROW_RULES["invalid_zero_payment"].broken())
+    shipped = ~is_true(rules.ROW_RULES["invalid_ship_disc"].broken())
+    return {
+        "without_duplicates": {
+            "without_duplicates": everything,
+            "with_qty": with_qty,
+            "with_pay_method": with_qty & ~is_blank("pay_method"),
+        },
+        "flagged": {
+            "flagged": everything,
+            "with_valid_payment": paid,
+            "final": paid & shipped,
+        },
+    }
 
-    def entries(df, entry, where=None, reason=None):
-        return audit.audit_entries(df, entry, where, reason, unique_key=unique_key)
 
-    def flagged(df, flag):
-        return entries(df, flag, F.col(flag) != "Normal", reason=flag)
+def log_steps() -> list[audit.LogStep]:
+    """Every change that is logged row by row, with the table just before it.
 
+    Steps 0 and 9 are the two duplicate passes.
+    """
+    everything = F.lit(True)
     longer = like_ignoring_case("order_status", fv.RECEIVED_PATTERN_AUDIT)
+
+    def rule(name: str) -> Column:
+        return rules.ROW_RULES[name].broken()
+
+    def flag(step: int, name: str, table: str) -> audit.LogStep:
+        return audit.LogStep(step, name, table, F.col(name) != "Normal", reason=name)
+
+    return [
+        audit.LogStep(1, "blank_qty", "without_duplicates", is_blank("qty")),
+        audit.LogStep(2, "status", "with_qty", longer),
+        audit.LogStep(3, "ship_method", "with_qty", everything),
+        audit.LogStep(4, "blank_pay", "with_qty", is_blank("pay_method")),
+        audit.LogStep(5, "pay_method", "with_pay_method", everything),
+        audit.LogStep(6, "city", "with_pay_method", everything),
+        audit.LogStep(7, "province", "with_pay_method", everything),
+        audit.LogStep(8, "invalid_date", "with_pay_method", read_date("order_date").isNull()),
+        flag(10, "weight_flag", "flagged"),
+        audit.LogStep(11, "zero_payment", "flagged", rule("invalid_zero_payment")),
+        flag(12, "payment_flag", "with_valid_payment"),
+        audit.LogStep(13, "ship_disc", "with_valid_payment", rule("invalid_ship_disc")),
+        flag(14, "shipping_flag", "final"),
+    ]
+
+
+def _duplicate_entries(stages: Stages) -> dict[int, DataFrame]:
+    passes = {
+        0: (stages.raw, fv.DUPLICATE_COLUMNS_RAW, stages.duplicates),
+        9: (stages.repaired, fv.DUPLICATE_COLUMNS_CLEAN, stages.duplicates_clean),
+    }
     return {
-        "duplicates": audit.audit_duplicates(
-            stages.raw, fv.DUPLICATE_COLUMNS_RAW, firsts=stages.duplicates
-        ),
-        "blank_qty": entries(stages.without_duplicates, "blank_qty", is_blank("qty")),
-        "status": entries(stages.with_qty, "status", longer),
-        "ship_method": entries(stages.with_qty, "ship_method"),
-        "blank_pay": entries(stages.with_qty, "blank_pay", is_blank("pay_method")),
-        "pay_method": entries(stages.with_pay_method, "pay_method"),
-        "city": entries(stages.with_pay_method, "city"),
-        "province": entries(stages.with_pay_method, "province"),
-        "invalid_date": entries(
-            stages.with_pay_method, "invalid_date", read_date("order_date").isNull()
-        ),
-        "duplicates_clean": audit.audit_duplicates(
-            stages.repaired, fv.DUPLICATE_COLUMNS_CLEAN, firsts=stages.duplicates_clean
-        ),
-        "weight_flag": flagged(stages.flagged, "weight_flag"),
-        "zero_payment": entries(
-            stages.flagged, "zero_payment", rules.ROW_RULES["invalid_zero_payment"].broken()
-        ),
-        "payment_flag": flagged(stages.with_valid_payment, "payment_flag"),
-        "ship_disc": entries(
-            stages.with_valid_payment, "ship_disc", rules.ROW_RULES["invalid_ship_disc"].broken()
-        ),
-        "shipping_flag": flagged(stages.final, "shipping_flag"),
+        step: audit.audit_duplicates(table, cols, firsts=firsts)
+        for step, (table, cols, firsts) in passes.items()
     }
 
 
+def audit_batches(stages: Stages, unique_key: bool = False) -> dict[str, DataFrame]:
+    """The log entries of every change, each as a table of its own."""
+    passes = _duplicate_entries(stages)
+    batches = {"duplicates": passes[0], "duplicates_clean": passes[9]}
+    for s in log_steps():
+        batches[s.entry] = audit.audit_entries(
+            getattr(stages, s.table), s.entry, s.where, s.reason, unique_key=unique_key
+        )
+    return batches
+
+
 def all_audit_entries(stages: Stages, unique_key: bool = False) -> DataFrame:
-    """One table of all log entries with ``step``, the place of their change."""
-    batches = audit_batches(stages, unique_key)
-    numbered = [df.withColumn("step", F.lit(i)) for i, df in enumerate(batches.values())]
-    return reduce(DataFrame.unionByName, numbered)
+    """One table of all log entries with ``step``, the place of their change.
+
+    With ``unique_key`` the entries of all changes come from two scans; keys
+    that repeat have to be grouped change by change.
+    """
+    parts = [df.withColumn("step", F.lit(i)) for i, df in _duplicate_entries(stages).items()]
+    steps = log_steps()
+    if unique_key:
+        for base, members in _members().items():
+            own = [s for s in steps if s.table in members]
+            parts.append(audit.fused_entries(getattr(stages, base), members, own))
+    else:
+        batches = audit_batches(stages)
+        parts += [batches[s.entry].withColumn("step", F.lit(s.step)) for s in steps]
+    return reduce(DataFrame.unionByName, parts)
 
 
 @dataclass(frozen=True)

@@ -7,7 +7,7 @@ from checks import fixtures as fx
 from orderloom.operators import audit, dedup, profile, rules, star
 from orderloom.operators.typed import sales_constraints
 from orderloom.plans import fixed_values as fv
-from orderloom.plans.prepare import audit_batches, prepare, read_inputs, stage_counts
+from orderloom.plans.prepare import all_audit_entries, audit_batches, prepare, read_inputs, stage_counts
 from orderloom.plans.stage_store import new_stage_path
 from orderloom.sources import landing, sinks
 from orderloom.streaming.audit_stream import mirror_stream
@@ -111,6 +111,14 @@ def test_constraints_filter_or_stop(inputs, spark):
         prepare(broken, new_stage_path(spark, "stop"), constraints=sales_constraints(), strict=True)
 
 
+def test_fused_and_separate_entries_agree(done):
+    fused = all_audit_entries(done.stages, unique_key=True)
+    separate = all_audit_entries(done.stages, unique_key=False)
+    assert rows(fused.select(*separate.columns)) == rows(separate)
+    plan = fused._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate explode") == 2
+
+
 def test_repeated_order_ids_are_grouped(spark, inputs):
     double = inputs.sales.unionByName(inputs.sales.where("order_id = 'ORD_0000005'").withColumn("city", F.lit("x")))
     done = prepare(type(inputs)(**{**inputs.__dict__, "sales": double}), new_stage_path(spark, "double"))
