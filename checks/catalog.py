@@ -126,7 +126,7 @@ on_raw(
     "numeric_format_profile_plain",
     lambda df: profile.numeric_format_profile(df, fv.NUMERIC_TEXT_COLUMNS),
 )
-on_raw("null_blank_profile", lambda df: profile.blank_values(df, "qty"))
+on_raw("null_blank_profile", lambda df: profile.null_blank_profile(df, ["qty"]))
 on_raw(
     "null_blank_profile_all",
     lambda df: profile.null_blank_profile(df, fv.NUMERIC_TEXT_COLUMNS + fv.CATEGORY_TEXT_COLUMNS),
@@ -340,12 +340,22 @@ on_typed("future_dates", lambda df: df.where(rules.future(F.lit(AS_OF).cast("tim
 on_typed(
     "rule_incomplete_rows", lambda df: df.where(rules.incomplete(df, COMPLETE_COLUMNS))
 )
-on_typed(
-    "validation_report",
-    lambda df: rules.validate(
-        df, complete=COMPLETE_COLUMNS, as_of=F.lit(AS_OF).cast("timestamp_ntz")
-    ),
-)
+
+
+@query
+def validation_report(spark, sf_dir):
+    """All row rules and all domain checks from one scan."""
+    return rules.validate(
+        fx.typed_sales(spark, sf_dir),
+        complete=COMPLETE_COLUMNS,
+        as_of=F.lit(AS_OF).cast("timestamp_ntz"),
+        domains={
+            "ship_method": (fx.map_ship(spark), "ship_method_new"),
+            "pay_method": (fx.map_pay(spark), "pay_method_new"),
+            "city": (fx.map_place(spark, sf_dir), "city_new"),
+            "province": (fx.map_place(spark, sf_dir), "province_new"),
+        },
+    )
 
 
 def _domain(name, col, mapping, canonical):

@@ -452,8 +452,7 @@ def oracle_sql() -> dict[str, str]:
       GROUP BY order_id HAVING count(order_id) > 1 OR order_id IS NULL"""
     q["numeric_format_profile_qty"] = _numeric_profile(["qty"], strip=True)
     q["numeric_format_profile_plain"] = _numeric_profile(fv.NUMERIC_TEXT_COLUMNS, strip=False)
-    q["null_blank_profile"] = """SELECT qty, count(qty) AS value_rows FROM raw_sales
-      WHERE qty IS NULL OR qty = '' GROUP BY qty"""
+    q["null_blank_profile"] = _null_blank(["qty"])
     q["null_blank_profile_all"] = _null_blank(fv.NUMERIC_TEXT_COLUMNS + fv.CATEGORY_TEXT_COLUMNS)
     q["blank_categories"] = """SELECT product_categories, count(product_categories) AS value_rows
       FROM raw_sales WHERE coalesce(product_categories, '') = '' GROUP BY product_categories"""
@@ -562,7 +561,18 @@ def oracle_sql() -> dict[str, str]:
     q["rule_incomplete_rows"] = _rule("incomplete_rows", "*")
     q["validation_report"] = " UNION ALL ".join(
         f"SELECT '{name}' AS rule, count(*) AS violations FROM typed_sales WHERE {broken}"
-        for name, broken in _RULES.items()
+        for name, broken in [
+            *_RULES.items(),
+            *[
+                (f"domain_{c}", f"{c} NOT IN (SELECT {new} FROM {mapping} WHERE {new} <> '')")
+                for c, mapping, new in [
+                    ("ship_method", "map_ship", "ship_method_new"),
+                    ("pay_method", "map_pay", "pay_method_new"),
+                    ("city", "map_place", "city_new"),
+                    ("province", "map_place", "province_new"),
+                ]
+            ],
+        ]
     )
     q["domain_ship_method"] = _domain("ship_method", "map_ship", "ship_method_new")
     q["domain_pay_method"] = _domain("pay_method", "map_pay", "pay_method_new")

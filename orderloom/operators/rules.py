@@ -14,7 +14,7 @@ from pyspark.sql.types import StringType
 
 from ..functions import any_of, is_true, like_ignoring_case, local_now, rounded
 from ..plans import fixed_values as fv
-from .standardize import drop_where, not_in_domain
+from .standardize import domain_members, drop_where, not_in_domain
 
 col = F.col
 
@@ -220,11 +220,21 @@ def validate(
     rules: list[RowRule] | None = None,
     complete: list[str] | None = None,
     as_of: Column | None = None,
+    domains: dict[str, tuple[DataFrame, str]] | None = None,
 ) -> DataFrame:
-    """(rule, violations) of all row rules from a single scan of ``df``."""
+    """(rule, violations) of all row rules from a single scan of ``df``.
+
+    ``domains`` adds domain checks, ``{column: (domain table, its column)}``;
+    the members are looked up in the same pass.
+    """
     broken = {r.name: r.broken() for r in (rules or list(ROW_RULES.values()))}
     broken["future_dates"] = future(as_of)
     broken["incomplete_rows"] = incomplete(df, complete or df.columns)
+    for name, (domain, domain_col) in (domains or {}).items():
+        member, found = f"__{name}_member", f"__{name}_found"
+        members = domain_members(domain, domain_col, member).withColumn(found, F.lit(True))
+        df = df.join(members, col(name) == col(member), "left")
+        broken[f"domain_{name}"] = col(name).isNotNull() & col(found).isNull()
     counts = df.agg(*[F.count_if(is_true(c)).alias(name) for name, c in broken.items()])
     return counts.unpivot([], list(broken), "rule", "violations")
 

@@ -86,17 +86,22 @@ def date_repair(
     return df.withColumn(clean_col, repaired)
 
 
+def domain_members(domain: DataFrame, domain_col: str, name: str) -> DataFrame:
+    """The distinct values of a domain without NULLs and blanks, as column ``name``."""
+    return (
+        domain.where(F.col(domain_col).isNotNull() & ~is_blank(domain_col))
+        .select(F.col(domain_col).alias(name))
+        .distinct()
+    )
+
+
 def not_in_domain(df: DataFrame, col: str, domain: DataFrame, domain_col: str) -> DataFrame:
     """Rows whose value is not in the domain.
 
     A NULL value is unknown and not reported; NULLs and blanks in the domain
     are no members of it.
     """
-    members = (
-        domain.where(F.col(domain_col).isNotNull() & ~is_blank(domain_col))
-        .select(F.col(domain_col).alias(_KEY))
-        .distinct()
-    )
+    members = domain_members(domain, domain_col, _KEY)
     return df.where(F.col(col).isNotNull()).join(
         members, F.col(col) == F.col(_KEY), "left_anti"
     )

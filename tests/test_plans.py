@@ -68,10 +68,16 @@ def test_tiles_rank_distinct_values_only(spark):
 
 def test_fused_reports_scan_once(spark, sf_dir):
     for name in ("null_blank_profile_all", "numeric_format_profile_plain", "trim_profile",
-                 "validation_report", "date_reconcile"):
+                 "date_reconcile"):
         assert plan(REGISTRY[name](spark, sf_dir)).count("FileScan") == 1
 
 
+def test_validation_reads_the_table_once(spark, sf_dir):
+    text = plan(REGISTRY["validation_report"](spark, sf_dir))
+    assert text.count("typed_sales-") == 1
+    assert text.count("BroadcastHashJoin") == 4
+
+
 def test_library_fetches_no_tables():
     """No collect, pandas or RDD in library code; ``first`` only on one-row totals."""
     banned = {"collect", "toPandas", "toLocalIterator", "rdd", "localCheckpoint", "crossJoin",

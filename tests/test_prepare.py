@@ -7,7 +7,7 @@ from checks import fixtures as fx
 from orderloom.operators import audit, dedup, profile, rules, star
 from orderloom.operators.typed import sales_constraints
 from orderloom.plans import fixed_values as fv
-from orderloom.plans.prepare import all_audit_entries, audit_batches, prepare, read_inputs, stage_counts
+from orderloom.plans.prepare import MAPPING_COLUMNS, all_audit_entries, audit_batches, prepare, read_inputs, stage_counts
 from orderloom.plans.stage_store import new_stage_path
 from orderloom.sources import landing, sinks
 from orderloom.streaming.audit_stream import mirror_stream
@@ -158,3 +158,19 @@ def test_stream_takes_up_where_it_stopped(spark, done):
     # a stream that lost its offsets replays its batches over their own folders
     mirror_stream(stream(), log, mirror, f"{base}/new-offsets").awaitTermination()
     assert rows(audit.read_log(spark, log).select(*columns)) == expected
+
+
+def test_command_line(spark, inputs, capsys):
+    from orderloom.__main__ import main
+
+    base = new_stage_path(spark, "command")
+    headers = {new: old for old, new in fv.LANDING_RENAMES.items()}
+    sinks.export_csv(landing.rename_columns(inputs.sales, headers), f"{base}/sales", sep=";")
+    arguments = ["--sales", f"{base}/sales", "--out", f"{base}/out", "--csv"]
+    for name in MAPPING_COLUMNS:
+        sinks.export_csv(getattr(inputs, name), f"{base}/{name}")
+        arguments += ["--" + name.replace("_", "-"), f"{base}/{name}"]
+    main(arguments)
+    shown = capsys.readouterr().out
+    assert "without_duplicates" in shown and "Delete invalid zero payment" in shown
+    assert spark.read.parquet(f"{base}/out/fact_sales").count() > 0
