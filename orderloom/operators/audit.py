@@ -16,6 +16,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType, Tim
 
 from ..functions import is_true, local_now
 from ..plans import fixed_values as fv
+from ..plans.group_joins import join_counted_groups
 from ..plans.stage_store import write_stage
 from .dedup import first_of_each_group
 
@@ -160,28 +161,44 @@ def read_log(spark: SparkSession, path: str, without_batch: str | None = None) -
     return log.drop(BATCH)
 
 
-def new_entries(batch: DataFrame, log: DataFrame, unique_batch: bool = False) -> DataFrame:
-    """Rows of the batch whose audit key is neither in the log nor repeated.
+def _once(batch: DataFrame) -> DataFrame:
+    """One row per audit key; as in a UNIQUE constraint, a NULL in it equals nothing.
 
-    As in a UNIQUE constraint, a key with a NULL in it equals no other. With
-    ``unique_batch`` the caller vouches that the batch repeats no key.
+    Repeats are rare, so only 8-byte hashes of the keys are shuffled to find
+    the rows that may be some; all others pass through.
     """
-    if unique_batch:
-        return batch.join(log.select(*fv.AUDIT_KEY), fv.AUDIT_KEY, "left_anti").select(
-            *batch.columns
-        )
     whole = F.lit(True)
     for name in fv.AUDIT_KEY:
         whole = whole & F.col(name).isNotNull()
     others = [c for c in batch.columns if c not in fv.AUDIT_KEY]
-    once = (
-        batch.where(whole)
+    hashed = batch.withColumn("__hash", F.when(whole, F.xxhash64(*fv.AUDIT_KEY)))
+    repeated = write_stage(
+        hashed.where(F.col("__hash").isNotNull())
+        .groupBy("__hash")
+        .agg(F.count(F.lit(1)).alias("__rows"))
+        .where(F.col("__rows") > 1),
+        "repeated-entries",
+    )
+    if repeated.count() == 0:
+        return batch
+    marked = join_counted_groups(hashed, repeated, ["__hash"], "__rows", others, how="left")
+    single = marked.where(F.col("__rows").isNull()).select(*batch.columns)
+    first = (
+        marked.where(F.col("__rows").isNotNull())
         .groupBy(*fv.AUDIT_KEY)
         .agg(F.min(F.struct(*others)).alias("__row"))
         .select(*fv.AUDIT_KEY, *[F.col(f"__row.{c}").alias(c) for c in others])
-        .join(log.select(*fv.AUDIT_KEY), fv.AUDIT_KEY, "left_anti")
     )
-    return once.select(*batch.columns).unionByName(batch.where(~whole))
+    return single.unionByName(first)
+
+
+def new_entries(batch: DataFrame, log: DataFrame, unique_batch: bool = False) -> DataFrame:
+    """Rows of the batch whose audit key is neither in the log nor repeated.
+
+    With ``unique_batch`` the caller vouches that the batch repeats no key.
+    """
+    once = batch if unique_batch else _once(batch)
+    return once.join(log.select(*fv.AUDIT_KEY), fv.AUDIT_KEY, "left_anti").select(*batch.columns)
 
 
 def place_rows(df: DataFrame, order_by: list[str]) -> DataFrame:
