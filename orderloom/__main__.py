@@ -19,6 +19,8 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--out", required=True, help="folder of the results")
     parser.add_argument("--sales-sep", default=";")
     parser.add_argument("--mapping-sep", default=",")
+    parser.add_argument("--run", default="prepare", help="name of this run's batch in the log")
+    parser.add_argument("--backup", action="store_true", help="keep a copy of the typed table")
     parser.add_argument("--csv", action="store_true", help="export the results as CSV too")
     parser.add_argument(
         "--constraints", choices=["off", "quarantine", "abort"], default="quarantine",
@@ -37,6 +39,8 @@ def main(arguments: list[str] | None = None) -> None:
         constraints=None if given.constraints == "off" else sales_constraints(),
         strict=given.constraints == "abort",
         csv=given.csv,
+        backup=given.backup,
+        run=given.run,
     )
     stage_counts(done.stages).show(truncate=False)
     audit_summary(done.audit_log).show(truncate=False)

@@ -22,7 +22,7 @@ from ..operators.standardize import (
     standardize,
     unify_value,
 )
-from ..operators.typed import Constraint, enforce, load_typed, quarantine
+from ..operators.typed import TYPED_COLUMNS, Constraint, enforce, load_typed, quarantine
 from ..sources import landing, sinks
 from . import fixed_values as fv
 from .group_joins import is_short
@@ -272,10 +272,15 @@ def prepare(
     constraints: list[Constraint] | None = None,
     strict: bool = False,
     csv: bool = False,
+    backup: bool = False,
+    run: str = "prepare",
 ) -> Prepared:
     """Run everything and store fact, dimensions and audit log under ``out``.
 
-    Running it again replaces the tables and leaves no doubles in the log.
+    Running it again replaces the tables. The log grows by one batch per
+    ``run``; repeating a run replaces its batch, and entries that an earlier
+    run has logged are skipped. ``backup`` keeps a copy of the typed table as
+    it was before any row was deleted from it.
     """
     stages = build_stages(inputs, constraints, strict)
     repeated = stages.raw.groupBy(fv.KEY).count().where("count > 1 or order_id is null")
@@ -289,8 +294,10 @@ def prepare(
     # entries of one step differ in their order, those of two steps in their texts
     audit.append_audit(
         all_audit_entries(stages, unique_key), log_path, mirror_path,
-        batch_id="prepare", order_by=["step", fv.KEY], unique_batch=unique_key,
+        batch_id=run, order_by=["step", fv.KEY], unique_batch=unique_key,
     )
+    if backup:
+        sinks.snapshot(stages.flagged.select(*TYPED_COLUMNS), f"{out}/backup_sales")
     if csv:
         sinks.export_csv(fact, f"{out}/csv/fact_sales")
         sinks.export_csv(categories, f"{out}/csv/dim_order_category")

@@ -1,7 +1,10 @@
 """What the physical plans must and must not contain."""
 
 import ast
+import contextlib
+import io
 import pathlib
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -37,6 +40,20 @@ def test_lookups_broadcast_the_mapping_and_leave_the_rows_in_place(spark, sf_dir
     assert text.count("Exchange hashpartitioning") == 6
 
 
+def test_typed_load_is_compiled(spark, sf_dir):
+    """No generated method exceeds the 8000 bytes above which the JVM interprets."""
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    text = io.StringIO()
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        with contextlib.redirect_stdout(text):
+            fx.derive_typed_sales(spark, sf_dir).explain("codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text.getvalue())]
+    assert sizes and max(sizes) < 8000
+
+
 def test_lookups_beyond_the_broadcast_size_are_shuffled(spark, sf_dir):
     limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     try:

@@ -100,6 +100,23 @@ def test_running_again_changes_nothing(inputs, out, done):
     assert (rows(again.fact), rows(again.audit_log.drop("logged_at"))) == before
 
 
+def test_another_run_adds_only_what_is_new(spark, inputs):
+    base = new_stage_path(spark, "runs")
+    some = F.substring("order_id", 11, 1) < "5"
+    part = type(inputs)(**{**inputs.__dict__, "sales": inputs.sales.where(some)})
+    first = prepare(part, base, run="monday", backup=True)
+    assert spark.read.parquet(f"{base}/backup_sales").count() == first.stages.flagged.count()
+    before = rows(first.audit_log)
+    whole = prepare(inputs, base, run="tuesday")
+    log = whole.audit_log
+    assert set(before) <= set(rows(log))
+    assert log.select("log_id").distinct().count() == log.count()
+    assert log.select(*fv.AUDIT_KEY).distinct().count() == log.count()
+    assert {r.order_id for r in log.where("attribute = 'city'").collect()} == {
+        r.order_id for r in whole.stages.with_pay_method.select("order_id").collect()
+    }
+
+
 def test_constraints_filter_or_stop(inputs, spark):
     kept = prepare(inputs, new_stage_path(spark, "kept"), constraints=sales_constraints())
     assert kept.fact.count() == kept.stages.final.count() > 0
