@@ -192,17 +192,7 @@ class WordBpe:
 
     def __init__(self, description: str):
         d = json.loads(description)
-        kinds = [n["type"] for n in d["normalizer"]["normalizers"]]
-        cut, level = d["pre_tokenizer"]["pretokenizers"]
-        model = d["model"]
-        if (
-            kinds != ["NFC", "Replace", "Lowercase"]
-            or (cut["type"], cut["behavior"], cut["invert"]) != ("Split", "Removed", True)
-            or (level["type"], level["add_prefix_space"], level["use_regex"]) != ("ByteLevel", False, False)
-            or (model["type"], model["unk_token"], d["decoder"]) != ("BPE", None, None)
-            or any(t["normalized"] or t["lstrip"] or t["rstrip"] or t["single_word"] for t in d["added_tokens"])
-        ):
-            raise ValueError("the tokenizer file has steps that this encoder does not know")
+        cut, model = self.steps(d)
         vocab = model["vocab"]
         pairs = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
         self.merges = MergeList(vocab, pairs)
@@ -226,15 +216,35 @@ class WordBpe:
         ]
         self._words = _Words(self)
 
-    def encode_word(self, word: str) -> Iterator[int]:
-        """Tokens of a run of characters without white space."""
+    @staticmethod
+    def steps(d: dict) -> tuple[dict, dict]:
+        """The cutting step and the model, if the file's steps are the known ones."""
+        kinds = [n["type"] for n in d["normalizer"]["normalizers"]]
+        cut, level = d["pre_tokenizer"]["pretokenizers"]
+        model = d["model"]
+        if (
+            kinds != ["NFC", "Replace", "Lowercase"]
+            or (cut["type"], cut["behavior"], cut["invert"]) != ("Split", "Removed", True)
+            or (level["type"], level["add_prefix_space"], level["use_regex"]) != ("ByteLevel", False, False)
+            or (model["type"], model["unk_token"], d["decoder"]) != ("BPE", None, None)
+            or any(t["normalized"] or t["lstrip"] or t["rstrip"] or t["single_word"] for t in d["added_tokens"])
+        ):
+            raise ValueError("the tokenizer file has steps that this encoder does not know")
+        return cut, model
+
+    def pieces(self, word: str) -> list[str]:
+        """The parts of a run of characters without white space, in normal form."""
         if not word.isascii():
             word = unicodedata.normalize("NFC", word)
             # letter by letter: str.lower() alone has a rule for sigma at word ends
             word = word.replace("Σ", "σ")
         word = word.lower()
+        return [word] if word.isalpha() else self._pattern.findall(word)
+
+    def encode_word(self, word: str) -> Iterator[int]:
+        """Tokens of a run of characters without white space."""
         inner, last = self._inner, self._last
-        for text in (word,) if word.isalpha() else self._pattern.findall(word):
+        for text in self.pieces(word):
             piece = text.encode()
             if len(piece) <= 2 * WORD_CHARS:
                 yield from self.merges.merge([*map(inner.__getitem__, piece[:-1]), last[piece[-1]]])

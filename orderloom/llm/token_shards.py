@@ -28,8 +28,10 @@ import bisect
 import hashlib
 import json
 import os
+import sys
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,14 +41,16 @@ import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from orderloom.llm.bpe_stream import WordBpe, byte_symbols
 from orderloom.llm.common import ship_package
 from orderloom.plans.stage_store import new_stage_path
 
 MARK = b"IDSHARD1"
 #: Bits of a level's array per key that it gets.
 ROOM = 2
-#: Entries of the table of encoded runs, which is emptied when it is full.
-REMEMBERED = 300_000
+#: Entries of the tables of encoded runs and of their parts, each emptied when it is full.
+REMEMBERED = 1_000_000
+REMEMBERED_PARTS = 300_000
 #: Texts that are encoded and written in one step.
 STEP = 256
 
@@ -56,8 +60,8 @@ _SEPARATORS = regex.compile("[\x1c-\x1f]")
 class LibraryEncoder:
     """Ids as bytes by the tokenizers library.
 
-    Where the file drops white space, the runs between it are encoded apart and
-    remembered; other files encode whole texts.
+    Where the file drops white space, the runs between it are encoded apart by the
+    library's model and remembered; with other files the library gets whole texts.
     """
 
     def __init__(self, description: str):
@@ -69,8 +73,10 @@ class LibraryEncoder:
         self.library.no_padding()
         self.width = 2 if self.library.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
         self._kind = f"<u{self.width}"
-        self._apart = _white_space_dropped(json.loads(description))
-        self._runs: dict[str, bytes] = {}
+        d = json.loads(description)
+        self._apart = _white_space_dropped(d)
+        if self._apart:
+            self._runs = _Runs(self, description)
 
     def pack(self, ids: list[int]) -> bytes:
         return np.array(ids, self._kind).tobytes()
@@ -80,36 +86,65 @@ class LibraryEncoder:
         if not self._apart:
             found = self.library.encode_batch_fast(texts, add_special_tokens=False)
             return [self.pack(e.ids) for e in found]
-        out = []
-        for text in texts:
-            if _SEPARATORS.search(text):  # split() would cut at these, the file does not
-                out.append(self.pack(self.library.encode(text, add_special_tokens=False).ids))
-                continue
-            runs = text.split()
-            new = [r for r in set(runs) if r not in self._runs]
-            if new:
-                if len(self._runs) + len(new) > REMEMBERED:
-                    self._runs.clear()
-                    new = list(set(runs))
-                found = self.library.encode_batch_fast(new, add_special_tokens=False)
-                self._runs.update((r, self.pack(e.ids)) for r, e in zip(new, found, strict=True))
-            out.append(b"".join(map(self._runs.__getitem__, runs)))
-        return out
+        known = self._runs.__getitem__
+        # split() would cut at separators, the file does not: such texts are encoded whole
+        return [
+            self.pack(self.library.encode(t, add_special_tokens=False).ids)
+            if _SEPARATORS.search(t)
+            else b"".join(map(known, t.split()))
+            for t in texts
+        ]
+
+
+class _Runs(dict):
+    """Ids of runs of characters without white space, as bytes; emptied when full.
+
+    A run's parts in normal form go to the library's BPE model."""
+
+    def __init__(self, encoder: LibraryEncoder, description: str):
+        self._encoder = encoder
+        self._steps = WordBpe(description)
+        self._added = tuple(self._steps.added)
+        self._parts = _Parts(encoder.library.model, encoder.width)
+
+    def __missing__(self, run: str) -> bytes:
+        if any(t in run for t in self._added):
+            found = self._encoder.pack(self._encoder.library.encode(run, add_special_tokens=False).ids)
+        else:
+            parts = self._steps.pieces(run)
+            found = self._parts[parts[0]] if len(parts) == 1 else b"".join(map(self._parts.__getitem__, parts))
+        if len(self) >= REMEMBERED:
+            self.clear()
+        self[run] = found
+        return found
+
+
+class _Parts(dict):
+    """Ids of parts of runs, as bytes; emptied when full."""
+
+    def __init__(self, model, width: int):
+        self._model, self._kind, self._bytes = model, "H" if width == 2 else "I", byte_symbols()
+
+    def __missing__(self, part: str) -> bytes:
+        seen = part
+        if not (part.isascii() and part.isprintable()):
+            seen = "".join(map(self._bytes.__getitem__, part.encode()))
+        ids = array(self._kind, [t.id for t in self._model.tokenize(seen)])
+        if sys.byteorder == "big":
+            ids.byteswap()
+        if len(self) >= REMEMBERED_PARTS:
+            self.clear()
+        found = self[part] = ids.tobytes()
+        return found
 
 
 def _white_space_dropped(d: dict) -> bool:
     """True if the file's own steps throw white space away and cut at it."""
     try:
-        kinds = [n["type"] for n in d["normalizer"]["normalizers"]]
-        cut = d["pre_tokenizer"]["pretokenizers"][0]
-        return (
-            kinds == ["NFC", "Replace", "Lowercase"]
-            and d["normalizer"]["normalizers"][1]["pattern"] == {"Regex": r"\s+"}
-            and (cut["type"], cut["behavior"], cut["invert"]) == ("Split", "Removed", True)
-            and cut["pattern"]["Regex"].endswith(r"|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-            and not any(t["lstrip"] or t["rstrip"] or t["normalized"] for t in d["added_tokens"])
-        )
-    except (KeyError, TypeError, IndexError):
+        cut = d["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
+        WordBpe.steps(d)
+        return cut.endswith(r"|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+    except (KeyError, TypeError, IndexError, ValueError):
         return False
 
 
