@@ -14,6 +14,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_ROOTS: dict[str, str] = {}
+_MADE: dict[str, list[str]] = {}
 
 
 def stage_root(spark: SparkSession) -> str:
@@ -34,7 +35,24 @@ def stage_root(spark: SparkSession) -> str:
 
 
 def new_stage_path(spark: SparkSession, label: str) -> str:
-    return f"{stage_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+    path = f"{stage_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+    _MADE.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def stage_paths(spark: SparkSession) -> list[str]:
+    """The stage tables that this session has made and not removed, oldest first."""
+    return list(_MADE.get(spark.sparkContext.applicationId, []))
+
+
+def remove_stages(spark: SparkSession, paths: list[str]) -> None:
+    """Delete stage tables that this session has made; other paths are left alone."""
+    made = _MADE.get(spark.sparkContext.applicationId, [])
+    for path in paths:
+        if path in made:
+            made.remove(path)
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def write_stage(df: DataFrame, label: str) -> DataFrame:
