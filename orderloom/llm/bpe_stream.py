@@ -168,19 +168,32 @@ class ByteToText:
 
 
 class _Words(dict):
-    """Token numbers of words, for a bounded number of words."""
+    """Token numbers of runs without white space, as bytes, for a bounded number of runs."""
 
     def __init__(self, codec: WordBpe):
         self.codec = codec
+        self.parts: dict[str, bytes] = {}
 
-    def __missing__(self, word: str) -> tuple[int, ...] | Iterator[int]:
+    def __missing__(self, word: str) -> bytes:
         if len(word) > WORD_CHARS:
-            return self.codec.encode_word(word)
-        ids = tuple(self.codec.encode_word(word))
+            return array("I", self.codec.encode_word(word)).tobytes()
+        found = b"".join(map(self._part, self.codec.pieces(word)))
         if len(self) >= REMEMBERED:
             self.clear()
-        self[word] = ids
-        return ids
+        self[word] = found
+        return found
+
+    def _part(self, text: str) -> bytes:
+        found = self.parts.get(text)
+        if found is None:
+            if len(self.parts) >= REMEMBERED // 2:
+                self.parts.clear()
+            found = self.parts[text] = array("I", self.codec.encode_part(text)).tobytes()
+        return found
+
+    def forget(self) -> None:
+        self.clear()
+        self.parts.clear()
 
 
 class WordBpe:
@@ -241,16 +254,18 @@ class WordBpe:
         word = word.lower()
         return [word] if word.isalpha() else self._pattern.findall(word)
 
+    def encode_part(self, text: str) -> Iterable[int]:
+        """Tokens of a part of a run, in normal form."""
+        piece = text.encode()
+        inner, last = self._inner, self._last
+        if len(piece) <= 2 * WORD_CHARS:
+            return self.merges.merge([*map(inner.__getitem__, piece[:-1]), last[piece[-1]]])
+        symbols = map(inner.__getitem__, memoryview(piece)[:-1])
+        return self.merges.stream(chain(symbols, (last[piece[-1]],)), self._sizes)
+
     def encode_word(self, word: str) -> Iterator[int]:
         """Tokens of a run of characters without white space."""
-        inner, last = self._inner, self._last
-        for text in self.pieces(word):
-            piece = text.encode()
-            if len(piece) <= 2 * WORD_CHARS:
-                yield from self.merges.merge([*map(inner.__getitem__, piece[:-1]), last[piece[-1]]])
-            else:
-                symbols = map(inner.__getitem__, memoryview(piece)[:-1])
-                yield from self.merges.stream(chain(symbols, (last[piece[-1]],)), self._sizes)
+        return chain.from_iterable(map(self.encode_part, self.pieces(word)))
 
     def encode(self, text: str | None) -> array:
         """Token numbers of a whole text."""
@@ -263,9 +278,13 @@ class WordBpe:
                 out.append(self.added[part])
             else:
                 runs = _GAP.split(part) if _SEPARATORS.search(part) else part.split()
-                out.extend(chain.from_iterable(map(self._words.__getitem__, runs)))
+                out.frombytes(b"".join(map(self._words.__getitem__, runs)))
         return out
 
+    def forget(self) -> None:
+        """Give back the memory of the remembered words."""
+        self._words.forget()
+
     def decode(self, ids: Iterable[int], surface: bool = True) -> Iterator[str]:
         """Pieces of text: the tokens' own strings with blanks between them, as the
         library gives for a file without a decoder, or (``surface=False``) the
@@ -305,6 +324,7 @@ def encode_digests(docs: DataFrame, path: str, key: str = "doc_id", text: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = codec(held.value)
+        bpe.forget()  # what the task before has left
         for batch in batches:
             counts, of_ids, of_text = [], [], []
             for value in batch.column(1):
@@ -319,6 +339,7 @@ def encode_digests(docs: DataFrame, path: str, key: str = "doc_id", text: str =
                 [batch.column(0), pa.array(counts, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_text, pa.string())],
                 names=[key, "n_tokens", "ids_sha256", "decoded_sha256"],
             )
+        bpe.forget()
 
     kind = docs.schema[key].dataType.simpleString()
     return docs.select(f"`{key}`", f"`{text}`").mapInArrow(

@@ -137,16 +137,21 @@ def beta_prior(mean: float | None, spread: float | None) -> tuple[float, float]:
     return mean * weight, (1 - mean) * weight
 
 
-def judge(measured: DataFrame, host: str = "source", max_rate: float = MAX_HOST_RATE) -> DataFrame:
+def judge(
+    measured: DataFrame, host: str = "source", max_rate: float = MAX_HOST_RATE, store: bool = True
+) -> DataFrame:
     """``measured`` (from :func:`with_metrics`) with ``host_rate`` and ``kept``.
 
-    The measured rows are written once and read twice. The hosts' rates are
+    The measured rows are written once and read twice; with ``store=False``, for
+    rows that carry texts, they are measured twice instead. The hosts' rates are
     joined without a hint: Spark broadcasts them while they are small, and
     otherwise splits hot hosts.
     """
     measured = measured.drop("host_rate", "kept")
-    stored = write_stage(measured, "measured")
-    rates = host_rates(stored, host).select("host", F.col("rate").alias("host_rate"))
+    stored = write_stage(measured, "measured") if store else measured
+    rates = write_stage(
+        host_rates(stored, host).select("host", F.col("rate").alias("host_rate")), "host-rates"
+    )
     joined = stored.join(rates, stored[host] == rates["host"], "left")
     good = F.coalesce(F.col("host_rate") <= max_rate, F.lit(True))
     return joined.select(
@@ -154,3 +159,13 @@ def judge(measured: DataFrame, host: str = "source", max_rate: float = MAX_HOST_
         "host_rate",
         (~F.col("base_failed") & good).alias("kept"),
     )
+
+
+def kept_rows(judged: DataFrame) -> DataFrame:
+    """The rows of ``judged`` that are kept, without storing them first.
+
+    A filter on ``kept`` would be moved down to the scan, with the expressions of
+    the rules written out once for each of their uses; a row generator stays.
+    """
+    stay = F.when(F.col("kept"), F.array(F.lit(1))).otherwise(F.array().cast("array<int>"))
+    return judged.withColumn("__stay", F.explode(stay)).drop("__stay")
