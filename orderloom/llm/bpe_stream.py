@@ -340,6 +340,7 @@ def encode_digests(docs: DataFrame, path: str, key: str = "doc_id", text: str =
                 names=[key, "n_tokens", "ids_sha256", "decoded_sha256"],
             )
         bpe.forget()
+        pa.default_memory_pool().release_unused()
 
     kind = docs.schema[key].dataType.simpleString()
     return docs.select(f"`{key}`", f"`{text}`").mapInArrow(

@@ -291,4 +291,6 @@ def one_per_group(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
         .agg(F.min("r").alias("r"))
     )
     stays = write_stage(first.select(F.col("r").alias("stay")), "stays")
-    return stored.join(stays, stored[row] == stays["stay"], "left_semi").select(*(f"`{c}`" for c in columns))
+    # the rows that stay grow with the documents, so this join is never a broadcast
+    kept = stored.join(stays.hint("merge"), stored[row] == stays["stay"], "left_semi")
+    return kept.select(*(f"`{c}`" for c in columns))

@@ -40,9 +40,9 @@ from orderloom.plans.stage_store import write_stage
 WINDOW = 35
 #: The shortest length that is compared is the wanted one halved until it is at most this.
 SHORTEST = 18
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 19
 #: Hashes that one task compares at a time, about.
-PART_KEYS = 1 << 20
+PART_KEYS = 1 << 18
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -196,6 +196,7 @@ def _pack(docs: DataFrame, text: str) -> DataFrame:
                 held.append(batch.slice(first))
         if held:
             yield packed()
+        pa.default_memory_pool().release_unused()
 
     return docs.mapInArrow(run, "rows binary, words bigint")
 
@@ -264,6 +265,7 @@ def _with_answers(blocks: DataFrame, answers: list[DataFrame], run: Callable, sc
             for batch in batches:
                 for raw, name in zip(batch.column(0), batch.column(1), strict=True):
                     yield from run(raw.as_py(), name.as_py(), {}).to_batches()
+            pa.default_memory_pool().release_unused()
 
         return blocks.select("rows", "block").mapInArrow(alone, schema)
     told = answers[0]
