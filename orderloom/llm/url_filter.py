@@ -2,7 +2,8 @@
 
 The trees are trained on URLs that a rule has labelled, on lexical features:
 lengths, depth, digit ratio, entropy, parameter counts and suffix statistics
-(how often labelled hosts with the same last labels were blocked, smoothed).
+(how often labelled URLs with the same last host labels, or the same first
+directory, were blocked, smoothed).
 
 The sample is bounded by ``SAMPLE_ROWS``; every URL is judged.
 
@@ -41,7 +42,7 @@ SAMPLE_ROWS = 20_000
 TREES, DEPTH, RATE, BINS = 40, 3, 0.2, 32
 FEATURES = (
     "url_length", "host_length", "path_length", "host_depth", "path_depth", "digit_ratio",
-    "other_ratio", "entropy", "parameters", "query_length", "last_label", "last_two_labels",
+    "other_ratio", "entropy", "parameters", "query_length", "last_label", "last_two_labels", "last_three_labels", "directory",
 )
 RESULTS = ("host", "path", "rule", "verdict")
 
@@ -66,9 +67,11 @@ def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str, str]] =
     return rule, verdict
 
 
-def _suffixes(host: str) -> tuple[str, str]:
+def _suffixes(host: str, path: str) -> tuple[str, ...]:
+    """What statistics are kept of: ends of the host, and the path's first directory."""
     labels = host[-512:].split(".")
-    return labels[-1], ".".join(labels[-2:])
+    ends = (".".join(labels[-n:]) for n in (1, 2, 3))
+    return *ends, "/" + path[1:65].split("/")[0]
 
 
 def features(host: str, path: str, url: str | None, rates: dict[str, float], prior: float) -> list[float]:
@@ -83,7 +86,7 @@ def features(host: str, path: str, url: str | None, rates: dict[str, float], pri
         digits / n, (n - digits - letters) / n,
         -sum(c / n * math.log2(c / n) for c in Counter(url).values()),
         sum(1 for x in re.split("[&;]", query) if x), len(query),
-        *(rates.get(s, prior) for s in _suffixes(host)),
+        *(rates.get(s, prior) for s in _suffixes(host, path)),
     ]
 
 
@@ -150,8 +153,8 @@ class UrlModel:
         blocked = np.array([r[3] for r in rows], float)
         self.prior = float(blocked.mean()) if len(rows) else 0.0
         seen: dict[str, list[float]] = {}
-        for (host, *_), b in zip(rows, blocked, strict=True):
-            for s in _suffixes(host):
+        for (host, path, *_), b in zip(rows, blocked, strict=True):
+            for s in set(_suffixes(host, path)):
                 counts = seen.setdefault(s, [0.0, 0.0])
                 counts[0] += b
                 counts[1] += 1
