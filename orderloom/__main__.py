@@ -19,7 +19,7 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--out", required=True, help="folder of the results")
     parser.add_argument("--sales-sep", default=";")
     parser.add_argument("--mapping-sep", default=",")
-    parser.add_argument("--run", default="prepare", help="name of this run's batch in the log")
+    parser.add_argument("--run", help="name of this run's batch in the log, which it replaces; new by default")
     parser.add_argument("--backup", action="store_true", help="keep a copy of the typed table")
     parser.add_argument("--csv", action="store_true", help="export the results as CSV too")
     parser.add_argument(

@@ -141,23 +141,19 @@ def null_blank_profile(df: DataFrame, cols: list[str]) -> DataFrame:
     ``value_rows`` counts values, so it is 0 for NULLs; ``table_rows`` counts
     rows. A status without rows is not listed.
     """
-    counts = df.agg(
-        *[F.count_if(is_blank(c)).alias(f"{c}/blank") for c in cols],
-        *[F.count_if(F.col(c).isNull()).alias(f"{c}/null") for c in cols],
+    status = lambda c, name, found: F.struct(
+        F.lit(c).alias("attribute"),
+        F.lit(name).alias("status"),
+        (found if name == "blank" else F.lit(0).cast("long")).alias("value_rows"),
+        found.alias("table_rows"),
     )
-    parts = F.split("what", "/")
-    rows = F.col("table_rows")
-    status = parts.getItem(1)
-    return (
-        counts.unpivot([], counts.columns, "what", "table_rows")
-        .where(rows > 0)
-        .select(
-            parts.getItem(0).alias("attribute"),
-            status.alias("status"),
-            F.when(status == "null", F.lit(0)).otherwise(rows).alias("value_rows"),
-            rows,
-        )
+    counts = df.agg(
+        *[F.count_if(is_blank(c)).alias(f"b{i}") for i, c in enumerate(cols)],
+        *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"n{i}") for i, c in enumerate(cols)],
     )
+    found = [status(c, "blank", F.col(f"b{i}")) for i, c in enumerate(cols)]
+    found += [status(c, "null", F.col(f"n{i}")) for i, c in enumerate(cols)]
+    return counts.select(F.inline(F.array(*found))).where("table_rows > 0")
 
 
 def blank_values(df: DataFrame, col: str) -> DataFrame:

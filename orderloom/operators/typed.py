@@ -199,7 +199,10 @@ def quarantine(
 def enforce(
     df: DataFrame, key: str, constraints: list[Constraint], unique: bool = True
 ) -> DataFrame:
-    """``df`` unchanged, in a form that fails the job on the first broken constraint."""
+    """``df`` unchanged, in a form that fails the job on the first broken constraint.
+
+    The guard is a filter, so no choice of columns can leave it out.
+    """
     failed = failed_constraints(constraints)
     if unique and _repeated_keys(df, key).limit(1).count():
         raise ValueError(f"constraint failed: {key} unique")
@@ -207,7 +210,6 @@ def enforce(
         F.lit("constraint failed: "), F.concat_ws(", ", failed), F.lit(" at "),
         F.coalesce(F.col(key).cast("string"), F.lit("NULL")),
     )
-    guarded = F.when(
-        F.size(failed) > 0, F.raise_error(message).cast(df.schema[key].dataType)
-    ).otherwise(F.col(key))
-    return df.withColumn(key, guarded)
+    return df.where(
+        F.when(F.size(failed) > 0, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
+    )

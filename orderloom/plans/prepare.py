@@ -273,13 +273,13 @@ def prepare(
     strict: bool = False,
     csv: bool = False,
     backup: bool = False,
-    run: str = "prepare",
+    run: str | None = None,
 ) -> Prepared:
     """Run everything and store fact, dimensions and audit log under ``out``.
 
     Running it again replaces the tables. The log grows by one batch per
-    ``run``; repeating a run replaces its batch, and entries that an earlier
-    run has logged are skipped. ``backup`` keeps a copy of the typed table as
+    run, and entries that an earlier run has logged are skipped. A run that is
+    given a name replaces the batch of that name; without one it replaces none. ``backup`` keeps a copy of the typed table as
     it was before any row was deleted from it.
     """
     stages = build_stages(inputs, constraints, strict)

@@ -440,6 +440,11 @@ def test_enforce_fails_the_job(spark):
     assert rows(typed.enforce(good, "order_id", checks)) == rows(good)
     with pytest.raises(PySparkException, match="qty > 0"):
         typed.enforce(typed_frame(spark, dict(qty=0)), "order_id", checks).collect()
+    bad = typed.enforce(typed_frame(spark, dict(qty=0)), "order_id", checks)
+    with pytest.raises(Exception, match="constraint failed"):
+        bad.count()
+    with pytest.raises(Exception, match="constraint failed"):
+        bad.select("city").collect()
     with pytest.raises(ValueError, match="unique"):
         typed.enforce(typed_frame(spark, dict(), dict()), "order_id", checks)
 
@@ -584,3 +589,11 @@ def test_fact_has_the_declared_columns(spark):
     assert (row.net_shipping, row.year_order_date, row.month_order_date, row.time_order_date) == (
         -4, "2001", "2001-06", "10:00:00",
     )
+
+
+def test_blank_profile_of_any_column_name(spark):
+    df = spark.createDataFrame([("", "x"), (None, "")], "`Kota/Kabupaten` string, b string")
+    got = profile.null_blank_profile(df, ["Kota/Kabupaten", "b"])
+    assert sorted(map(tuple, got.collect())) == [
+        ("Kota/Kabupaten", "blank", 1, 1), ("Kota/Kabupaten", "null", 0, 1), ("b", "blank", 1, 1),
+    ]

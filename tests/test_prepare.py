@@ -117,6 +117,17 @@ def test_another_run_adds_only_what_is_new(spark, inputs):
     }
 
 
+def test_unnamed_runs_keep_the_log(spark, inputs):
+    base = new_stage_path(spark, "unnamed")
+    some = F.substring("order_id", 11, 1) < "5"
+    part = type(inputs)(**{**inputs.__dict__, "sales": inputs.sales.where(some)})
+    rest = type(inputs)(**{**inputs.__dict__, "sales": inputs.sales.where(~some)})
+    before = rows(prepare(part, base).audit_log)
+    log = prepare(rest, base).audit_log
+    assert before and set(before) < set(rows(log))
+    assert log.select("log_id").distinct().count() == log.count()
+
+
 def test_constraints_filter_or_stop(inputs, spark):
     kept = prepare(inputs, new_stage_path(spark, "kept"), constraints=sales_constraints())
     assert kept.fact.count() == kept.stages.final.count() > 0
@@ -172,9 +183,15 @@ def test_stream_takes_up_where_it_stopped(spark, done):
     expected = rows(first.unionByName(second))
     assert rows(audit.read_log(spark, log).select(*columns)) == expected
     assert rows(audit.read_log(spark, mirror)) == rows(audit.read_log(spark, log))
-    # a stream that lost its offsets replays its batches over their own folders
+    # a stream that lost its offsets finds its entries in the log
     mirror_stream(stream(), log, mirror, f"{base}/new-offsets").awaitTermination()
     assert rows(audit.read_log(spark, log).select(*columns)) == expected
+    # a stream of another source replaces nothing
+    other = batches["payment_flag"]
+    other.write.parquet(f"{base}/other")
+    more = spark.readStream.schema(other.schema).parquet(f"{base}/other")
+    mirror_stream(more, log, mirror, f"{base}/other-offsets").awaitTermination()
+    assert rows(audit.read_log(spark, log).select(*columns)) == rows(first.unionByName(second).unionByName(other))
 
 
 def test_command_line(spark, inputs, capsys):
