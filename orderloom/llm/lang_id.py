@@ -42,7 +42,7 @@ STEP_LETTERS = 2_000_000
 UNKNOWN = "und"
 
 
-@functools.cache
+@functools.lru_cache(maxsize=1)
 def _letters() -> np.ndarray:
     """For each code point: is it a letter?"""
     return np.array([chr(c).isalpha() for c in range(0x110000)])
@@ -157,7 +157,9 @@ def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, lang: str = "lang",
     """
     ship_package(labelled.sparkSession)
     known = labelled.where(F.col(f"`{lang}`").isNotNull() & F.col(f"`{text}`").isNotNull())
-    counts = {r[0]: r[1] for r in known.groupBy(F.col(f"`{lang}`").alias("lang")).count().collect()}
+    counted = known.groupBy(F.col(f"`{lang}`").alias("lang")).agg(F.count(F.lit(1)).alias("n"))
+    # one entry per language
+    counts = counted.agg(F.map_from_entries(F.collect_list(F.struct("lang", "n")))).first()[0]
     if not counts:
         return CentroidModel([], np.zeros((0, DIMENSIONS), np.float32))
     each = max(1, sample_rows // len(counts))
@@ -182,8 +184,7 @@ def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, lang: str = "lang",
         known.where(place < share)
         .select(F.col(f"`{lang}`").alias("lang"), F.col(f"`{text}`").alias("text"))
         .mapInArrow(run, "lang string, vector binary")
-        .limit(2 * sample_rows)
-        .collect()
+        .take(2 * sample_rows)
     )
     rows = sorted((r["lang"], bytes(r["vector"])) for r in rows)
     found = np.array([np.frombuffer(v, np.float16) for _, v in rows], np.float32).reshape(-1, DIMENSIONS)

@@ -396,7 +396,8 @@ class TokenStore:
     """Keyed access to a folder of shards from one process."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        rows = read_manifest(spark, folder).orderBy("shard").select("path", "last_key").collect()
+        shards = F.sort_array(F.collect_list(F.struct("shard", "path", "last_key")))
+        rows = read_manifest(spark, folder).agg(shards).first()[0]  # one entry per shard
         self._paths = [r["path"] for r in rows if r["last_key"] is not None]
         self._last = [r["last_key"] for r in rows if r["last_key"] is not None]
         self._open: dict[str, Shard] = {}

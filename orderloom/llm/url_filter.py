@@ -22,9 +22,10 @@ from collections import Counter
 from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from orderloom.llm.common import ship_package
 
@@ -186,8 +187,7 @@ def fit(ruled: DataFrame, url: str = "url", sample_rows: int = SAMPLE_ROWS) -> U
     rows = (
         known.where(place <= int(share * (1 << 30)))
         .select("host", "path", F.col(f"`{url}`").alias("url"), (F.col("verdict") == "block").alias("b"))
-        .limit(2 * sample_rows)
-        .collect()
+        .take(2 * sample_rows)
     )
     return UrlModel(sorted((r["host"], r["path"], r["url"], r["b"]) for r in rows))
 
@@ -203,11 +203,14 @@ def judge(pages: DataFrame, url: str = "url", rules: Sequence[tuple[str, str, st
     ruled = parts.select("*", rule.alias("rule"), verdict.alias("verdict"))
     model = fit(ruled.select("host", "path", "verdict", F.col(f"`{url}`")), url, sample_rows)
 
-    @F.pandas_udf("double")
-    def block_score(parts: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for h, p, u in parts:
-            yield pd.Series(model.predict(list(zip(h, p, u, strict=True))))
+    at = [ruled.columns.index(c) for c in ("host", "path", url)]
 
-    scored = ruled.withColumn("block_score", block_score("host", "path", F.col(f"`{url}`")))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = list(zip(*(batch.column(i).to_pylist() for i in at), strict=True))
+            scores = pa.array(model.predict(rows), pa.float64())
+            yield pa.RecordBatch.from_arrays([*batch.columns, scores], names=[*batch.schema.names, "block_score"])
+
+    scored = ruled.mapInArrow(run, StructType([*ruled.schema.fields, StructField("block_score", DoubleType())]))
     by_trees = F.when(F.col("block_score") > 0.5, F.lit("block")).otherwise(F.lit("allow"))
     return scored.withColumn("verdict", F.coalesce("verdict", by_trees))
