@@ -24,8 +24,9 @@ from orderloom.operators.typed import (
 from orderloom.plans import fixed_values as fv
 from orderloom.plans.prepare import (
     add_categories,
-    audit_batches,
     all_audit_entries,
+    audit_batches,
+    audit_entries_of,
     prepare,
     stage_counts,
 )
@@ -113,10 +114,10 @@ def rename_columns(spark, sf_dir):
 
 
 on_raw("peek_limit", lambda df: profile.peek(df, 100, [KEY]))
-on_raw("distinct_len", lambda df: profile.key_length_outliers(df, KEY))
+on_raw("distinct_len", lambda df: profile.key_length_outliers(df, KEY, fx.ID_LENGTH))
 on_raw("id_format_check", lambda df: profile.key_prefix_outliers(df, KEY))
-on_raw("id_format_strict", lambda df: profile.key_format_outliers(df, KEY))
-on_raw("suffix_in_sequence", lambda df: profile.key_number_outliers(df, KEY))
+on_raw("id_format_strict", lambda df: profile.key_format_outliers(df, KEY, fx.ID_PATTERN))
+on_raw("suffix_in_sequence", lambda df: profile.key_number_outliers(df, KEY, length=1 + fx.KEY_DIGITS))
 on_raw("dup_keys_or_null", lambda df: profile.duplicate_or_null_keys(df, KEY))
 on_raw(
     "numeric_format_profile_qty",
@@ -252,13 +253,13 @@ def _typed_with_defects(spark, sf_dir):
 
 
 REGISTRY["constraint_violations"] = lambda spark, sf_dir: constraint_violations(
-    _typed_with_defects(spark, sf_dir), KEY, sales_constraints()
+    _typed_with_defects(spark, sf_dir), KEY, sales_constraints(key_length=fx.ID_LENGTH)
 )
 
 
 @query
 def constraint_quarantine(spark, sf_dir):
-    accepted, rejected = quarantine(_typed_with_defects(spark, sf_dir), KEY, sales_constraints())
+    accepted, rejected = quarantine(_typed_with_defects(spark, sf_dir), KEY, sales_constraints(key_length=fx.ID_LENGTH))
     return accepted.select(KEY, F.lit("accepted").alias("side")).unionByName(
         rejected.select(KEY, F.lit("rejected").alias("side"))
     )
@@ -389,11 +390,9 @@ def category_count_mismatch(spark, sf_dir):
 
 def _audit(name: str, entries: list[str]) -> None:
     def build(stages):
-        batches = audit_batches(stages)
-        out = batches[entries[0]]
-        for entry in entries[1:]:
-            out = out.unionByName(batches[entry])
-        return out
+        if len(entries) == 1:
+            return audit_batches(stages)[entries[0]]
+        return audit_entries_of(stages, entries).drop("step")
 
     on_stages(name, build)
 
@@ -446,9 +445,7 @@ def audit_mirror_stream(spark, sf_dir):
     return audit.read_log(spark, mirror).drop("logged_at", "log_id")
 
 
-on_stages(
-    "audit_summary", lambda s: audit.audit_summary(all_audit_entries(s, unique_key=True))
-)
+on_stages("audit_summary", lambda s: audit.audit_summary(all_audit_entries(s)))
 
 # --- star schema and the whole run ------------------------------------------
 

@@ -17,6 +17,14 @@ from orderloom.plans import fixed_values as fv
 from orderloom.plans.prepare import Inputs, Stages, add_categories, build_stages, standardize_places
 from orderloom.plans.stage_store import write_stage
 
+# Order ids: a digit that tells the order itself (0) from its planted copies, then
+# the key in a width that holds every key below 10^17. No key is cut, no copy
+# meets an order.
+KEY_DIGITS = 17
+COPY_AS_IS, COPY_OTHER_DATE = 5, 6
+ID_LENGTH = len("ORD_") + 1 + KEY_DIGITS
+ID_PATTERN = rf"^ORD_\d{{{1 + KEY_DIGITS}}}$"
+
 PROMO_LABEL = "Seal / Baut / Roof"
 
 STATUS = {"F": fv.DONE, "O": fv.CANCELLED}
@@ -77,6 +85,11 @@ def _pick(number: Column, choices: list[str]) -> Column:
     )
 
 
+def order_id(key: Column, copy: Column) -> Column:
+    number = F.lpad(key.cast("string"), KEY_DIGITS, "0")
+    return F.concat(F.lit("ORD_"), copy.cast("string"), number)
+
+
 def _labelled_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items reduced to (order, part), with the part's size and label."""
     lines = (
@@ -120,8 +133,8 @@ def derive_raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     copies = F.array_compact(
         F.array(
             F.lit(0),
-            F.when(F.col("k") % 499 == 0, F.lit(5000000)),
-            F.when(F.col("k") % 1497 == 0, F.lit(6000000)),
+            F.when(F.col("k") % 499 == 0, F.lit(COPY_AS_IS)),
+            F.when(F.col("k") % 1497 == 0, F.lit(COPY_OTHER_DATE)),
         )
     )
     rows = orders.withColumn("shift", F.explode(copies))
@@ -134,7 +147,7 @@ def derive_raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     written_date = (
         F.when(multiple(89), F.lit(""))
         .when(multiple(83), F.lit("2024-13-40"))
-        .when(multiple(7), F.when(F.col("shift") == 6000000, d).otherwise(day_first))
+        .when(multiple(7), F.when(F.col("shift") == COPY_OTHER_DATE, d).otherwise(day_first))
         .otherwise(d)
     )
     pieces = (k % 20 + 1).cast("string")
@@ -143,7 +156,7 @@ def derive_raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
         cancelled, F.lit(STATUS["O"])
     )
     columns = {
-        "order_id": F.concat(F.lit("ORD_"), F.lpad((k + F.col("shift")).cast("string"), 7, "0")),
+        "order_id": order_id(k, F.col("shift")),
         "qty": F.when(multiple(67), F.lit("")).when(
             multiple(2), F.concat(pieces, F.lit(".0"))
         ).otherwise(pieces),
@@ -183,9 +196,7 @@ def derive_order_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     pairs = _labelled_lines(spark, sf_dir).select("l_orderkey", "label").distinct()
     return pairs.join(placed, F.col("l_orderkey") == F.col("o_orderkey"), "left_semi").select(
-        F.concat(F.lit("ORD_"), F.lpad(F.col("l_orderkey").cast("string"), 7, "0")).alias(
-            "order_id"
-        ),
+        order_id(F.col("l_orderkey"), F.lit(0)).alias("order_id"),
         F.col("label").alias("product_category"),
     )
 

@@ -81,12 +81,12 @@ _INPUTS = [
   JOIN customer ON c_custkey = o_custkey
   JOIN nation ON n_nationkey = c_nationkey
   JOIN region ON r_regionkey = n_regionkey)""",
-    """order_copies AS (
+    f"""order_copies AS (
   SELECT 0 AS shift, * FROM order_base
-  UNION ALL SELECT 5000000, * FROM order_base WHERE k % 499 = 0
-  UNION ALL SELECT 6000000, * FROM order_base WHERE k % 1497 = 0)""",
+  UNION ALL SELECT {fx.COPY_AS_IS}, * FROM order_base WHERE k % 499 = 0
+  UNION ALL SELECT {fx.COPY_OTHER_DATE}, * FROM order_base WHERE k % 1497 = 0)""",
     f"""raw_sales AS (
-  SELECT 'ORD_' || lpad(CAST(k + shift AS VARCHAR), 7, '0') AS order_id,
+  SELECT 'ORD_' || shift || lpad(CAST(k AS VARCHAR), {fx.KEY_DIGITS}, '0') AS order_id,
     CASE WHEN k % 67 = 0 THEN '' WHEN k % 2 = 0 THEN CAST(1 + k % 20 AS VARCHAR) || '.0'
          ELSE CAST(1 + k % 20 AS VARCHAR) END AS qty,
     CAST(weight AS VARCHAR) AS weight_gr,
@@ -110,7 +110,7 @@ _INPUTS = [
     d || ' ' || lpad(CAST(k % 24 AS VARCHAR), 2, '0') || ':'
       || lpad(CAST(k % 60 AS VARCHAR), 2, '0') AS order_timestamp,
     CASE WHEN k % 89 = 0 THEN '' WHEN k % 83 = 0 THEN '2024-13-40'
-         WHEN k % 7 = 0 AND shift <> 6000000 THEN day_first ELSE d END AS order_date
+         WHEN k % 7 = 0 AND shift <> {fx.COPY_OTHER_DATE} THEN day_first ELSE d END AS order_date
   FROM order_copies)""",
     _values("map_ship", fx.MAP_SHIP, fx.MAP_SHIP_COLUMNS),
     _values("map_pay", fx.MAP_PAY, fx.MAP_PAY_COLUMNS),
@@ -119,8 +119,8 @@ _INPUTS = [
   SELECT coalesce(r_name, '') AS province, coalesce('Prov ' || r_name, '') AS province_new,
          'KAB. ' || n_name AS city, n_name AS city_new
   FROM nation LEFT JOIN region ON n_nationkey = r_regionkey)""",
-    """order_category AS (
-  SELECT DISTINCT 'ORD_' || lpad(CAST(k AS VARCHAR), 7, '0') AS order_id, label AS product_category
+    f"""order_category AS (
+  SELECT DISTINCT 'ORD_0' || lpad(CAST(k AS VARCHAR), {fx.KEY_DIGITS}, '0') AS order_id, label AS product_category
   FROM order_base JOIN lineitem ON lineitem.l_orderkey = k
   JOIN part_label ON l_partkey = p_partkey)""",
     """ship_lookup AS (SELECT DISTINCT ship_method_new, shipping_category, shipping_carrier FROM map_ship)""",
@@ -396,7 +396,7 @@ def _broken_constraints() -> str:
     text_columns = ["order_id", "product_categories", "order_status", "cancel_reason",
                     "ship_method", "pay_method", "city", "province"]
     checks = [(f"{c} not null", f"{c} IS NULL") for c in text_columns + fv.NUMERIC_TEXT_COLUMNS]
-    checks += [("length(order_id) = 11", "length(order_id) <> 11")]
+    checks += [(f"length(order_id) = {fx.ID_LENGTH}", f"length(order_id) <> {fx.ID_LENGTH}")]
     checks += [(f"{c} > 0", f"{c} <= 0") for c in ("qty", "weight_gr", "category_count")]
     checks += [
         (f"{c} >= 0", f"{c} < 0")
@@ -438,15 +438,15 @@ def oracle_sql() -> dict[str, str]:
     # profiles
     q["rename_columns"] = f"SELECT {_RAW} FROM raw_sales"
     q["peek_limit"] = f"SELECT {_RAW} FROM raw_sales ORDER BY order_id LIMIT 100"
-    q["distinct_len"] = """SELECT DISTINCT length(order_id) AS key_length FROM raw_sales
-      WHERE length(order_id) <> 11"""
+    q["distinct_len"] = f"""SELECT DISTINCT length(order_id) AS key_length FROM raw_sales
+      WHERE length(order_id) <> {fx.ID_LENGTH}"""
     q["id_format_check"] = """SELECT DISTINCT left(order_id, 3) AS prefix, order_id[4:4] AS joiner
       FROM raw_sales WHERE left(order_id, 3) <> 'ORD' AND order_id[4:4] <> '_'"""
     q["id_format_strict"] = (
-        r"SELECT order_id FROM raw_sales WHERE NOT regexp_full_match(order_id, 'ORD_\d{7}')"
+        f"SELECT order_id FROM raw_sales WHERE NOT regexp_full_match(order_id, {_text(fx.ID_PATTERN[1:-1])})"
     )
-    q["suffix_in_sequence"] = f"""SELECT order_id, {whole('order_id[5:11]')} AS key_number
-      FROM raw_sales WHERE {whole('order_id[5:11]')} NOT IN
+    q["suffix_in_sequence"] = f"""SELECT order_id, {whole('order_id[5:22]')} AS key_number
+      FROM raw_sales WHERE {whole('order_id[5:22]')} NOT IN
         (SELECT unnest(generate_series(1, {fv.KEY_LAST_NUMBER})))"""
     q["dup_keys_or_null"] = """SELECT order_id, count(order_id) AS key_rows FROM raw_sales
       GROUP BY order_id HAVING count(order_id) > 1 OR order_id IS NULL"""

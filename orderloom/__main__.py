@@ -7,6 +7,7 @@ import argparse
 
 from .operators.audit import audit_summary
 from .operators.typed import sales_constraints
+from .plans.fixed_values import KEY_LENGTH
 from .plans.prepare import MAPPING_COLUMNS, prepare, read_inputs, stage_counts
 from .session import builder
 
@@ -26,6 +27,9 @@ def main(arguments: list[str] | None = None) -> None:
         "--constraints", choices=["off", "quarantine", "abort"], default="quarantine",
         help="what to do with rows that break a constraint of the typed table",
     )
+    parser.add_argument(
+        "--key-length", type=int, default=KEY_LENGTH, help="characters of an order id"
+    )
     given = parser.parse_args(arguments)
 
     spark = builder().getOrCreate()
@@ -36,7 +40,7 @@ def main(arguments: list[str] | None = None) -> None:
     done = prepare(
         inputs,
         given.out,
-        constraints=None if given.constraints == "off" else sales_constraints(),
+        constraints=None if given.constraints == "off" else sales_constraints(key_length=given.key_length),
         strict=given.constraints == "abort",
         csv=given.csv,
         backup=given.backup,

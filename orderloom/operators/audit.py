@@ -12,11 +12,11 @@ from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampNTZType
+from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType, TimestampNTZType
 
-from ..functions import is_true, local_now
+from ..functions import any_of, is_true, local_now
 from ..plans import fixed_values as fv
-from ..plans.group_joins import join_counted_groups
+from ..plans.group_joins import join_groups
 from ..plans.stage_store import write_stage
 from .dedup import first_of_each_group
 
@@ -29,63 +29,73 @@ AUDIT_SCHEMA = StructType(
     ]
 )
 BATCH = "batch_id"
+KIND = "kind"
+KINDS = 256
+LAST_IDS = "_last_ids"
 
 
 # --- entries ----------------------------------------------------------------
 
 
-def _texts(entry: str, reason: Column | None) -> dict[str, Column]:
-    attribute, fixed_reason, solution, source = fv.AUDIT_TEXTS[entry]
+@dataclass(frozen=True)
+class LogText:
+    """What an entry says: changed attribute, reason, solution, source table.
+
+    Without a reason of its own, the entry's reason is read from a column.
+    """
+
+    attribute: str
+    reason: str | None
+    solution: str
+    source_table: str
+
+
+def log_text(entry: str | LogText) -> LogText:
+    """The text of an entry, or one of the fixed texts by its name."""
+    return entry if isinstance(entry, LogText) else LogText(*fv.AUDIT_TEXTS[entry])
+
+
+def _texts(text: LogText, reason: Column | None) -> dict[str, Column]:
     return {
-        "attribute": F.lit(attribute),
-        "reason": F.lit(fixed_reason) if reason is None else reason,
-        "solution": F.lit(solution),
-        "source_table": F.lit(source),
+        "attribute": F.lit(text.attribute),
+        "reason": F.lit(text.reason) if reason is None else reason,
+        "solution": F.lit(text.solution),
+        "source_table": F.lit(text.source_table),
     }
 
 
-def _entries(rows: DataFrame, table: DataFrame, entry: str, key: str, reason: Column | None,
-             affected: Column) -> DataFrame:
-    total = table.agg(F.count(key).alias("total_rows")).scalar()
-    return rows.select(
-        F.col(key).alias(fv.KEY),
-        *[text.alias(name) for name, text in _texts(entry, reason).items()],
-        total.alias("total_rows"),
-        affected.cast("bigint").alias("problematic_rows"),
-    )
-
+@dataclass(frozen=True)
+class LogStep:
+    """The log entries of one change: of the rows of ``table`` that meet ``where``."""
 
-def _affected(key: str) -> Column:
-    """The rows of an order whose key occurs once; a NULL key counts as 0."""
-    return F.when(F.col(key).isNull(), 0).otherwise(1).cast("bigint")
+    step: int
+    entry: str | LogText
+    table: str
+    where: Column
+    reason: str | None = None
 
 
 def audit_entries(
     df: DataFrame,
-    entry: str,
+    entry: str | LogText,
     where: Column | None = None,
     reason: str | None = None,
     key: str = fv.KEY,
-    unique_key: bool = False,
 ) -> DataFrame:
     """Log rows for the orders of ``df`` that meet ``where`` (all by default).
 
-    ``entry`` picks the fixed texts; ``reason`` names a column that replaces
-    the fixed reason. ``df`` has to be the table as it is before the change.
-    With ``unique_key`` the caller vouches that a key occurs once, which saves
-    the grouping.
+    ``entry`` is the text, or the name of a fixed one; ``reason`` names a
+    column that replaces its reason. ``df`` has to be the table as it is before
+    the change.
     """
-    found = df if where is None else df.where(where)
-    why = F.col(reason) if reason else None
-    if unique_key:
-        return _entries(found, df, entry, key, why, _affected(key))
-    first = [F.min(reason).alias(reason)] if reason else []
-    per_key = found.groupBy(key).agg(F.count(key).alias("__affected"), *first)
-    return _entries(per_key, df, entry, key, why, F.col("__affected"))
+    everything = F.lit(True)
+    step = LogStep(0, entry, "all", everything if where is None else where, reason)
+    return fused_entries(df, {"all": everything}, [step], key).drop("step")
 
 
 def audit_duplicates(
-    df: DataFrame, cols: list[str], key: str = fv.KEY, firsts: DataFrame | None = None
+    df: DataFrame, cols: list[str], key: str = fv.KEY, firsts: DataFrame | None = None,
+    entry: str | LogText = "duplicates",
 ) -> DataFrame:
     """Log rows for the orders that ``drop_one_per_duplicate_group`` deletes.
 
@@ -94,18 +104,12 @@ def audit_duplicates(
     """
     if firsts is None:
         firsts = first_of_each_group(df, cols, key)
-    return _entries(firsts, df, "duplicates", key, None, F.col("group_rows"))
-
-
-@dataclass(frozen=True)
-class LogStep:
-    """The log entries of one change: of the rows of ``table`` that meet ``where``."""
-
-    step: int
-    entry: str
-    table: str
-    where: Column
-    reason: str | None = None
+    return firsts.select(
+        F.col(key).alias(fv.KEY),
+        *[text.alias(name) for name, text in _texts(log_text(entry), None).items()],
+        df.agg(F.count(key).alias("total_rows")).scalar().alias("total_rows"),
+        F.col("group_rows").cast("bigint").alias("problematic_rows"),
+    )
 
 
 def fused_entries(
@@ -114,8 +118,11 @@ def fused_entries(
     """The entries of many changes from one scan for rows and one for totals.
 
     ``members`` says for each table, all of them row-local selections of
-    ``df``, which rows it has. A key has to occur once in ``df``. The result
-    has the columns of :func:`audit_entries` and ``step``.
+    ``df``, which rows it has. The rows of a key are counted per change in one
+    grouping, on the map side first, so a key may occur any number of times;
+    what is shuffled are counts, the texts are added afterwards. A NULL key has
+    one entry per change, with a count of 0. The result has the columns of
+    :func:`audit_entries` and ``step``.
     """
     has_key = F.col(key).isNotNull()
     totals = df.agg(
@@ -123,42 +130,74 @@ def fused_entries(
             "totals"
         )
     ).scalar()
+    hits = {i: is_true(members[s.table]) & is_true(s.where) for i, s in enumerate(steps)}
+    counts = [F.count_if(hit).alias(f"__n{i}") for i, hit in hits.items()]
+    reasons = [
+        F.min(F.when(hits[i], F.col(s.reason))).alias(f"__why{i}")
+        for i, s in enumerate(steps)
+        if s.reason
+    ]
+    per_key = (
+        df.where(any_of(list(hits.values())))
+        .groupBy(F.col(key).alias(fv.KEY))
+        .agg(*counts, *reasons)
+    )
     found = [
         F.when(
-            is_true(members[s.table]) & is_true(s.where),
+            F.col(f"__n{i}") > 0,
             F.struct(
                 *[
                     text.alias(name)
-                    for name, text in _texts(s.entry, F.col(s.reason) if s.reason else None).items()
+                    for name, text in _texts(
+                        log_text(s.entry), F.col(f"__why{i}") if s.reason else None
+                    ).items()
                 ],
                 totals.getField(s.table).alias("total_rows"),
+                F.when(F.col(fv.KEY).isNull(), 0)
+                .otherwise(F.col(f"__n{i}"))
+                .cast("bigint")
+                .alias("problematic_rows"),
                 F.lit(s.step).alias("step"),
             ),
         )
-        for s in steps
+        for i, s in enumerate(steps)
     ]
     one = F.explode(F.array_compact(F.array(*found))).alias("e")
-    return df.select(F.col(key).alias(fv.KEY), one).select(
-        fv.KEY, "e.attribute", "e.reason", "e.solution", "e.source_table", "e.total_rows",
-        _affected(fv.KEY).alias("problematic_rows"), "e.step",
-    )
+    return per_key.select(fv.KEY, one).select(fv.KEY, "e.*")
 
 
 # --- appending --------------------------------------------------------------
 
 
+def kind_of_entry() -> Column:
+    """The partition of the log that an entry belongs to, one of ``KINDS``.
+
+    It follows from columns of the audit key, so a repeat of an entry can only
+    be in the same partition.
+    """
+    return F.pmod(F.xxhash64("attribute", "source_table"), F.lit(KINDS)).cast("int")
+
+
 def read_log(spark: SparkSession, path: str, without_batch: str | None = None) -> DataFrame:
     """The log's rows; an absent log is empty."""
-    schema = StructType([*AUDIT_SCHEMA.fields, StructField(BATCH, StringType())])
+    return _read_parts(spark, path, without_batch).select(*AUDIT_SCHEMA.names)
+
+
+def _read_parts(spark: SparkSession, path: str, without_batch: str | None) -> DataFrame:
+    """The log's rows with their batch and kind, the columns that it is partitioned by."""
+    parts = [StructField(BATCH, StringType()), StructField(KIND, IntegerType())]
+    schema = StructType([*AUDIT_SCHEMA.fields, *parts])
+    log = _read_or_empty(spark, path, schema)
+    return log if without_batch is None else log.where(F.col(BATCH) != without_batch)
+
+
+def _read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     try:
-        log = spark.read.schema(schema).parquet(path)
+        return spark.read.schema(schema).parquet(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], AUDIT_SCHEMA)
-    if without_batch is not None:
-        log = log.where(F.col(BATCH) != without_batch)
-    return log.drop(BATCH)
+        return spark.createDataFrame([], schema)
 
 
 def _once(batch: DataFrame) -> DataFrame:
@@ -179,9 +218,7 @@ def _once(batch: DataFrame) -> DataFrame:
         .where(F.col("__rows") > 1),
         "repeated-entries",
     )
-    if repeated.count() == 0:
-        return batch
-    marked = join_counted_groups(hashed, repeated, ["__hash"], "__rows", others, how="left")
+    marked = join_groups(hashed, repeated, ["__hash"], how="left")
     single = marked.where(F.col("__rows").isNull()).select(*batch.columns)
     first = (
         marked.where(F.col("__rows").isNotNull())
@@ -228,6 +265,11 @@ def number_rows(placed: DataFrame, start: Column, name: str) -> DataFrame:
     )
 
 
+def _replace(entries: DataFrame, folder: str) -> None:
+    writer = entries.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer.partitionBy(KIND).parquet(folder)
+
+
 def append_audit(
     batch: DataFrame,
     log_path: str,
@@ -242,27 +284,42 @@ def append_audit(
     Entries that are in the log already are skipped; with ``strict`` they raise
     an error before anything is written. Ids go on from the log's highest, in
     the order of ``order_by`` (columns that only serve the order are dropped).
+
+    The batch is stored first. Of the log only the partitions of the batch's
+    kinds of entries are read, and the highest id comes from a list with one
+    row per batch, so an append does not read the rest of the log.
     """
     spark = batch.sparkSession
     batch_id = batch_id or uuid.uuid4().hex
     order_by = order_by or [fv.KEY]
-    log = read_log(spark, log_path, without_batch=batch_id)
-    fresh = new_entries(batch, log, unique_batch)
-    start = F.coalesce(log.agg(F.max("log_id").alias("log_id")).scalar(), F.lit(0))
+    stored = write_stage(batch.withColumn(KIND, kind_of_entry()), "entries")
+    kinds = stored.agg(F.collect_set(KIND).alias("kinds")).scalar()
+    ids_schema = StructType([StructField("log_id", LongType()), StructField(BATCH, StringType())])
+    earlier = _read_or_empty(spark, f"{log_path}/{LAST_IDS}", ids_schema).where(
+        F.col(BATCH) != batch_id
+    )
+    start = F.coalesce(earlier.agg(F.max("log_id").alias("log_id")).scalar(), F.lit(0))
+    # a filter on a partition column: folders of other kinds are not opened
+    known = _read_parts(spark, log_path, batch_id).where(F.array_contains(kinds, F.col(KIND)))
+    fresh = new_entries(stored, known, unique_batch)
     placed = place_rows(fresh, order_by)
-    if strict and placed.count() != batch.count():
+    if strict and placed.count() != stored.count():
         raise ValueError("audit entries repeat a key: " + ", ".join(fv.AUDIT_KEY))
     numbered = (
         number_rows(placed, start, "log_id")
         .withColumn("logged_at", local_now(fv.LOCAL_ZONE))
-        .select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in AUDIT_SCHEMA.fields])
+        .select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in AUDIT_SCHEMA.fields], KIND)
     )
     folder = f"{BATCH}={batch_id}"
-    numbered.write.mode("overwrite").parquet(f"{log_path}/{folder}")
+    # the ids are reserved before they are used: a failure leaves a gap, no doubles
+    placed.agg((start + F.count(F.lit(1))).alias("log_id")).write.mode("overwrite").parquet(
+        f"{log_path}/{LAST_IDS}/{folder}"
+    )
+    _replace(numbered, f"{log_path}/{folder}")
     # the mirror copies what was written, ids and times included
-    written = spark.read.schema(AUDIT_SCHEMA).parquet(f"{log_path}/{folder}")
-    written.write.mode("overwrite").parquet(f"{mirror_path}/{folder}")
-    return written
+    written = spark.read.schema(numbered.schema).parquet(f"{log_path}/{folder}")
+    _replace(written, f"{mirror_path}/{folder}")
+    return written.select(*AUDIT_SCHEMA.names)
 
 
 def audit_summary(log: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..plans.group_joins import join_counted_groups, without_keys
+from ..plans.group_joins import join_groups, without_keys
 from ..plans.stage_store import write_stage
 
 _HASH = "__hash"
@@ -18,22 +18,27 @@ _ROWS = "__rows"
 _FIRST = "__first"
 
 
-def _possible_duplicates(df: DataFrame, cols: list[str], key: str) -> DataFrame:
-    """Rows whose content hash is not unique: all duplicates and few others."""
+def _possible_duplicates(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Rows whose content hash is not unique: all duplicates and few others.
+
+    The repeated hashes are counted and stored when this is called, so that the
+    table itself has to move only if their list is too long to be broadcast.
+    """
     hashed = df.withColumn(_HASH, F.xxhash64(*cols))
     repeated = write_stage(
         hashed.groupBy(_HASH)
         .agg(F.count(F.lit(1)).alias(_ROWS))
-        .where(F.col(_ROWS) > 1),
+        .where(F.col(_ROWS) > 1)
+        .select(_HASH),
         "repeated-hashes",
     )
-    return join_counted_groups(hashed, repeated, [_HASH], _ROWS, [key]).drop(_HASH)
+    return join_groups(hashed, repeated, [_HASH])
 
 
 def _groups(rows: DataFrame, cols: list[str], carried: list[str]) -> DataFrame:
     """Real groups of two or more, each with its first row's other columns."""
     return (
-        rows.groupBy(*cols)
+        rows.groupBy(_HASH, *cols)
         .agg(
             F.count(F.lit(1)).alias(_ROWS),
             F.min(F.struct(*carried)).alias(_FIRST),
@@ -47,7 +52,7 @@ def duplicate_groups(
 ) -> DataFrame:
     """One row per duplicate group: its size and the row with the smallest key."""
     carried = [key] + [c for c in df.columns if c not in cols and c != key]
-    groups = _groups(_possible_duplicates(df, cols, key), cols, carried)
+    groups = _groups(_possible_duplicates(df, cols), cols, carried)
     source = {c: F.col(c) for c in cols}
     source.update({c: F.col(f"{_FIRST}.{c}").alias(c) for c in carried})
     return groups.select(F.col(_ROWS).alias(rows), *[source[c] for c in df.columns])
@@ -62,16 +67,15 @@ def duplicate_rows(
 ) -> DataFrame:
     """Every member of every duplicate group, with the size of its group.
 
-    ``where`` may refer to ``__first_key``, the smallest key of the group.
+    ``where`` may refer to ``__first_key``, the smallest key of the group. The
+    possible duplicates are stored once and read for the groups and for their
+    members.
     """
-    possible = _possible_duplicates(df, cols, key)
-    groups = write_stage(
-        _groups(possible, cols, [key]).select(
-            *cols, _ROWS, F.col(f"{_FIRST}.{key}").alias("__first_key")
-        ),
-        "duplicate-groups",
+    possible = write_stage(_possible_duplicates(df, cols), "possible-duplicates")
+    groups = _groups(possible, cols, [key]).select(
+        _HASH, *cols, _ROWS, F.col(f"{_FIRST}.{key}").alias("__first_key")
     )
-    members = join_counted_groups(possible, groups, cols, _ROWS, [key], how="inner")
+    members = join_groups(possible, groups, [_HASH, *cols], how="inner")
     if where is not None:
         members = members.where(where)
     return members.select(*df.columns, F.col(_ROWS).alias(rows))

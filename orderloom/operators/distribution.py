@@ -2,10 +2,9 @@
 
 The statistics of a tile depend on the values only, so equal values are counted
 first; a value held by a third of all rows becomes one row. The distinct values
-are then ranked in bands. A band is a fixed, monotone function of the value
-(its sign and its logarithm in steps of 1/1024), so it is the same wherever and
-however often it is computed, and there are at most about 131,000 bands: their
-totals can be summed up in one small task and sent to every executor.
+are then sorted into ranges of about equal size, however close together they
+lie, and ranked inside their range. The one small task that adds up the ranges
+sees one number per partition of the sort.
 """
 
 from __future__ import annotations
@@ -14,16 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import rounded
 from ..plans import fixed_values as fv
-
-_BANDS_PER_DOUBLING = 1024
-
-
-def _band(v: Column) -> Column:
-    size = F.floor(F.log2(F.abs(v.cast("double")) + 1) * _BANDS_PER_DOUBLING)
-    # NULLs rank lowest and get a band below all others
-    return F.coalesce(
-        F.when(v < 0, -size).otherwise(size), F.lit(-64 * _BANDS_PER_DOUBLING - 1).cast("bigint")
-    )
+from ..plans.stage_store import write_stage
 
 
 def ntile_profile(
@@ -35,34 +25,43 @@ def ntile_profile(
     """Average, minimum, maximum and row count of each of ``tiles`` equal parts.
 
     ``measure`` is a whole number; the rows are ranked by it as NTILE does,
-    with the larger tiles first. Columns: bucket, avg_, min_, max_``name``,
+    with the larger tiles first. Counting and sorting the values is a job that
+    runs when this is called. Columns: bucket, avg_, min_, max_``name``,
     total.
     """
     counted = (
         df.select(measure.cast("bigint").alias("v"))
         .groupBy("v")
         .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("band", _band(F.col("v")))
     )
-    all_bands = Window.orderBy("band")
-    bands = (
-        counted.groupBy("band")
-        .agg(F.sum("n").alias("band_rows"))
+    # stored, so that the offsets and the ranks come from the same ranges
+    ranges = write_stage(
+        counted.orderBy(F.col("v").asc_nulls_first()).withColumn(
+            "part", F.spark_partition_id()
+        ),
+        "value-ranges",
+    )
+    all_parts = Window.orderBy("part")
+    parts_before = (
+        ranges.groupBy("part")
+        .agg(F.sum("n").alias("part_rows"))
         .select(
-            "band",
+            "part",
             (
-                F.sum("band_rows").over(all_bands.rowsBetween(Window.unboundedPreceding, 0))
-                - F.col("band_rows")
+                F.sum("part_rows").over(all_parts.rowsBetween(Window.unboundedPreceding, 0))
+                - F.col("part_rows")
             ).alias("rows_before"),
-            F.sum("band_rows")
-            .over(all_bands.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+            F.sum("part_rows")
+            .over(all_parts.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
             .alias("total_rows"),
         )
     )
     within = (
-        Window.partitionBy("band").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+        Window.partitionBy("part")
+        .orderBy(F.col("v").asc_nulls_first())
+        .rowsBetween(Window.unboundedPreceding, 0)
     )
-    ranked = counted.join(F.broadcast(bands), "band").select(
+    ranked = ranges.join(F.broadcast(parts_before), "part").select(
         "v",
         (F.col("rows_before") + F.sum("n").over(within)).alias("last"),
         "n",

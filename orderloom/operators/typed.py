@@ -18,7 +18,7 @@ from ..functions import (
     whole_number_or_null,
 )
 from ..plans import fixed_values as fv
-from ..plans.group_joins import join_counted_groups
+from ..plans.group_joins import join_groups
 from ..plans.stage_store import write_stage
 
 # --- loading ----------------------------------------------------------------
@@ -108,7 +108,9 @@ def written_as(col: str, glob: str, reader: Callable[[Column], Column]) -> Const
     return Constraint(f"{col} readable", holds)
 
 
-def sales_constraints(text_dates: bool = False) -> list[Constraint]:
+def sales_constraints(
+    text_dates: bool = False, key_length: int = fv.KEY_LENGTH
+) -> list[Constraint]:
     """The constraints of the typed order table.
 
     Dates and timestamps that are still text (``text_dates``) have to be
@@ -125,7 +127,7 @@ def sales_constraints(text_dates: bool = False) -> list[Constraint]:
     ]
     return (
         [not_null(c) for c in required]
-        + [of_length(fv.KEY, fv.KEY_LENGTH)]
+        + [of_length(fv.KEY, key_length)]
         + [positive(c) for c in whole_positive]
         + [not_negative(c) for c in whole_from_zero]
         + (readable if text_dates else [])
@@ -184,10 +186,7 @@ def quarantine(
     checked = df.withColumn("failed", failed_constraints(constraints))
     if unique:
         repeated = write_stage(_repeated_keys(df, key), "repeated-keys")
-        others = [c for c in df.columns if c != key]
-        counted = join_counted_groups(
-            checked, repeated, [key], "violations", others, how="left"
-        )
+        counted = join_groups(checked, repeated, [key], how="left")
         shared = F.array_append("failed", F.lit(f"{key} unique"))
         checked = counted.withColumn(
             "failed", F.when(F.col("violations").isNull(), F.col("failed")).otherwise(shared)

@@ -1,102 +1,42 @@
-"""Joins from rows to counted groups that stay balanced under heavy skew.
-
-A counted group is a key with the number of rows that carry it. Any single
-group may hold a third of the table, so rows are never gathered by group key
-alone:
-
-* few groups: they are broadcast (the count has been checked), the rows do not
-  move;
-* many groups: both sides are shuffled on the key plus a slot number. A group
-  of more than ``hot_rows`` rows is spread over as many slots as it needs, all
-  others use slot 0. The list of hot groups that tells rows their slot count
-  cannot outgrow ``broadcast_rows``, because ``hot_rows`` rises with the table.
+"""Joins from rows to counted groups.
+
+A counted group is a key with the number of rows that carry it. The groups are
+a stage table, so Spark knows their real size in bytes: it broadcasts them
+below ``spark.sql.autoBroadcastJoinThreshold`` and shuffles both sides beyond
+it. Any group may hold a third of all rows, even rows that are alike in every
+column; the adaptive skew join cuts such a partition by its map outputs, which
+needs no column that tells the rows apart. Only row-preserving joins are
+offered, because those are the ones whose row side can be cut.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import Column, DataFrame, functions as F
-
-BROADCAST_ROWS = 200_000
-HOT_ROWS = 1_000_000
-
-_SLOT = "__slot"
-_SLOTS = "__slots"
-
+from functools import reduce
 
-def _prefixed(df: DataFrame, names: list[str], prefix: str) -> DataFrame:
-    return df.withColumnsRenamed({n: prefix + n for n in names})
+from pyspark.sql import DataFrame, functions as F
 
+_RIGHT = "__g_"
 
-def _same(names: list[str], prefix: str) -> Column:
-    out = F.lit(True)
-    for n in names:
-        out = out & F.col(n).eqNullSafe(F.col(prefix + n))
-    return out
 
-
-def join_counted_groups(
-    df: DataFrame,
-    groups: DataFrame,
-    on: list[str],
-    rows: str,
-    spread_by: list[str],
-    how: str = "left_semi",
-    broadcast_rows: int = BROADCAST_ROWS,
-    hot_rows: int = HOT_ROWS,
+def join_groups(
+    df: DataFrame, groups: DataFrame, on: list[str], how: str = "left_semi"
 ) -> DataFrame:
     """Join ``df`` to ``groups`` (unique on ``on``, NULL equals NULL).
 
-    ``groups`` should be a stage table: it is counted here and then joined.
-    ``rows`` names its column with the number of matching rows of ``df``;
-    ``spread_by`` are columns of ``df`` that tell the rows of a group apart.
     ``how`` is ``left_semi``, ``inner`` or ``left``; the last two add the
     groups' other columns.
     """
     if how not in ("left_semi", "inner", "left"):
         raise ValueError(f"unsupported join: {how}")
-    size = groups.agg(
-        F.count(F.lit(1)).alias("groups"),
-        F.coalesce(F.sum(rows), F.lit(0)).alias("rows"),
-    ).first()
-    right = _prefixed(groups, on, "__g_")
-    if size["groups"] <= broadcast_rows:
-        joined = df.join(F.broadcast(right), _same(on, "__g_"), how)
-        return joined.drop(*["__g_" + n for n in on])
-
-    hot_rows = max(hot_rows, math.ceil(size["rows"] / max(broadcast_rows, 1)))
-    slots = F.ceil(F.col(rows) / F.lit(hot_rows)).cast("int")
-    hot = groups.where(F.col(rows) > hot_rows).select(
-        *[F.col(n).alias("__h_" + n) for n in on], slots.alias(_SLOTS)
-    )
-    left = (
-        df.join(F.broadcast(hot), _same(on, "__h_"), "left")
-        .withColumn(
-            _SLOT,
-            F.pmod(F.xxhash64(*spread_by), F.coalesce(F.col(_SLOTS), F.lit(1))).cast("int"),
-        )
-        .drop(_SLOTS, *["__h_" + n for n in on])
-    )
-    right = right.withColumn(
-        "__g_" + _SLOT, F.explode(F.sequence(F.lit(0), F.greatest(slots, F.lit(1)) - 1))
-    )
-    joined = left.join(right, _same([*on, _SLOT], "__g_"), how)
-    return joined.drop(_SLOT, *["__g_" + n for n in [*on, _SLOT]])
-
+    right = groups.withColumnsRenamed({n: _RIGHT + n for n in on})
+    same = [F.col(n).eqNullSafe(F.col(_RIGHT + n)) for n in on]
+    joined = df.join(right, reduce(lambda a, b: a & b, same), how)
+    return joined.drop(*[_RIGHT + n for n in on])
 
-def is_short(keys: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether a stage table may be broadcast; its rows are counted from file footers."""
-    return keys.count() <= broadcast_rows
 
-
-def without_keys(
-    df: DataFrame, keys: DataFrame, key: str, broadcast_rows: int = BROADCAST_ROWS
-) -> DataFrame:
+def without_keys(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     """Rows of ``df`` whose ``key`` is not in the stage table ``keys``.
 
-    The list is broadcast only when it is short; a long one is joined by a
-    shuffle on the key. A NULL key matches nothing and stays.
+    A NULL key matches nothing and stays.
     """
-    short = is_short(keys, broadcast_rows)
-    return df.join(F.broadcast(keys) if short else keys, key, "left_anti")
+    return df.join(keys, key, "left_anti")

@@ -25,7 +25,6 @@ from ..operators.standardize import (
 from ..operators.typed import TYPED_COLUMNS, Constraint, enforce, load_typed, quarantine
 from ..sources import landing, sinks
 from . import fixed_values as fv
-from .group_joins import is_short
 from .stage_store import write_stage
 
 
@@ -124,12 +123,11 @@ def build_stages(
     key = fv.KEY
     raw = inputs.sales
     duplicates = dedup.first_of_each_group(raw, fv.DUPLICATE_COLUMNS_RAW, key)
-    without_duplicates = dedup.drop_one_per_duplicate_group(
-        raw, fv.DUPLICATE_COLUMNS_RAW, key, duplicates
+    # read by the cleaning and by eight kinds of log entries
+    without_duplicates = write_stage(
+        dedup.drop_one_per_duplicate_group(raw, fv.DUPLICATE_COLUMNS_RAW, key, duplicates),
+        "without-duplicates",
     )
-    if not is_short(duplicates):
-        # a long list is removed by a shuffle; the steps below should not repeat it
-        without_duplicates = write_stage(without_duplicates, "without-duplicates")
     with_qty = drop_blank(without_duplicates, "qty")
     unified = unify_value(with_qty, "order_status", fv.RECEIVED_PATTERN, fv.RECEIVED)
     shipped = standardize(
@@ -226,32 +224,31 @@ def _duplicate_entries(stages: Stages) -> dict[int, DataFrame]:
     }
 
 
-def audit_batches(stages: Stages, unique_key: bool = False) -> dict[str, DataFrame]:
+def audit_batches(stages: Stages) -> dict[str, DataFrame]:
     """The log entries of every change, each as a table of its own."""
     passes = _duplicate_entries(stages)
     batches = {"duplicates": passes[0], "duplicates_clean": passes[9]}
     for s in log_steps():
         batches[s.entry] = audit.audit_entries(
-            getattr(stages, s.table), s.entry, s.where, s.reason, unique_key=unique_key
+            getattr(stages, s.table), s.entry, s.where, s.reason
         )
     return batches
 
 
-def all_audit_entries(stages: Stages, unique_key: bool = False) -> DataFrame:
-    """One table of all log entries with ``step``, the place of their change.
+def audit_entries_of(stages: Stages, entries: list[str]) -> DataFrame:
+    """The log entries of the named changes: one scan and one grouping per stored table."""
+    parts = []
+    for base, members in _members().items():
+        own = [s for s in log_steps() if s.table in members and s.entry in entries]
+        if own:
+            parts.append(audit.fused_entries(getattr(stages, base), members, own))
+    return reduce(DataFrame.unionByName, parts)
 
-    With ``unique_key`` the entries of all changes come from two scans; keys
-    that repeat have to be grouped change by change.
-    """
+
+def all_audit_entries(stages: Stages) -> DataFrame:
+    """One table of all log entries with ``step``, the place of their change."""
     parts = [df.withColumn("step", F.lit(i)) for i, df in _duplicate_entries(stages).items()]
-    steps = log_steps()
-    if unique_key:
-        for base, members in _members().items():
-            own = [s for s in steps if s.table in members]
-            parts.append(audit.fused_entries(getattr(stages, base), members, own))
-    else:
-        batches = audit_batches(stages)
-        parts += [batches[s.entry].withColumn("step", F.lit(s.step)) for s in steps]
+    parts.append(audit_entries_of(stages, [s.entry for s in log_steps()]))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -279,12 +276,11 @@ def prepare(
 
     Running it again replaces the tables. The log grows by one batch per
     run, and entries that an earlier run has logged are skipped. A run that is
-    given a name replaces the batch of that name; without one it replaces none. ``backup`` keeps a copy of the typed table as
-    it was before any row was deleted from it.
+    given a name replaces the batch of that name; without one it replaces none.
+    ``backup`` keeps a copy of the typed table as it was before any row was
+    deleted from it.
     """
     stages = build_stages(inputs, constraints, strict)
-    repeated = stages.raw.groupBy(fv.KEY).count().where("count > 1 or order_id is null")
-    unique_key = repeated.limit(1).count() == 0
     fact = sinks.snapshot(star.fact_sales(stages.final), f"{out}/fact_sales")
     categories = sinks.snapshot(
         star.dim_order_category(inputs.order_categories, fact), f"{out}/dim_order_category"
@@ -293,8 +289,8 @@ def prepare(
     log_path, mirror_path = f"{out}/audit_log", f"{out}/backup_audit_log"
     # entries of one step differ in their order, those of two steps in their texts
     audit.append_audit(
-        all_audit_entries(stages, unique_key), log_path, mirror_path,
-        batch_id=run, order_by=["step", fv.KEY], unique_batch=unique_key,
+        all_audit_entries(stages), log_path, mirror_path,
+        batch_id=run, order_by=["step", fv.KEY],
     )
     if backup:
         sinks.snapshot(stages.flagged.select(*TYPED_COLUMNS), f"{out}/backup_sales")
@@ -308,11 +304,25 @@ def prepare(
 
 
 def stage_counts(stages: Stages) -> DataFrame:
-    """(stage, rows) of every step, in order; one count per stage, one job."""
-    counted = [
-        getattr(stages, f.name).agg(F.count(F.lit(1)).alias("rows")).select(
-            F.lit(i).alias("step"), F.lit(f.name).alias("stage"), "rows"
-        )
-        for i, f in enumerate(fields(stages))
-    ]
-    return reduce(DataFrame.unionByName, counted).orderBy("step")
+    """(stage, rows) of every step, in order.
+
+    One aggregate per stored table; steps that are row-local selections of a
+    stored table are counted by their condition in the same scan.
+    """
+    order = [f.name for f in fields(stages)]
+    selections = _members()
+    inside = {name for members in selections.values() for name in members}
+    parts = []
+    for base in order:
+        if base in inside and base not in selections:
+            continue
+        members = selections.get(base, {base: F.lit(True)})
+        counts = [F.count_if(is_true(m)).alias(name) for name, m in members.items()]
+        totals = getattr(stages, base).agg(*counts)
+        parts.append(totals.unpivot([], list(members), "stage", "rows"))
+    place = F.array_position(F.lit(order), F.col("stage")).cast("int") - 1
+    return (
+        reduce(DataFrame.unionByName, parts)
+        .select(place.alias("step"), "stage", "rows")
+        .orderBy("step")
+    )

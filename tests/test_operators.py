@@ -19,8 +19,8 @@ from orderloom.operators.standardize import (
     unify_value,
 )
 from orderloom.plans import fixed_values as fv
-from orderloom.plans.group_joins import join_counted_groups, without_keys
-from orderloom.plans.stage_store import new_stage_path, write_stage
+from orderloom.plans.group_joins import join_groups, without_keys
+from orderloom.plans.stage_store import new_stage_path, stage_paths, write_stage
 from orderloom.sources import landing, sinks
 
 
@@ -85,17 +85,36 @@ def test_duplicates_against_brute_force(spark, pairs):
     assert {r.k for r in got.collect()} == {k for k, _, _ in data} - firsts
 
 
+@pytest.fixture
+def no_broadcast(spark):
+    """Joins are shuffled, and partitions above a few kilobytes count as skewed."""
+    given_values = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4kb",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4kb",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1kb",
+    }
+    before = {k: spark.conf.get(k, None) for k in given_values}
+    for k, v in given_values.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 @pytest.mark.parametrize("how", ["left_semi", "inner", "left"])
-@pytest.mark.parametrize("limits", [(100, 10), (1, 3), (0, 1)])
-def test_counted_join_gives_the_same_by_broadcast_and_by_slots(spark, how, limits):
+@pytest.mark.parametrize("shuffled", [False, True])
+def test_join_gives_the_same_by_broadcast_and_by_shuffle(spark, how, shuffled, request):
+    if shuffled:
+        request.getfixturevalue("no_broadcast")
     # one group holds a third of all rows; NULL is a group like any other
     data = [(i, "hot" if i % 3 == 0 else None if i % 7 == 0 else f"g{i % 11}") for i in range(300)]
     df = spark.createDataFrame(data, "id int, g string")
     wanted = df.groupBy("g").agg(F.count(F.lit(1)).alias("n")).where("g is null or g in ('hot', 'g1')")
     groups = write_stage(wanted, "test-groups")
-    got = join_counted_groups(
-        df, groups, ["g"], "n", ["id"], how, broadcast_rows=limits[0], hot_rows=limits[1]
-    )
+    got = join_groups(df, groups, ["g"], how)
     sizes = {r.g: r.n for r in groups.collect()}
     if how == "left_semi":
         expected = [(i, g) for i, g in data if g in sizes]
@@ -106,21 +125,26 @@ def test_counted_join_gives_the_same_by_broadcast_and_by_slots(spark, how, limit
     assert rows(got) == sorted(expected, key=repr)
 
 
-def test_hot_groups_are_spread_over_slots(spark):
-    df = spark.range(4000).select("id", F.lit("hot").alias("g"))
-    groups = write_stage(df.groupBy("g").agg(F.count(F.lit(1)).alias("n")), "hot-group")
-    joined = join_counted_groups(df, groups, ["g"], "n", ["id"], "inner", broadcast_rows=0, hot_rows=100)
-    assert joined.count() == 4000
-    # with no broadcast allowed the hot list is as long as its own bound
-    plan = joined._jdf.queryExecution().optimizedPlan().toString()
-    assert "__slot" in plan
+def test_a_third_of_equal_rows_is_split(spark, no_broadcast):
+    # the copies agree in every column, the key included; long, as they compress well
+    copy = F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id"))
+    long = F.when(copy == -1, F.repeat(F.sha2(F.lit("same"), 256), 60)).otherwise(copy.cast("string"))
+    df = write_stage(spark.range(0, 30000, 1, 16).select(copy.alias("k"), long.alias("v")), "copies")
+    got = dedup.duplicate_rows(df, ["v"], "k")
+    assert got.agg(F.count("*"), F.min("group_rows")).first() == (10000, 10000)
+    groups = write_stage(df.groupBy("v").agg(F.count(F.lit(1)).alias("n")), "all-groups")
+    joined = join_groups(df, groups, ["v"], "inner")
+    assert len(joined.collect()) == 30000
+    assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("limit", [0, 100])
-def test_without_keys_keeps_null_keys(spark, limit):
+@pytest.mark.parametrize("shuffled", [False, True])
+def test_without_keys_keeps_null_keys(spark, shuffled, request):
+    if shuffled:
+        request.getfixturevalue("no_broadcast")
     df = spark.createDataFrame([("a",), ("b",), (None,)], "k string")
     keys = write_stage(spark.createDataFrame([("a",)], "k string"), "test-keys")
-    assert rows(without_keys(df, keys, "k", limit)) == [("b",), (None,)]
+    assert rows(without_keys(df, keys, "k")) == [("b",), (None,)]
 
 
 # --- cleaning ---------------------------------------------------------------
@@ -538,6 +562,41 @@ def test_entries_count_rows_of_a_repeated_order(spark):
     assert got == [("a", 3, 2), (None, 3, 0)]
 
 
+def test_entries_of_any_table_and_change(spark):
+    df = spark.createDataFrame([("a", 1), ("b", -1)], "id string, stock int")
+    text = audit.LogText("stock", "Negative stock", "Delete", "warehouse")
+    got = audit.audit_entries(df, text, F.col("stock") < 0, key="id")
+    assert rows(got) == [("b", "stock", "Negative stock", "Delete", "warehouse", 2, 1)]
+
+
+def test_an_append_reads_only_its_kinds_of_entries(spark):
+    log, mirror = new_stage_path(spark, "log"), new_stage_path(spark, "mirror")
+    one = entries(spark, "a", "b")
+    other = one.withColumn("attribute", F.lit("another"))
+    audit.append_audit(one, log, mirror)
+    audit.append_audit(other, log, mirror)
+    kinds = one.select(audit.kind_of_entry().alias("k")).agg(F.collect_set("k")).scalar()
+    known = spark.read.parquet(log).where(F.array_contains(kinds, F.col(audit.KIND)))
+    assert known.count() == 2
+    plan = known._jdf.queryExecution().executedPlan().toString()
+    scan = next(line for line in plan.splitlines() if "PartitionFilters" in line and "kind" in line)
+    assert "array_contains" in scan[scan.index("PartitionFilters"):]
+    audit.append_audit(one.unionByName(other), log, mirror)
+    assert rows(audit.read_log(spark, log).select("log_id")) == [(1,), (2,), (3,), (4,)]
+
+
+def test_close_values_are_ranked_in_many_tasks(spark, no_broadcast):
+    # microseconds since 1970, close together: the ranges follow the data
+    micros = F.lit(1_700_000_000_000_000) + F.col("id")
+    df = spark.range(0, 20000, 1, 8).select(micros.alias("v"))
+    before = set(stage_paths(spark))
+    out = distribution.ntile_profile(df, F.col("v"), "v")
+    assert [r.total for r in out.collect()] == [2000] * 10
+    (made,) = set(stage_paths(spark)) - before
+    sizes = spark.read.parquet(made).groupBy("part").count().collect()
+    assert len(sizes) > 1 and max(r["count"] for r in sizes) < 15000
+
+
 def test_summary(spark):
     log = entries(spark, "a", "b").unionByName(entries(spark, "a", reason="q"))
     assert rows(audit.audit_summary(log)) == [("s", "a", 2, 3)]

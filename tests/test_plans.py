@@ -73,13 +73,13 @@ def test_filters_and_columns_reach_the_scan(spark, sf_dir):
 
 
 def test_tiles_rank_distinct_values_only(spark):
-    # the one place that sees everything sees bands, not rows
+    # the one place that sees everything sees partitions of the sort, not rows
     df = write_stage(spark.range(50000).select((F.col("id") % 4321).alias("v")), "tiles")
     out = distribution.ntile_profile(df, F.col("v"), "v")
     text = plan(out)
     assert text.count("SinglePartition") == 1
     single = text[: text.index("SinglePartition")].splitlines()[-3:]
-    assert any("band" in line for line in single)
+    assert any("part" in line for line in single)
     assert [r.total for r in out.collect()] == [5000] * 10
 
 
