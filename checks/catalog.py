@@ -113,7 +113,7 @@ def rename_columns(spark, sf_dir):
     return landing.rename_columns(landing.rename_columns(raw, headers), fv.LANDING_RENAMES)
 
 
-on_raw("peek_limit", lambda df: profile.peek(df, 100, [KEY]))
+on_raw("peek_limit", lambda df: profile.peek(df, 100, fv.RAW_COLUMNS))
 on_raw("distinct_len", lambda df: profile.key_length_outliers(df, KEY, fx.ID_LENGTH))
 on_raw("id_format_check", lambda df: profile.key_prefix_outliers(df, KEY))
 on_raw("id_format_strict", lambda df: profile.key_format_outliers(df, KEY, fx.ID_PATTERN))

@@ -25,6 +25,35 @@ COPY_AS_IS, COPY_OTHER_DATE = 5, 6
 ID_LENGTH = len("ORD_") + 1 + KEY_DIGITS
 ID_PATTERN = rf"^ORD_\d{{{1 + KEY_DIGITS}}}$"
 
+# Planted defects, by the remainder 0 of the order key: (divisor, column, text).
+# The first that fits wins; None is NULL.
+PLANTED = [
+    (331, "product_categories", ""), (523, "product_categories", None),
+    (337, "order_timestamp", "2024-02-30 10:00"), (347, "order_timestamp", ""),
+    (349, "order_date", "2020-02-29"),
+    (353, "cancel_reason", fv.NOT_CANCELLED_REASON),
+    (563, "cancel_reason", "Dibatalkan oleh Penjual. Alasan: Produk habis"),
+    (433, "cancel_reason", None),
+    (431, "order_status", None),
+    (509, "ship_method", None),
+    (359, "pay_method", "Barter"), (521, "pay_method", None),
+    (367, "city", "KAB. NOWHERE"), (439, "city", None),
+    (373, "province", "NOWHERE"), (443, "province", None),
+    (449, "qty", "0"),
+    (397, "weight_gr", ""), (457, "weight_gr", "0"),
+    (401, "returned_qty", ""), (463, "returned_qty", "-1"),
+    (409, "discount", ""), (467, "discount", "-500"),
+    (421, "category_count", ""), (461, "category_count", "0"),
+    (419, "ship_fee", ""), (479, "ship_fee", "-1000"),
+    (389, "ship_disc", ""), (487, "ship_disc", "-1000"),
+    (379, "payment", ""), (491, "payment", "-1000"),
+    (383, "ship_est", ""), (503, "ship_est", "-1000"),
+]
+# Planted ids, for orders without copies: too short, wrong start, NULL, and one
+# id that many orders share.
+SHORT_ID, WRONG_ID, NULL_ID, SHARED_ID = 307, 311, 313, 317
+SHARED = "ORD_9" + "0" * KEY_DIGITS
+
 PROMO_LABEL = "Seal / Baut / Roof"
 
 STATUS = {"F": fv.DONE, "O": fv.CANCELLED}
@@ -155,8 +184,16 @@ def derive_raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     status = F.when(F.col("o_orderstatus") == "F", F.lit(STATUS["F"])).when(
         cancelled, F.lit(STATUS["O"])
     )
+    alone = ~multiple(499) & ~multiple(67)
+    key = (
+        F.when(alone & multiple(SHORT_ID), F.concat(F.lit("ORD_"), k.cast("string")))
+        .when(alone & multiple(WRONG_ID), F.concat(F.lit("XRD-0"), F.lpad(k.cast("string"), KEY_DIGITS, "0")))
+        .when(alone & multiple(NULL_ID), F.lit(None))
+        .when(alone & multiple(SHARED_ID), F.lit(SHARED))
+        .otherwise(order_id(k, F.col("shift")))
+    )
     columns = {
-        "order_id": order_id(k, F.col("shift")),
+        "order_id": key,
         "qty": F.when(multiple(67), F.lit("")).when(
             multiple(2), F.concat(pieces, F.lit(".0"))
         ).otherwise(pieces),
@@ -185,7 +222,14 @@ def derive_raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
         "order_date": written_date,
     }
-    return rows.select(*[c.cast("string").alias(n) for n, c in columns.items()])
+
+    def planted(name: str, text: Column) -> Column:
+        for divisor, column, value in reversed(PLANTED):
+            if column == name:
+                text = F.when(multiple(divisor), F.lit(value)).otherwise(text)
+        return text.alias(name)
+
+    return rows.select(*[planted(n, c.cast("string")) for n, c in columns.items()])
 
 
 def derive_order_category(spark: SparkSession, sf_dir: str) -> DataFrame:

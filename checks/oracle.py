@@ -30,6 +30,15 @@ def _list(columns: list[str], prefix: str = "") -> str:
     return ", ".join(prefix + c for c in columns)
 
 
+def _planted(name: str) -> str:
+    whens = "".join(
+        f" WHEN k % {divisor} = 0 THEN {'NULL' if value is None else _text(value)}"
+        for divisor, column, value in fx.PLANTED
+        if column == name
+    )
+    return f"CASE{whens} ELSE {name} END AS {name}" if whens else name
+
+
 def whole(c: str) -> str:
     """The longest leading whole number of a text; 0 if there is none."""
     digits = rf"regexp_extract({c}, '^\s*([+-]?\d+)', 1)"
@@ -85,8 +94,13 @@ _INPUTS = [
   SELECT 0 AS shift, * FROM order_base
   UNION ALL SELECT {fx.COPY_AS_IS}, * FROM order_base WHERE k % 499 = 0
   UNION ALL SELECT {fx.COPY_OTHER_DATE}, * FROM order_base WHERE k % 1497 = 0)""",
-    f"""raw_sales AS (
-  SELECT 'ORD_' || shift || lpad(CAST(k AS VARCHAR), {fx.KEY_DIGITS}, '0') AS order_id,
+    f"""raw_plain AS (
+  SELECT k, CASE WHEN k % 499 <> 0 AND k % 67 <> 0 AND k % {fx.SHORT_ID} = 0 THEN 'ORD_' || k
+         WHEN k % 499 <> 0 AND k % 67 <> 0 AND k % {fx.WRONG_ID} = 0
+           THEN 'XRD-0' || lpad(CAST(k AS VARCHAR), {fx.KEY_DIGITS}, '0')
+         WHEN k % 499 <> 0 AND k % 67 <> 0 AND k % {fx.NULL_ID} = 0 THEN NULL
+         WHEN k % 499 <> 0 AND k % 67 <> 0 AND k % {fx.SHARED_ID} = 0 THEN {_text(fx.SHARED)}
+         ELSE 'ORD_' || shift || lpad(CAST(k AS VARCHAR), {fx.KEY_DIGITS}, '0') END AS order_id,
     CASE WHEN k % 67 = 0 THEN '' WHEN k % 2 = 0 THEN CAST(1 + k % 20 AS VARCHAR) || '.0'
          ELSE CAST(1 + k % 20 AS VARCHAR) END AS qty,
     CAST(weight AS VARCHAR) AS weight_gr,
@@ -112,6 +126,7 @@ _INPUTS = [
     CASE WHEN k % 89 = 0 THEN '' WHEN k % 83 = 0 THEN '2024-13-40'
          WHEN k % 7 = 0 AND shift <> {fx.COPY_OTHER_DATE} THEN day_first ELSE d END AS order_date
   FROM order_copies)""",
+    f"raw_sales AS (SELECT {', '.join(_planted(c) for c in fv.RAW_COLUMNS)} FROM raw_plain)",
     _values("map_ship", fx.MAP_SHIP, fx.MAP_SHIP_COLUMNS),
     _values("map_pay", fx.MAP_PAY, fx.MAP_PAY_COLUMNS),
     _values("map_cancel", fx.MAP_CANCEL, fx.MAP_CANCEL_COLUMNS),
@@ -144,7 +159,7 @@ def _mapped(name: str, source: str) -> str:
   LEFT JOIN map_pay pay ON pay.pay_method = s.pay_method
   LEFT JOIN map_place town ON town.city = s.city
   LEFT JOIN (SELECT * FROM map_place WHERE province <> '') prov ON prov.province = s.province
-  WHERE s.qty <> '' AND s.pay_method <> '')"""
+  WHERE s.qty IS DISTINCT FROM '' AND s.pay_method IS DISTINCT FROM '')"""
 
 
 _NUMBERS = fv.NUMERIC_TEXT_COLUMNS
@@ -158,19 +173,20 @@ TYPED_SELECT = (
 )
 
 WEIGHT_FLAG = f"""CASE
-    WHEN qty < {fv.BULK_PIECES} AND weight_gr / CAST(qty AS DOUBLE) > {fv.TOO_HEAVY_ITEM_GR}
+    WHEN qty < {fv.BULK_PIECES} AND weight_gr / nullif(CAST(qty AS DOUBLE), 0) > {fv.TOO_HEAVY_ITEM_GR}
       THEN 'Invalid_Per_Item_Too_Heavy'
     WHEN shipping_category = 'Instant' AND weight_gr > {fv.TOO_HEAVY_INSTANT_GR}
       THEN 'Invalid_Instant_Too_Heavy'
-    WHEN qty < {fv.BULK_PIECES} AND weight_gr / CAST(qty AS DOUBLE) > {fv.HEAVY_ITEM_GR}
+    WHEN qty < {fv.BULK_PIECES} AND weight_gr / nullif(CAST(qty AS DOUBLE), 0) > {fv.HEAVY_ITEM_GR}
       THEN 'Suspicious_Per_Item_Heavy'
     WHEN shipping_category IN ('Instant', 'Same Day') AND weight_gr > {fv.HEAVY_FAST_GR}
       THEN 'Suspicious_Fast_Shipping_Heavy'
     ELSE 'Normal' END"""
 PAYMENT_FLAG = f"""CASE
-    WHEN payment <= {fv.HIGH_VALUE} THEN 'Normal'
+    WHEN payment IS NULL OR payment <= {fv.HIGH_VALUE} THEN 'Normal'
     WHEN product_categories ILIKE {_text(fv.HEAVY_CATEGORY_PATTERN)} THEN 'High_Value_Heavy_Category'
-    WHEN qty <= {fv.FEW_PIECES} THEN 'Suspicious_High_Value_Low_Qty'
+    WHEN qty <= {fv.FEW_PIECES} AND product_categories IS NOT NULL
+      THEN 'Suspicious_High_Value_Low_Qty'
     WHEN qty >= {fv.BULK_PIECES} THEN 'High_Value_Bulk'
     ELSE 'High_Value' END"""
 PAYMENT_SEGMENT = f"""CASE WHEN payment >= {fv.HIGH_VALUE} THEN 'High Value'
@@ -182,15 +198,23 @@ SHIPPING_FLAG = f"""CASE
     WHEN abs(ship_est - ship_disc - ship_fee) > {fv.GAP_SUSPICIOUS} THEN 'Suspicious'
     ELSE 'Normal' END"""
 COD_STATUS = """CASE
-    WHEN pay_method <> 'Cash On Delivery' THEN 'Non_COD'
-    WHEN order_status IN ('Selesai', 'Pesanan Diterima')
-      THEN CASE WHEN payment = 0 THEN 'COD_1' ELSE 'COD_3' END
-    WHEN order_status = 'Batal' THEN CASE WHEN payment > 0 THEN 'COD_2' ELSE 'COD_6' END
-    WHEN order_status IN ('Sedang Dikirim', 'Telah Dikirim')
-      THEN CASE WHEN payment = 0 THEN 'COD_4' ELSE 'COD_5' END
+    WHEN pay_method IS DISTINCT FROM 'Cash On Delivery' THEN 'Non_COD'
+    WHEN payment = 0 THEN CASE
+      WHEN order_status IN ('Selesai', 'Pesanan Diterima') THEN 'COD_1'
+      WHEN order_status IN ('Sedang Dikirim', 'Telah Dikirim') THEN 'COD_4'
+      WHEN order_status = 'Batal' THEN 'COD_6' ELSE 'COD_Other' END
+    WHEN payment > 0 THEN CASE
+      WHEN order_status = 'Batal' THEN 'COD_2'
+      WHEN order_status IN ('Selesai', 'Pesanan Diterima') THEN 'COD_3'
+      WHEN order_status IN ('Sedang Dikirim', 'Telah Dikirim') THEN 'COD_5' ELSE 'COD_Other' END
     ELSE 'COD_Other' END"""
 
-ZERO_PAYMENT = "(payment = 0 AND order_status <> 'Batal' AND pay_method <> 'Free (No Payment)')"
+# never NULL: an unknown payment is no violation, an unknown excuse is none
+ZERO_PAYMENT = (
+    "(payment IS NOT DISTINCT FROM 0 AND (order_status = 'Batal'"
+    " OR pay_method = 'Free (No Payment)') IS NOT TRUE)"
+)
+ABOVE_DISC = "(ship_disc <= ship_est) IS NOT TRUE"
 
 
 def _typed(name: str, source: str) -> str:
@@ -204,21 +228,26 @@ def _typed(name: str, source: str) -> str:
 
 
 def _without_first(name: str, source: str, cols: list[str]) -> str:
-    """All rows but the first of each duplicate group."""
-    group = f"(PARTITION BY {_list(cols)})"
-    ranked = f"(PARTITION BY {_list(cols)} ORDER BY order_id)"
+    """All rows but those with the smallest id of a duplicate group."""
     return f"""{name} AS (
-  SELECT * EXCLUDE (in_group, place) FROM (
-    SELECT *, count(*) OVER {group} AS in_group, row_number() OVER {ranked} AS place FROM {source})
-  WHERE NOT (in_group > 1 AND place = 1))"""
+  SELECT * FROM {source} WHERE order_id IS NULL OR order_id NOT IN (
+    SELECT order_id FROM ({_dup_groups(source, cols)}) WHERE order_id IS NOT NULL))"""
+
+
+def _dup_groups(source: str, cols: list[str]) -> str:
+    part = f"PARTITION BY {_list(cols)}"
+    return f"""SELECT * EXCLUDE (place) FROM (
+      SELECT count(*) OVER ({part}) AS group_rows, *,
+        row_number() OVER ({part} ORDER BY order_id NULLS FIRST) AS place FROM {source})
+    WHERE group_rows > 1 AND place = 1"""
 
 
 _STAGES = [
     _mapped("cleaned_sales", "raw_sales"),
     _typed("typed_sales", "cleaned_sales"),
     _without_first("unique_raw", "raw_sales", fv.DUPLICATE_COLUMNS_RAW),
-    "with_qty AS (SELECT * FROM unique_raw WHERE qty <> '')",
-    "with_pay AS (SELECT * FROM with_qty WHERE pay_method <> '')",
+    "with_qty AS (SELECT * FROM unique_raw WHERE qty IS DISTINCT FROM '')",
+    "with_pay AS (SELECT * FROM with_qty WHERE pay_method IS DISTINCT FROM '')",
     _mapped("repaired", "unique_raw"),
     _without_first("clean", "repaired", fv.DUPLICATE_COLUMNS_CLEAN),
     _typed("flagged", "clean"),
@@ -281,14 +310,6 @@ def _reconcile(source: str, col: str) -> str:
           FROM (SELECT {text} AS t, {as_date('order_timestamp[1:10]')} AS day FROM {source}))"""
 
 
-def _dup_groups(source: str, cols: list[str]) -> str:
-    part = f"PARTITION BY {_list(cols)}"
-    return f"""SELECT * EXCLUDE (place) FROM (
-      SELECT count(*) OVER ({part}) AS group_rows, *,
-        row_number() OVER ({part} ORDER BY order_id) AS place FROM {source})
-    WHERE group_rows > 1 AND place = 1"""
-
-
 def _dup_rows(source: str, cols: list[str]) -> str:
     return f"""SELECT * FROM (
       SELECT *, count(*) OVER (PARTITION BY {_list(cols)}) AS group_rows FROM {source})
@@ -309,7 +330,7 @@ def _domain(col: str, mapping: str, new: str) -> str:
 def _ntile(source: str, measure: str, name: str) -> str:
     return f"""SELECT CAST(bucket AS BIGINT) AS bucket, round(avg(v)) AS avg_{name},
       min(v) AS min_{name}, max(v) AS max_{name}, count(*) AS total
-    FROM (SELECT {measure} AS v, ntile(10) OVER (ORDER BY {measure}) AS bucket FROM {source})
+    FROM (SELECT {measure} AS v, ntile(10) OVER (ORDER BY {measure} NULLS FIRST) AS bucket FROM {source})
     GROUP BY bucket"""
 
 
@@ -329,8 +350,8 @@ _RULES = {
     "free_but_paid": "pay_method = 'Free (No Payment)' AND payment > 0",
     "invalid_zero_payment": ZERO_PAYMENT,
     "discount_gt_total": "discount > payment + ship_fee AND order_status <> 'Batal'",
-    "invalid_ship_disc": "ship_disc > ship_est",
-    "ship_fee_gt_est": "ship_fee > ship_est",
+    "invalid_ship_disc": ABOVE_DISC,
+    "ship_fee_gt_est": "(ship_fee <= ship_est) IS NOT TRUE",
     "status_reason_mismatch": _MISMATCH,
     "return_not_done": "returned_qty > 0 AND order_status <> 'Selesai'",
     "date_ts_mismatch": "CAST(order_timestamp AS DATE) <> order_date_clean",
@@ -346,10 +367,10 @@ def _rule(name: str, columns: str) -> str:
 def _audit(entry: str, source: str, where: str = "true", reason: str | None = None) -> str:
     attribute, fixed, solution, table = fv.AUDIT_TEXTS[entry]
     return f"""SELECT order_id, {_text(attribute)} AS attribute,
-      {reason or _text(fixed)} AS reason, {_text(solution)} AS solution,
+      {f'min({reason})' if reason else _text(fixed)} AS reason, {_text(solution)} AS solution,
       {_text(table)} AS source_table, (SELECT count(order_id) FROM {source}) AS total_rows,
-      CAST(1 AS BIGINT) AS problematic_rows
-    FROM {source} WHERE {where}"""
+      count(order_id) AS problematic_rows
+    FROM {source} WHERE {where} GROUP BY order_id"""
 
 
 def _audit_dups(source: str, cols: list[str]) -> str:
@@ -378,7 +399,7 @@ _AUDITS = {
     "payment_flag": _audit(
         "payment_flag", "valid_payment", "payment_flag <> 'Normal'", "payment_flag"
     ),
-    "ship_disc": _audit("ship_disc", "valid_payment", "ship_disc > ship_est"),
+    "ship_disc": _audit("ship_disc", "valid_payment", ABOVE_DISC),
     "shipping_flag": _audit("shipping_flag", "final", "shipping_flag <> 'Normal'", "shipping_flag"),
 }
 
@@ -388,7 +409,7 @@ def _numbered(entries: list[str]) -> str:
     steps = " UNION ALL ".join(
         f"SELECT {i} AS step, * FROM ({_AUDITS[e]})" for i, e in enumerate(entries)
     )
-    return f"""SELECT * EXCLUDE (step), row_number() OVER (ORDER BY step, order_id) AS log_id
+    return f"""SELECT * EXCLUDE (step), row_number() OVER (ORDER BY step, order_id NULLS FIRST) AS log_id
     FROM ({steps})"""
 
 
@@ -409,7 +430,7 @@ def _broken_constraints() -> str:
     )
     return (
         f"{rows} UNION ALL SELECT order_id, 'order_id unique', count(*) FROM loaded "
-        "GROUP BY order_id HAVING count(*) > 1"
+        "WHERE order_id IS NOT NULL GROUP BY order_id HAVING count(*) > 1"
     )
 
 
@@ -423,21 +444,23 @@ def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
 
     # sources and sinks
-    q["scan_landing_text"] = f"SELECT {_RAW} FROM raw_sales"
+    q["scan_landing_text"] = "SELECT " + ", ".join(
+        f"coalesce({c}, '') AS {c}" for c in fv.RAW_COLUMNS
+    ) + " FROM raw_sales"
     q["scan_mapping_dedup"] = """
       SELECT DISTINCT 'city' AS list, city AS key, city_new AS value FROM map_place WHERE city <> ''
       UNION ALL
       SELECT DISTINCT 'province', province, province_new FROM map_place WHERE province <> ''"""
     q["snapshot_backup"] = "SELECT * FROM typed_sales"
     q["export_roundtrip"] = (
-        "SELECT CAST(COLUMNS(*) AS VARCHAR) FROM "
-        "(SELECT * REPLACE (coalesce(shipping_category, '') AS shipping_category, "
-        "coalesce(shipping_carrier, '') AS shipping_carrier) FROM fact)"
+        "SELECT coalesce(COLUMNS(*), '') AS '\\0' FROM (SELECT CAST(COLUMNS(*) AS VARCHAR) FROM fact)"
     )
 
     # profiles
     q["rename_columns"] = f"SELECT {_RAW} FROM raw_sales"
-    q["peek_limit"] = f"SELECT {_RAW} FROM raw_sales ORDER BY order_id LIMIT 100"
+    q["peek_limit"] = (f"SELECT {_RAW} FROM raw_sales ORDER BY "
+      + ", ".join(f"{c} NULLS FIRST" for c in fv.RAW_COLUMNS)
+      + " LIMIT 100")
     q["distinct_len"] = f"""SELECT DISTINCT length(order_id) AS key_length FROM raw_sales
       WHERE length(order_id) <> {fx.ID_LENGTH}"""
     q["id_format_check"] = """SELECT DISTINCT left(order_id, 3) AS prefix, order_id[4:4] AS joiner
@@ -488,7 +511,7 @@ def oracle_sql() -> dict[str, str]:
     q["dup_rows_full"] = _dup_rows("raw_sales", raw_cols)
     q["dedup_one_per_group"] = "SELECT * FROM unique_raw"
     q["dedup_keep_first"] = f"""SELECT * FROM raw_sales QUALIFY
-      row_number() OVER (PARTITION BY {_list(raw_cols)} ORDER BY order_id) = 1"""
+      row_number() OVER (PARTITION BY {_list(raw_cols)} ORDER BY order_id NULLS FIRST) = 1"""
     q["dup_groups_4col"] = _dup_groups("typed_sales", fv.DUPLICATE_COLUMNS_SHORT)
     q["dup_groups_after"] = _dup_groups("repaired", clean_cols)
     q["dup_rows_after"] = _dup_rows("repaired", clean_cols)
@@ -496,7 +519,7 @@ def oracle_sql() -> dict[str, str]:
     q["dup_rows_final"] = _dup_rows("final", clean_cols)
 
     # cleaning
-    q["drop_blank"] = "SELECT * FROM raw_sales WHERE qty <> ''"
+    q["drop_blank"] = "SELECT * FROM raw_sales WHERE qty IS DISTINCT FROM ''"
     q["unify_status"] = f"""SELECT order_id, CASE
         WHEN order_status ILIKE {_text(fv.RECEIVED_PATTERN)} THEN {_text(fv.RECEIVED)}
         ELSE order_status END AS order_status FROM raw_sales"""
@@ -519,8 +542,8 @@ def oracle_sql() -> dict[str, str]:
       FROM typed_sales"""
     q["enrich_cancel"] = "SELECT order_id, cancel_reason, cancel_by, sub_reason FROM typed_sales"
     q["per_item_weight"] = """SELECT order_id, product_categories,
-        weight_gr / 1000.0::DOUBLE / qty AS per_item_kg, weight_gr / 1000.0::DOUBLE AS weight_kg, qty
-      FROM typed_sales WHERE qty < 10 AND weight_gr / 1000.0::DOUBLE / qty > 10"""
+        weight_gr / 1000.0::DOUBLE / nullif(qty, 0) AS per_item_kg, weight_gr / 1000.0::DOUBLE AS weight_kg, qty
+      FROM typed_sales WHERE qty < 10 AND weight_gr / 1000.0::DOUBLE / nullif(qty, 0) > 10"""
     q["fast_ship_heavy"] = """SELECT order_id, ship_method, shipping_carrier,
         round(weight_gr / 1000.0::DOUBLE, 3) AS weight_kg FROM typed_sales
       WHERE shipping_category IN ('Instant', 'Same Day')
@@ -646,6 +669,6 @@ def oracle_sql() -> dict[str, str]:
     broken = _broken_constraints()
     out["constraint_violations"] = loaded + broken
     out["constraint_quarantine"] = loaded + f"""SELECT order_id,
-      CASE WHEN order_id IN (SELECT order_id FROM ({broken})) THEN 'rejected'
+      CASE WHEN order_id IS NULL OR order_id IN (SELECT order_id FROM ({broken})) THEN 'rejected'
            ELSE 'accepted' END AS side FROM loaded"""
     return out
