@@ -17,6 +17,7 @@ from orderloom.operators.standardize import (
 from orderloom.operators.typed import (
     TYPED_COLUMNS,
     constraint_violations,
+    enforce,
     load_typed,
     quarantine,
     sales_constraints,
@@ -72,16 +73,32 @@ def scan_landing_text(spark, sf_dir):
     headers = {new: old for old, new in fv.LANDING_RENAMES.items()}
     path = new_stage_path(spark, "landing-text")
     sinks.export_csv(landing.rename_columns(raw, headers), path, sep=fv.LANDING_SEPARATOR)
-    columns = [headers.get(c, c) for c in raw.columns]
+    # the file has its columns in one order, the table in another
+    columns = [headers.get(c, c) for c in reversed(raw.columns)]
     return landing.rename_columns(landing.read_landing(spark, path, columns), fv.LANDING_RENAMES)
 
 
+@query
+def landing_rejects(spark, sf_dir):
+    """Lines that are a field too short or too long, out of a landing text."""
+    raw = fx.raw_sales(spark, sf_dir)
+    fields = [F.coalesce(c, F.lit("")) for c in (KEY, "qty", "city")]
+    line = (
+        F.when(F.col(KEY).endswith("7"), F.concat_ws(";", *fields[:2]))
+        .when(F.col(KEY).endswith("3"), F.concat_ws(";", *fields, F.lit("more")))
+        .otherwise(F.concat_ws(";", *fields))
+    )
+    path = new_stage_path(spark, "broken-text")
+    sinks.export_csv(raw.select(line.alias(f"{KEY};qty;city")), path)
+    return landing.rejected_lines(spark, path)
+
+
 @query
 def scan_mapping_dedup(spark, sf_dir):
     """The two place lists out of one mapping file."""
     path = new_stage_path(spark, "mapping-text")
     sinks.export_csv(fx.map_place(spark, sf_dir), path)
-    columns = ["province", "province_new", "city", "city_new"]
+    columns = ["city_new", "city", "province_new", "province"]
     cities, provinces = landing.split_places(landing.read_landing(spark, path, columns, ","))
     return cities.toDF("key", "value").select(F.lit("city").alias("list"), "*").unionByName(
         provinces.toDF("key", "value").select(F.lit("province").alias("list"), "*")
@@ -257,6 +274,14 @@ REGISTRY["constraint_violations"] = lambda spark, sf_dir: constraint_violations(
 )
 
 
+@query
+def constraint_enforce(spark, sf_dir):
+    """The rows that keep every constraint, through the form that stops on a bad row."""
+    checks = sales_constraints(key_length=fx.ID_LENGTH)
+    accepted, _ = quarantine(_typed_with_defects(spark, sf_dir), KEY, checks)
+    return enforce(accepted, KEY, checks)
+
+
 @query
 def constraint_quarantine(spark, sf_dir):
     accepted, rejected = quarantine(_typed_with_defects(spark, sf_dir), KEY, sales_constraints(key_length=fx.ID_LENGTH))

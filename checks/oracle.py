@@ -447,6 +447,9 @@ def oracle_sql() -> dict[str, str]:
     q["scan_landing_text"] = "SELECT " + ", ".join(
         f"coalesce({c}, '') AS {c}" for c in fv.RAW_COLUMNS
     ) + " FROM raw_sales"
+    q["landing_rejects"] = """SELECT coalesce(order_id, '') || ';' || coalesce(qty, '')
+        || CASE WHEN order_id LIKE '%3' THEN ';' || coalesce(city, '') || ';more' ELSE '' END AS line
+      FROM raw_sales WHERE order_id LIKE '%3' OR order_id LIKE '%7'"""
     q["scan_mapping_dedup"] = """
       SELECT DISTINCT 'city' AS list, city AS key, city_new AS value FROM map_place WHERE city <> ''
       UNION ALL
@@ -668,6 +671,8 @@ def oracle_sql() -> dict[str, str]:
     loaded = "WITH " + ",\n".join([*_INPUTS, _LOADED]) + "\n"
     broken = _broken_constraints()
     out["constraint_violations"] = loaded + broken
+    out["constraint_enforce"] = loaded + f"""SELECT * FROM loaded WHERE order_id IS NOT NULL
+      AND order_id NOT IN (SELECT order_id FROM ({broken}) WHERE order_id IS NOT NULL)"""
     out["constraint_quarantine"] = loaded + f"""SELECT order_id,
       CASE WHEN order_id IS NULL OR order_id IN (SELECT order_id FROM ({broken})) THEN 'rejected'
            ELSE 'accepted' END AS side FROM loaded"""

@@ -469,6 +469,10 @@ def test_enforce_fails_the_job(spark):
         bad.count()
     with pytest.raises(Exception, match="constraint failed"):
         bad.select("city").collect()
+    # rows that an earlier filter leaves out do not stop the job
+    both = typed_frame(spark, dict(), dict(order_id="ORD_0000002", qty=0))
+    accepted, _ = typed.quarantine(both, "order_id", checks)
+    assert typed.enforce(accepted, "order_id", checks).count() == 1
     with pytest.raises(ValueError, match="unique"):
         typed.enforce(typed_frame(spark, dict(), dict()), "order_id", checks)
 
@@ -485,6 +489,34 @@ def test_landing_text_keeps_blanks_quotes_and_spaces(spark):
     assert landing.read_landing(spark, path).columns == ["a", "b", "c"]
 
 
+def test_landing_text_goes_by_header_names(spark):
+    path = new_stage_path(spark, "named")
+    sinks.export_csv(spark.createDataFrame([("new", "old")], "v_new string, v string"), path)
+    assert rows(landing.read_landing(spark, path, ["v", "v_new"], ",")) == [("old", "new")]
+    with pytest.raises(ValueError, match="other"):
+        landing.read_landing(spark, path, ["v", "other"], ",")
+    mixed = spark.createDataFrame([("old2", "new2")], "v string, v_new string").coalesce(1)
+    mixed.write.mode("append").option("header", True).csv(path)
+    with pytest.raises(Exception, match="header does not conform"):
+        landing.read_landing(spark, path, ["v", "v_new"], ",").collect()
+
+
+def test_bad_lines_stop_the_job_or_are_set_aside(spark):
+    path = new_stage_path(spark, "bad-lines")
+    # a line break inside quotes makes two bad lines
+    lines = ["a;b;c", "1;2;3", "short", "1;2;3;4", '5;"two', 'lines";x', "6;7;8"]
+    spark.createDataFrame([("\n".join(lines),)], "value string").coalesce(1).write.text(path)
+    assert rows(landing.read_landing(spark, path, bad_lines="skip")) == [("1", "2", "3"), ("6", "7", "8")]
+    assert landing.read_landing(spark, path, bad_lines="skip").count() == 2
+    assert landing.rejected_lines(spark, path).count() == 4
+    with pytest.raises(PySparkException, match="unreadable line"):
+        landing.read_landing(spark, path).collect()
+    with pytest.raises(PySparkException, match="unreadable line"):
+        landing.read_landing(spark, path, ["b"]).count()
+    whole = landing.read_landing(spark, path, multi_line=True, bad_lines="skip")
+    assert ("5", "two\nlines", "x") in rows(whole)
+
+
 def test_unquoted_and_quoted_blanks_are_blank(spark):
     path = new_stage_path(spark, "text")
     spark.createDataFrame([("k,v",), ('x,""',), ("y,",)], "value string").coalesce(1).write.text(path)

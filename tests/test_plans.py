@@ -60,10 +60,10 @@ def test_lookups_beyond_the_broadcast_size_are_shuffled(spark, sf_dir):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
         df = REGISTRY["std_city"](spark, sf_dir)
         assert "BroadcastHashJoin" not in plan(df)
-        shuffled = sorted(df.collect())
+        shuffled = sorted(df.collect(), key=repr)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
-    assert shuffled == sorted(REGISTRY["std_city"](spark, sf_dir).collect())
+    assert shuffled == sorted(REGISTRY["std_city"](spark, sf_dir).collect(), key=repr)
 
 
 def test_filters_and_columns_reach_the_scan(spark, sf_dir):

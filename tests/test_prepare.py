@@ -19,10 +19,10 @@ def rows(df):
 
 @pytest.fixture(scope="module")
 def inputs(spark, sf_dir):
-    """The derived inputs; ids that are NULL or shared have tests of their own."""
+    """The derived inputs as read from text; ids that are NULL or shared have tests of their own."""
     given = fx.inputs(spark, sf_dir)
     good = F.col("order_id").isNotNull() & (F.col("order_id") != fx.SHARED)
-    return type(given)(**{**given.__dict__, "sales": given.sales.where(good)})
+    return type(given)(**{**given.__dict__, "sales": given.sales.where(good).na.fill("")})
 
 
 @pytest.fixture(scope="module")
@@ -87,7 +87,8 @@ def test_mirror_is_a_copy(spark, done, out):
 def test_fact_and_dimensions_fit(done):
     fact = done.fact
     unique = star.dim_payments_unique(fx.map_pay(fact.sparkSession))
-    assert fact.join(unique, "pay_method").count() == fact.count()
+    known = fact.where("pay_method <> 'Barter'")
+    assert fact.join(unique, "pay_method").count() == known.count() < fact.count()
     assert done.dim_order_category.join(fact, "order_id", "left_anti").count() == 0
 
 
