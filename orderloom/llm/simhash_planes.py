@@ -243,7 +243,9 @@ def fingerprint_links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 
 def near_groups(printed: DataFrame, fp: str = "fingerprint", key: str = "doc_id", radius: int = RADIUS) -> DataFrame:
-    """fp, component_id: the smallest key among all rows that can be reached."""
+    """fp, root, component_id: the smallest fingerprint of the component, and the
+    smallest key among all rows that can be reached (repeated keys may name several
+    components alike, the root never does)."""
     own = write_stage(
         printed.groupBy(F.col(f"`{fp}`").alias("fp")).agg(F.min(F.col(f"`{key}`")).alias("least")), "prints"
     )
@@ -253,7 +255,7 @@ def near_groups(printed: DataFrame, fp: str = "fingerprint", key: str = "doc_id"
     )
     placed = write_stage(placed, "print-roots")
     heads = placed.groupBy("root").agg(F.min("least").alias("component_id"))
-    return placed.join(heads, "root").select("fp", "component_id")
+    return placed.join(heads, "root").select("fp", "root", "component_id")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -271,8 +273,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
 def one_per_group(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay: of each component the one row with the
-    smallest key (of several with that key, the one with the smallest digest of
-    its columns and place).
+    smallest key (of several with that key, the first stored).
 
     Texts are stored once with their fingerprints; only keys and fingerprints
     are shuffled to find the rows that go.
@@ -287,7 +288,7 @@ def one_per_group(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
     first = (
         slim.join(groups, slim["f"] == groups["fp"])
         .where(F.col("k").eqNullSafe(F.col("component_id")))
-        .groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("f")).alias("of"))
+        .groupBy("root")
         .agg(F.min("r").alias("r"))
     )
     stays = write_stage(first.select(F.col("r").alias("stay")), "stays")

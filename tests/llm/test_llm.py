@@ -288,6 +288,13 @@ def test_simhash(docs, empty, spark):
     assert sorted(r["doc_id"] for r in stays.collect()) == sorted({min(v) for v in least.values()})
 
 
+def test_one_id_on_two_texts_keeps_both_components(spark):
+    one, two = (" ".join(f"{c}{i}" for i in range(60)) for c in "ab")
+    data = [(1, one), (1, two), (2, one), (3, two), (None, "x y z w"), (None, "p q r s")]
+    got = simhash_planes.one_per_group(spark.createDataFrame(data, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in got) == sorted([(1, one), (1, two), (0, "x y z w"), (0, "p q r s")])
+
+
 @pytest.mark.parametrize("n", [1, 63, 64, 65, 700])
 def test_planes_find_all_near_rows(n):
     rng = np.random.default_rng(n)
