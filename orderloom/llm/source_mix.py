@@ -4,7 +4,8 @@ Budgets run from the root to the leaves. A node's children share its budget by
 weight; a child whose documents cannot fill its share is filled up, and what it
 lacks goes to its siblings by weight. Only what the siblings cannot take either
 is missing from the node, whose own siblings then take it: a node's capacity is
-the sum of its leaves', so its parent has already allowed for that.
+the sum of its leaves', those at or below a weight of 0 left out, so its parent
+has already allowed for that.
 
 Each leaf then draws its budget as a token prefix of seeded epochs: an epoch is
 the leaf's documents in the order of a seeded digest; full epochs are taken
@@ -109,13 +110,13 @@ def leaf_budgets(
     totals up to 10**13 tokens stay within 64 bits.
     """
     keys = [f"k_{i}" for i in range(len(levels))]
-    caps = leaves.withColumn("cap", F.col("tokens") * max_epochs)
+    weight_at = [_weight(weights.get(n, {}), n, F.col(k), default_weight) for n, k in zip(levels, keys, strict=True)]
+    takes = F.least(*weight_at, F.lit(1)) > 0  # no weight of 0 from the root to the leaf
+    caps = leaves.withColumn("cap", F.when(takes, F.col("tokens") * max_epochs).otherwise(F.lit(0)))
     above: DataFrame | None = None
-    for i, level in enumerate(levels):
+    for i in range(len(levels)):
         nodes = caps.groupBy(*keys[: i + 1]).agg(F.sum("cap").alias("cap"))
-        nodes = nodes.withColumn(
-            "weight", _weight(weights.get(level, {}), level, F.col(keys[i]), default_weight)
-        )
+        nodes = nodes.withColumn("weight", weight_at[i])
         if above is None:
             nodes = nodes.withColumn("b", F.lit(int(total)).cast("long"))
         else:

@@ -207,6 +207,14 @@ def test_mix_of_awkward_rows(docs, empty):
     assert source_mix.mix(empty, mix_levels(), {}).count() == 0
 
 
+def test_weight_of_zero_has_no_capacity(spark):
+    leaves = spark.createDataFrame([("a", "x", 1000), ("a", "y", 10), ("b", "x", 1000), ("b", "y", 1000)], "k_0 string, k_1 string, tokens long")
+    got = source_mix.leaf_budgets(leaves, ["d", "l"], {"l": {"x": 0}}, 400, 1)
+    assert {tuple(r) for r in got.collect()} == {("a", "x", 0), ("a", "y", 10), ("b", "x", 0), ("b", "y", 390)}
+    got = source_mix.leaf_budgets(leaves, ["d", "l"], {"d": {"b": 0}}, 400, 1)
+    assert sum(r["budget"] for r in got.where("k_0 = 'a'").collect()) == 400
+
+
 # URL filter
 
 
