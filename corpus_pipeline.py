@@ -14,7 +14,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import bpe_stream, quality_rules, shingle_copies, source_mix, substring_levels
+from orderloom.llm import bpe_stream, quality_rules, simhash_planes, source_mix, substring_levels
 from orderloom.llm.common import table
 from orderloom.llm.queries import MIX_WEIGHTS, WORD_BPE, mix_levels
 from orderloom.plans.stage_store import remove_stages, stage_paths, write_stage
@@ -53,9 +53,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @_tidy
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word shingles alike by 0.8 or
-    more) stays, the one with the smallest id."""
-    return shingle_copies.one_per_group(docs)
+    """One document of each component of SimHash fingerprints (three-word shingles,
+    links at two differing bits at most) stays, the one with the smallest id."""
+    return simhash_planes.one_per_group(docs)
 
 
 @_tidy

@@ -33,4 +33,6 @@ def test_entry_contract(spark):
     import __spark_entry__ as contract
 
     assert contract.entry(spark).columns == ["stage", "rows"]
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    named, sql = set(contract.queries()), set(contract.oracle_sql())
+    assert set(REGISTRY) <= named and sql <= named
+    assert set(REGISTRY) == sql & set(REGISTRY)
