@@ -23,7 +23,6 @@ from orderloom.llm import (
     components,
     lang_id,
     quality_rules,
-    shingle_copies,
     simhash_planes,
     source_mix,
     substring_levels,
@@ -332,57 +331,6 @@ def test_components_of_a_long_chain(spark):
     assert got == {v: 0 for v in range(1, n)}
 
 
-# near copies of the pipeline
-
-
-def test_near_dedup_stage_finds_every_alike_pair(spark):
-    import corpus_pipeline
-
-    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
-    data = sorted((r["doc_id"], r["text"]) for r in docs.collect())
-    head = {i: i for i, _ in data}
-    for n, (i, a) in enumerate(data):
-        for j, b in data[:n]:
-            if head[i] != head[j] and likeness(a, b) >= 0.8:
-                low, high = sorted((head[i], head[j]))
-                head = {k: low if h == high else h for k, h in head.items()}
-    got = corpus_pipeline.near_dedup(spark, docs, "").collect()
-    assert sorted(r["doc_id"] for r in got) == sorted(set(head.values()))
-
-
-def likeness(a, b):
-    a, b = ({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in (words(a.lower()), words(b.lower())))
-    return len(a & b) / len(a | b)
-
-
-@pytest.mark.parametrize("small_key", [16, 2])
-def test_near_copies_of_changed_words_go(spark, monkeypatch, small_key):
-    import corpus_pipeline
-
-    monkeypatch.setattr(shingle_copies, "SMALL_KEY", small_key)
-    rnd = random.Random(8)
-    texts, group = [], []
-    for g in range(12):
-        base = [f"g{g}w{rnd.randrange(10**6)}" for _ in range(300)]
-        for changed in (0, 0, 1, 2, 3, 5, 30):
-            copy = list(base)
-            for i in rnd.sample(range(300), changed):
-                copy[i] = f"new{rnd.randrange(10**6)}"
-            texts.append(" ".join(copy))
-            group.append(g if changed < 30 else None)
-    head = list(range(len(texts)))
-    for i in range(len(texts)):
-        for j in range(i):
-            if head[i] != head[j] and likeness(texts[i], texts[j]) >= 0.8:
-                head = [head[j] if h == head[i] else h for h in head]
-    assert len({h for h, g in zip(head, group) if g is not None}) == 12  # copies of up to five words belong together
-    assert len(set(head)) == 24  # those of thirty do not
-    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
-    got = corpus_pipeline.near_dedup(spark, df, "").collect()
-    want = {min(i for i, h in enumerate(head) if h == x) for x in head}
-    assert sorted(r["doc_id"] for r in got) == sorted(want)
-
-
 # nearest neighbours
 
 
