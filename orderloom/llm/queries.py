@@ -12,7 +12,10 @@ from orderloom.llm import (
     ann_forest,
     bpe_stream,
     chat_format,
+    conversation_repair,
+    decontaminate,
     lang_id,
+    periodic_runs,
     quality_rules,
     simhash_planes,
     source_mix,
@@ -107,6 +110,23 @@ def op10_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    found = decontaminate.contaminated(docs.select("doc_id", "text"), items, text_needed=False)
+    return decontaminate.hit_digests(found)
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    repaired = conversation_repair.repair(conversation_repair.damaged(turns))
+    return conversation_repair.repair_digests(turns.select("conv_id").distinct(), repaired)
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periodic_runs.with_planted_runs(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return periodic_runs.run_digests(periodic_runs.find_runs(docs, text_needed=False))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -120,5 +140,8 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_substring_dedup,
         op9_quality_rules,
         op10_token_shards,
+        op11_decontamination,
+        op12_conversation_repair,
+        op13_periodic_runs,
     )
 }
