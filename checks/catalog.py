@@ -25,8 +25,7 @@ from orderloom.operators.typed import (
 from orderloom.plans import fixed_values as fv
 from orderloom.plans.prepare import (
     add_categories,
-    all_audit_entries,
-    audit_batches,
+    audit_batch,
     audit_entries_of,
     prepare,
     stage_counts,
@@ -416,7 +415,7 @@ def category_count_mismatch(spark, sf_dir):
 def _audit(name: str, entries: list[str]) -> None:
     def build(stages):
         if len(entries) == 1:
-            return audit_batches(stages)[entries[0]]
+            return audit_batch(stages, entries[0])
         return audit_entries_of(stages, entries).drop("step")
 
     on_stages(name, build)
@@ -439,7 +438,7 @@ _audit("audit_shipping_flag", ["shipping_flag"])
 @query
 def audit_append_unique(spark, sf_dir):
     """Three appends of which the last repeats the first; ids go on counting."""
-    batches = audit_batches(fx.stages(spark, sf_dir))
+    batches = {e: audit_batch(fx.stages(spark, sf_dir), e) for e in ("blank_qty", "invalid_date", "blank_pay")}
     log, mirror = new_stage_path(spark, "log"), new_stage_path(spark, "mirror")
     audit.append_audit(batches["blank_qty"], log, mirror)
     audit.append_audit(batches["invalid_date"], log, mirror)
@@ -450,7 +449,7 @@ def audit_append_unique(spark, sf_dir):
 @query
 def audit_mirror(spark, sf_dir):
     """The mirror after two appends, one of them repeated under its name."""
-    batches = audit_batches(fx.stages(spark, sf_dir))
+    batches = {e: audit_batch(fx.stages(spark, sf_dir), e) for e in ("weight_flag", "ship_disc")}
     log, mirror = new_stage_path(spark, "log"), new_stage_path(spark, "mirror")
     audit.append_audit(batches["weight_flag"], log, mirror, batch_id="weight")
     audit.append_audit(batches["ship_disc"], log, mirror, batch_id="ship-disc")
@@ -461,16 +460,21 @@ def audit_mirror(spark, sf_dir):
 @query
 def audit_mirror_stream(spark, sf_dir):
     """The mirror after a stream of entries has been written to both sinks."""
-    batches = audit_batches(fx.stages(spark, sf_dir))
     source = new_stage_path(spark, "entries")
-    entries = sinks.create_table_as(batches["payment_flag"], source)
+    entries = sinks.create_table_as(audit_batch(fx.stages(spark, sf_dir), "payment_flag"), source)
     log, mirror = new_stage_path(spark, "log"), new_stage_path(spark, "mirror")
     stream = spark.readStream.schema(entries.schema).parquet(source)
     mirror_stream(stream, log, mirror, new_stage_path(spark, "offsets")).awaitTermination()
     return audit.read_log(spark, mirror).drop("logged_at", "log_id")
 
 
-on_stages("audit_summary", lambda s: audit.audit_summary(all_audit_entries(s)))
+@query
+def audit_summary(spark, sf_dir):
+    """Counts of a log of two batches, as its ledger holds them."""
+    log, _ = fx.audit_log(spark, sf_dir)
+    return audit.log_summary(spark, log)
+
+
 
 # --- star schema and the whole run ------------------------------------------
 
@@ -514,9 +518,4 @@ def star_rollup(spark, sf_dir):
 def prepare_summary(spark, sf_dir):
     """The whole preparation: rows of every stage and of the stored results."""
     done = prepare(fx.inputs(spark, sf_dir), new_stage_path(spark, "prepared"))
-    out = stage_counts(done.stages)
-    results = ["fact", "dim_order_category", "dim_payments", "audit_log"]
-    for i, name in enumerate(results, start=100):
-        rows = getattr(done, name).agg(F.count(F.lit(1)).alias("rows"))
-        out = out.unionByName(rows.select(F.lit(i).alias("step"), F.lit(name).alias("stage"), "rows"))
-    return out.orderBy("step").drop("step")
+    return stage_counts(spark, done.counts).drop("step")

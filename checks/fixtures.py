@@ -14,8 +14,11 @@ from orderloom.operators.flags import add_flags
 from orderloom.operators.standardize import date_repair, drop_blank, standardize, unify_value
 from orderloom.operators.typed import load_typed
 from orderloom.plans import fixed_values as fv
-from orderloom.plans.prepare import Inputs, Stages, add_categories, build_stages, standardize_places
-from orderloom.plans.stage_store import write_stage
+from orderloom.operators import audit
+from orderloom.plans.prepare import (
+    Inputs, Stages, add_categories, all_audit_entries, build_stages, standardize_places,
+)
+from orderloom.plans.stage_store import new_stage_path, write_stage
 
 # Order ids: a digit that tells the order itself (0) from its planted copies, then
 # the key in a width that holds every key below 10^17. No key is cut, no copy
@@ -335,3 +338,18 @@ def inputs(spark: SparkSession, sf_dir: str) -> Inputs:
 
 def stages(spark: SparkSession, sf_dir: str) -> Stages:
     return _once(spark, sf_dir, "stages", lambda: build_stages(inputs(spark, sf_dir)))
+
+
+def audit_log(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """The paths of a log and its mirror, appended in two batches that overlap."""
+
+    def build() -> tuple[str, str]:
+        entries = all_audit_entries(stages(spark, sf_dir))
+        paths = new_stage_path(spark, "log"), new_stage_path(spark, "mirror")
+        some = F.coalesce(F.col(fv.KEY).endswith("1") | F.col(fv.KEY).endswith("2"), F.lit(False))
+        audit.append_audit(entries.where(some), *paths, order_by=["step", fv.KEY])
+        # an entry without a key repeats nothing, all others of the first batch are known
+        audit.append_audit(entries, *paths, order_by=["step", fv.KEY])
+        return paths
+
+    return _once(spark, sf_dir, "audit_log", build)

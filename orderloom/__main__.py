@@ -5,10 +5,11 @@ from __future__ import annotations
 
 import argparse
 
-from .operators.audit import audit_summary
+from .operators.audit import log_summary
 from .operators.typed import sales_constraints
 from .plans.fixed_values import KEY_LENGTH
 from .plans.prepare import MAPPING_COLUMNS, prepare, read_inputs, stage_counts
+from .plans.stage_store import collected_stages, remove_stages
 from .session import builder
 
 
@@ -33,10 +34,11 @@ def main(arguments: list[str] | None = None) -> None:
     given = parser.parse_args(arguments)
 
     spark = builder().getOrCreate()
-    inputs = read_inputs(
-        spark, given.sales, given.sales_sep, given.mapping_sep,
-        **{name: getattr(given, name) for name in MAPPING_COLUMNS},
-    )
+    with collected_stages() as landed:
+        inputs = read_inputs(
+            spark, given.sales, given.sales_sep, given.mapping_sep,
+            **{name: getattr(given, name) for name in MAPPING_COLUMNS},
+        )
     done = prepare(
         inputs,
         given.out,
@@ -46,8 +48,9 @@ def main(arguments: list[str] | None = None) -> None:
         backup=given.backup,
         run=given.run,
     )
-    stage_counts(done.stages).show(truncate=False)
-    audit_summary(done.audit_log).show(truncate=False)
+    remove_stages(spark, landed)
+    stage_counts(spark, done.counts).show(len(done.counts), truncate=False)
+    log_summary(spark, f"{given.out}/audit_log").show(100, truncate=False)
 
 
 if __name__ == "__main__":

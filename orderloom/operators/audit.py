@@ -1,8 +1,13 @@
 """The audit log: one row per order and anomaly, append-only and mirrored.
 
-Every append is one folder of the log, named after its batch. Writing the same
-batch again replaces that folder, in the log and in the mirror, so a job that
-is repeated after a failure leaves no doubles.
+Every append is one folder of the log, which counts from the moment that the
+log's ledger names it. An entry of the ledger holds the batch, its folder, the
+highest id and the counts of all kinds of actions so far. An append that finds
+that another one was first starts anew from the new state, so ids and audit
+keys stay unique. Writing the same batch again replaces its folder.
+
+The mirror has a ledger of its own and is brought up to that of the log, batch
+by batch, after each append; what a failed job has left out, the next one adds.
 """
 
 from __future__ import annotations
@@ -10,15 +15,15 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType, TimestampNTZType
 
 from ..functions import any_of, is_true, local_now
 from ..plans import fixed_values as fv
+from ..sources import ledger
 from ..plans.group_joins import join_groups
 from ..plans.stage_store import write_stage
-from .dedup import first_of_each_group
+from .dedup import counted_firsts
 
 AUDIT_SCHEMA = StructType(
     [
@@ -31,7 +36,6 @@ AUDIT_SCHEMA = StructType(
 BATCH = "batch_id"
 KIND = "kind"
 KINDS = 256
-LAST_IDS = "_last_ids"
 
 
 # --- entries ----------------------------------------------------------------
@@ -81,55 +85,62 @@ def audit_entries(
     where: Column | None = None,
     reason: str | None = None,
     key: str = fv.KEY,
+    total: int | None = None,
 ) -> DataFrame:
     """Log rows for the orders of ``df`` that meet ``where`` (all by default).
 
     ``entry`` is the text, or the name of a fixed one; ``reason`` names a
     column that replaces its reason. ``df`` has to be the table as it is before
-    the change.
+    the change; ``total`` is its number of rows with a key, if it is known.
     """
     everything = F.lit(True)
     step = LogStep(0, entry, "all", everything if where is None else where, reason)
-    return fused_entries(df, {"all": everything}, [step], key).drop("step")
+    totals = None if total is None else {"all": total}
+    return fused_entries(df, {"all": everything}, [step], key, totals).drop("step")
 
 
 def audit_duplicates(
     df: DataFrame, cols: list[str], key: str = fv.KEY, firsts: DataFrame | None = None,
-    entry: str | LogText = "duplicates",
+    entry: str | LogText = "duplicates", total: int | None = None,
 ) -> DataFrame:
     """Log rows for the orders that ``drop_one_per_duplicate_group`` deletes.
 
     Here ``problematic_rows`` is the size of the group. ``firsts`` is the
-    result of ``first_of_each_group``, if it is known.
+    result of ``first_of_each_group`` and ``total`` the table's number of rows
+    with a key, if they are known.
     """
-    if firsts is None:
-        firsts = first_of_each_group(df, cols, key)
+    if firsts is None or total is None:
+        known = counted_firsts(df, cols, key)
+        firsts, total = known.firsts, known.table_keys
     return firsts.select(
         F.col(key).alias(fv.KEY),
         *[text.alias(name) for name, text in _texts(log_text(entry), None).items()],
-        df.agg(F.count(key).alias("total_rows")).scalar().alias("total_rows"),
+        F.lit(total).cast("bigint").alias("total_rows"),
         F.col("group_rows").cast("bigint").alias("problematic_rows"),
     )
 
 
 def fused_entries(
-    df: DataFrame, members: dict[str, Column], steps: list[LogStep], key: str = fv.KEY
+    df: DataFrame, members: dict[str, Column], steps: list[LogStep], key: str = fv.KEY,
+    totals: dict[str, int] | None = None,
 ) -> DataFrame:
-    """The entries of many changes from one scan for rows and one for totals.
+    """The entries of many changes from one scan.
 
     ``members`` says for each table, all of them row-local selections of
-    ``df``, which rows it has. The rows of a key are counted per change in one
+    ``df``, which rows it has. ``totals`` are the rows with a key that each of
+    them has; they are counted by a scan of their own if they are not known. The rows of a key are counted per change in one
     grouping, on the map side first, so a key may occur any number of times;
     what is shuffled are counts, the texts are added afterwards. A NULL key has
     one entry per change, with a count of 0. The result has the columns of
     :func:`audit_entries` and ``step``.
     """
     has_key = F.col(key).isNotNull()
-    totals = df.agg(
-        F.struct(*[F.count_if(is_true(m) & has_key).alias(t) for t, m in members.items()]).alias(
-            "totals"
-        )
-    ).scalar()
+    if totals is None:
+        counted = F.struct(*[F.count_if(is_true(m) & has_key).alias(t) for t, m in members.items()])
+        scanned = df.agg(counted.alias("totals")).scalar()
+        total = {t: scanned.getField(t) for t in members}
+    else:
+        total = {t: F.lit(totals[t]).cast("bigint") for t in members}
     hits = {i: is_true(members[s.table]) & is_true(s.where) for i, s in enumerate(steps)}
     counts = [F.count_if(hit).alias(f"__n{i}") for i, hit in hits.items()]
     reasons = [
@@ -152,7 +163,7 @@ def fused_entries(
                         log_text(s.entry), F.col(f"__why{i}") if s.reason else None
                     ).items()
                 ],
-                totals.getField(s.table).alias("total_rows"),
+                total[s.table].alias("total_rows"),
                 F.when(F.col(fv.KEY).isNull(), 0)
                 .otherwise(F.col(f"__n{i}"))
                 .cast("bigint")
@@ -172,32 +183,31 @@ def fused_entries(
 def kind_of_entry() -> Column:
     """The partition of the log that an entry belongs to, one of ``KINDS``.
 
-    It follows from columns of the audit key, so a repeat of an entry can only
-    be in the same partition.
+    It follows from a column of the audit key, so a repeat of an entry can only
+    be in the same partition, and so can another entry on the same attribute.
     """
-    return F.pmod(F.xxhash64("attribute", "source_table"), F.lit(KINDS)).cast("int")
+    return F.pmod(F.xxhash64("attribute"), F.lit(KINDS)).cast("int")
 
 
-def read_log(spark: SparkSession, path: str, without_batch: str | None = None) -> DataFrame:
-    """The log's rows; an absent log is empty."""
-    return _read_parts(spark, path, without_batch).select(*AUDIT_SCHEMA.names)
+def batches(spark: SparkSession, path: str) -> dict[str, dict]:
+    """The ledger's last entry of each batch, by the batch's name."""
+    return {e["batch"]: e for e in ledger.entries(spark, path)}
 
 
-def _read_parts(spark: SparkSession, path: str, without_batch: str | None) -> DataFrame:
-    """The log's rows with their batch and kind, the columns that it is partitioned by."""
-    parts = [StructField(BATCH, StringType()), StructField(KIND, IntegerType())]
-    schema = StructType([*AUDIT_SCHEMA.fields, *parts])
-    log = _read_or_empty(spark, path, schema)
-    return log if without_batch is None else log.where(F.col(BATCH) != without_batch)
+def read_log(spark: SparkSession, path: str, without_batch: str | None = None) -> DataFrame:
+    """The log's rows; an absent log is empty."""
+    known = batches(spark, path)
+    known.pop(without_batch, None)
+    return _read_parts(spark, path, list(known.values())).select(*AUDIT_SCHEMA.names)
 
 
-def _read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+def _read_parts(spark: SparkSession, path: str, parts: list[dict]) -> DataFrame:
+    """The rows of some entries with their kind, the column that they are partitioned by."""
+    schema = StructType([*AUDIT_SCHEMA.fields, StructField(BATCH, StringType()), StructField(KIND, IntegerType())])
+    folders = [f"{path}/{BATCH}={e['folder']}" for e in parts if e["folder"]]
+    if not folders:
         return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(*folders)
 
 
 def _once(batch: DataFrame) -> DataFrame:
@@ -265,9 +275,12 @@ def number_rows(placed: DataFrame, start: Column, name: str) -> DataFrame:
     )
 
 
-def _replace(entries: DataFrame, folder: str) -> None:
-    writer = entries.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    writer.partitionBy(KIND).parquet(folder)
+def _store(entries: DataFrame, path: str) -> tuple[str, int]:
+    """Write a folder that no ledger names yet: its name and its number of rows."""
+    folder, counted = uuid.uuid4().hex, Observation()
+    observed = entries.observe(counted, F.count(F.lit(1)).alias("rows"))
+    observed.write.partitionBy(KIND).parquet(f"{path}/{BATCH}={folder}")
+    return folder, counted.get["rows"]
 
 
 def append_audit(
@@ -286,49 +299,114 @@ def append_audit(
     the order of ``order_by`` (columns that only serve the order are dropped).
 
     The batch is stored first. Of the log only the partitions of the batch's
-    kinds of entries are read, and the highest id comes from a list with one
-    row per batch, so an append does not read the rest of the log.
+    kinds of entries are read; the highest id and the counts so far come from
+    the ledger. The new rows are written once, with their ids, and counted as
+    they are written.
     """
     spark = batch.sparkSession
     batch_id = batch_id or uuid.uuid4().hex
-    order_by = order_by or [fv.KEY]
-    stored = write_stage(batch.withColumn(KIND, kind_of_entry()), "entries")
-    kinds = stored.agg(F.collect_set(KIND).alias("kinds")).scalar()
-    ids_schema = StructType([StructField("log_id", LongType()), StructField(BATCH, StringType())])
-    earlier = _read_or_empty(spark, f"{log_path}/{LAST_IDS}", ids_schema).where(
-        F.col(BATCH) != batch_id
-    )
-    start = F.coalesce(earlier.agg(F.max("log_id").alias("log_id")).scalar(), F.lit(0))
-    # a filter on a partition column: folders of other kinds are not opened
-    known = _read_parts(spark, log_path, batch_id).where(F.array_contains(kinds, F.col(KIND)))
-    fresh = new_entries(stored, known, unique_batch)
-    placed = place_rows(fresh, order_by)
-    if strict and placed.count() != stored.count():
-        raise ValueError("audit entries repeat a key: " + ", ".join(fv.AUDIT_KEY))
-    numbered = (
-        number_rows(placed, start, "log_id")
-        .withColumn("logged_at", local_now(fv.LOCAL_ZONE))
-        .select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in AUDIT_SCHEMA.fields], KIND)
-    )
-    folder = f"{BATCH}={batch_id}"
-    # the ids are reserved before they are used: a failure leaves a gap, no doubles
-    placed.agg((start + F.count(F.lit(1))).alias("log_id")).write.mode("overwrite").parquet(
-        f"{log_path}/{LAST_IDS}/{folder}"
+    seen = Observation()
+    staged = batch.withColumn(KIND, kind_of_entry()).observe(
+        seen, F.count(F.lit(1)).alias("rows"), F.collect_set(KIND).alias("kinds")
     )
-    _replace(numbered, f"{log_path}/{folder}")
-    # the mirror copies what was written, ids and times included
-    written = spark.read.schema(numbered.schema).parquet(f"{log_path}/{folder}")
-    _replace(written, f"{mirror_path}/{folder}")
-    return written.select(*AUDIT_SCHEMA.names)
+    stored = write_stage(staged, "entries")
+    once = stored if unique_batch else _once(stored)
+    while True:
+        known = ledger.entries(spark, log_path)
+        others = {e["batch"]: e for e in known}
+        replaced = others.pop(batch_id, None)
+        # a filter on a partition column: folders of other kinds are not opened
+        held = _read_parts(spark, log_path, list(others.values())).where(F.col(KIND).isin(seen.get["kinds"]))
+        new = new_entries(once, held, True) if others else once
+        placed = place_rows(new, order_by or [fv.KEY])
+        if strict and placed.count() != seen.get["rows"]:
+            raise ValueError("audit entries repeat a key: " + ", ".join(fv.AUDIT_KEY))
+        start = max((e["last_id"] for e in others.values()), default=0)
+        numbered = (
+            number_rows(placed, F.lit(start), "log_id")
+            .withColumn("logged_at", local_now(fv.LOCAL_ZONE))
+            .select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in AUDIT_SCHEMA.fields], KIND)
+        )
+        folder, rows = _store(numbered, log_path)
+        before = None if replaced else (known[-1]["counts"] if known else [])
+        entry = {
+            "batch": batch_id, "folder": folder, "last_id": start + rows,
+            "counts": _counts(spark, log_path, folder, held if others else None, before, others),
+        }
+        if ledger.commit(spark, log_path, ledger.next_number(known), entry):
+            break
+        # another append was first: its entries and ids count
+        ledger.remove(spark, f"{log_path}/{BATCH}={folder}")
+    catch_up(spark, log_path, mirror_path)
+    return _read_parts(spark, log_path, [entry]).select(*AUDIT_SCHEMA.names)
+
+
+_ACTION = ("solution", "attribute")
+
+
+def _counts(
+    spark: SparkSession, path: str, folder: str, held: DataFrame | None, before: list | None, others: dict
+) -> list[list]:
+    """Orders and entries per kind of action, of the log with a new batch.
+
+    Counts add up, because an order is counted by the first batch that has it
+    for the action, and the entries on an attribute share a partition of the
+    log. Only when a batch is replaced the log is counted again.
+    """
+    part = _read_parts(spark, path, [{"folder": folder}])
+    if before is None:
+        rows = _per_action(_read_parts(spark, path, [*others.values(), {"folder": folder}]))
+        before = []
+    else:
+        rows = _per_action(part, held)
+    total = {(s, a): (orders, found) for s, a, orders, found in before}
+    for r in rows.collect():  # one row per kind of change
+        orders, found = total.get((r[0], r[1]), (0, 0))
+        total[r[0], r[1]] = (orders + r[2], found + r[3])
+    return [[*action, *numbers] for action, numbers in total.items()]
+
+
+def _per_action(rows: DataFrame, held: DataFrame | None = None) -> DataFrame:
+    """(solution, attribute, orders, entries); orders that ``held`` has are not counted."""
+    per_order = rows.groupBy(*_ACTION, fv.KEY).agg(F.count(F.lit(1)).alias("rows"))
+    if held is not None:
+        earlier = held.select(*_ACTION, fv.KEY).distinct().withColumn("earlier", F.lit(True))
+        per_order = per_order.join(earlier, [*_ACTION, fv.KEY], "left")
+        order = F.when(F.col("earlier").isNull(), F.col(fv.KEY))
+    else:
+        order = F.col(fv.KEY)
+    return per_order.groupBy(*_ACTION).agg(F.count(order).alias("orders"), F.sum("rows").alias("entries"))
+
+
+def catch_up(spark: SparkSession, log_path: str, mirror_path: str) -> int:
+    """Copy to the mirror every batch of the log's ledger that it does not have;
+    returns how many were missing. Ids and times are copied as they are."""
+    copied = 0
+    while True:
+        there = ledger.entries(spark, mirror_path)
+        missing = [e for e in ledger.entries(spark, log_path) if e["number"] >= ledger.next_number(there)]
+        if not missing:
+            return copied
+        entry = {k: v for k, v in missing[0].items() if k != "number"}
+        current = batches(spark, log_path)[entry["batch"]]["number"] == missing[0]["number"]
+        if current:
+            folder, _ = _store(_read_parts(spark, log_path, missing[:1]).drop(BATCH), mirror_path)
+        else:
+            # replaced by a later entry, with which its rows come
+            folder = batches(spark, mirror_path).get(entry["batch"], {}).get("folder")
+        if ledger.commit(spark, mirror_path, missing[0]["number"], {**entry, "folder": folder}):
+            copied += 1
+        elif current:
+            ledger.remove(spark, f"{mirror_path}/{BATCH}={folder}")
 
 
 def audit_summary(log: DataFrame) -> DataFrame:
-    """Orders and log rows per kind of action."""
-    per_order = log.groupBy("solution", "attribute", fv.KEY).agg(
-        F.count(F.lit(1)).alias("rows")
-    )
-    return (
-        per_order.groupBy("solution", "attribute")
-        .agg(F.count(fv.KEY).alias("orders"), F.sum("rows").alias("entries"))
-        .orderBy("solution", "attribute")
-    )
+    """Orders and log rows per kind of action, counted from the rows."""
+    return _per_action(log).orderBy(*_ACTION)
+
+
+def log_summary(spark: SparkSession, path: str) -> DataFrame:
+    """The same from the counts in the ledger; no row of the log is read."""
+    known = ledger.entries(spark, path)
+    schema = "solution string, attribute string, orders long, entries long"
+    return spark.createDataFrame(known[-1]["counts"] if known else [], schema).orderBy(*_ACTION)

@@ -8,30 +8,35 @@ partial aggregation (count, smallest key), never collected.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from typing import NamedTuple
+
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from ..plans.group_joins import join_groups, without_keys
-from ..plans.stage_store import write_stage
+from ..plans.stage_store import write_counted, write_stage
 
 _HASH = "__hash"
 _ROWS = "__rows"
 _FIRST = "__first"
 
 
-def _possible_duplicates(df: DataFrame, cols: list[str]) -> DataFrame:
+def _possible_duplicates(
+    df: DataFrame, cols: list[str], key: str | None = None, totals: Observation | None = None
+) -> DataFrame:
     """Rows whose content hash is not unique: all duplicates and few others.
 
     The repeated hashes are counted and stored when this is called, so that the
     table itself has to move only if their list is too long to be broadcast.
+    ``totals`` observes the table's rows and those with a ``key``, as sums of
+    the counts by hash.
     """
     hashed = df.withColumn(_HASH, F.xxhash64(*cols))
-    repeated = write_stage(
-        hashed.groupBy(_HASH)
-        .agg(F.count(F.lit(1)).alias(_ROWS))
-        .where(F.col(_ROWS) > 1)
-        .select(_HASH),
-        "repeated-hashes",
-    )
+    keys = [F.count(key).alias("__keys")] if totals else []
+    counted = hashed.groupBy(_HASH).agg(F.count(F.lit(1)).alias(_ROWS), *keys)
+    if totals:
+        sums = [F.sum(c).alias(n) for c, n in ((_ROWS, "rows"), ("__keys", "keys"))]
+        counted = counted.observe(totals, *sums)
+    repeated = write_stage(counted.where(F.col(_ROWS) > 1).select(_HASH), "repeated-hashes")
     return join_groups(hashed, repeated, [_HASH])
 
 
@@ -48,11 +53,12 @@ def _groups(rows: DataFrame, cols: list[str], carried: list[str]) -> DataFrame:
 
 
 def duplicate_groups(
-    df: DataFrame, cols: list[str], key: str, rows: str = "group_rows"
+    df: DataFrame, cols: list[str], key: str, rows: str = "group_rows",
+    totals: Observation | None = None,
 ) -> DataFrame:
     """One row per duplicate group: its size and the row with the smallest key."""
     carried = [key] + [c for c in df.columns if c not in cols and c != key]
-    groups = _groups(_possible_duplicates(df, cols), cols, carried)
+    groups = _groups(_possible_duplicates(df, cols, key, totals), cols, carried)
     source = {c: F.col(c) for c in cols}
     source.update({c: F.col(f"{_FIRST}.{c}").alias(c) for c in carried})
     return groups.select(F.col(_ROWS).alias(rows), *[source[c] for c in df.columns])
@@ -81,12 +87,30 @@ def duplicate_rows(
     return members.select(*df.columns, F.col(_ROWS).alias(rows))
 
 
+class Firsts(NamedTuple):
+    """The rows that :func:`drop_one_per_duplicate_group` deletes, their number, and
+    the rows of the whole table: all, and those with a key."""
+
+    firsts: DataFrame
+    groups: int
+    table_rows: int
+    table_keys: int
+
+
+def counted_firsts(df: DataFrame, cols: list[str], key: str, rows: str = "group_rows") -> Firsts:
+    """A stage table of the smallest key of each duplicate group and the size of the
+    group, with the counts that fall off on the way."""
+    totals = Observation()
+    found = duplicate_groups(df, cols, key, rows, totals).select(key, rows)
+    firsts, counts = write_counted(found, "group-firsts", {"groups": F.lit(True)})
+    return Firsts(firsts, counts["groups"], totals.get["rows"] or 0, totals.get["keys"] or 0)
+
+
 def first_of_each_group(
     df: DataFrame, cols: list[str], key: str, rows: str = "group_rows"
 ) -> DataFrame:
-    """A stage table of the rows that :func:`drop_one_per_duplicate_group` deletes:
-    the smallest key of each duplicate group and the size of the group."""
-    return write_stage(duplicate_groups(df, cols, key, rows).select(key, rows), "group-firsts")
+    """The stage table of :func:`counted_firsts`."""
+    return counted_firsts(df, cols, key, rows).firsts
 
 
 def drop_one_per_duplicate_group(

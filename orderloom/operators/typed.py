@@ -176,12 +176,12 @@ def constraint_violations(
     return broken.unionByName(repeated)
 
 
-def quarantine(
+def checked_rows(
     df: DataFrame, key: str, constraints: list[Constraint], unique: bool = True
-) -> tuple[DataFrame, DataFrame]:
-    """(accepted, rejected); rejected rows carry ``failed``, the broken constraints.
+) -> DataFrame:
+    """``df`` with ``failed``, the names of the constraints that each row breaks.
 
-    With ``unique`` all rows of a repeated key are rejected.
+    With ``unique`` all rows of a repeated key break one.
     """
     checked = df.withColumn("failed", failed_constraints(constraints))
     if unique:
@@ -191,10 +191,25 @@ def quarantine(
         checked = counted.withColumn(
             "failed", F.when(F.col("violations").isNull(), F.col("failed")).otherwise(shared)
         ).drop("violations")
+    return checked
+
+
+def split_checked(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(accepted, rejected) out of :func:`checked_rows`; rejected rows keep ``failed``."""
     ok = F.size("failed") == 0
     return checked.where(ok).drop("failed"), checked.where(~ok)
 
 
+def quarantine(
+    df: DataFrame, key: str, constraints: list[Constraint], unique: bool = True
+) -> tuple[DataFrame, DataFrame]:
+    """(accepted, rejected); rejected rows carry ``failed``, the broken constraints.
+
+    With ``unique`` all rows of a repeated key are rejected.
+    """
+    return split_checked(checked_rows(df, key, constraints, unique))
+
+
 def enforce(
     df: DataFrame, key: str, constraints: list[Constraint], unique: bool = True
 ) -> DataFrame:

@@ -8,7 +8,7 @@ All other steps are row-local or broadcast lookups and stay one job.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, fields
+from dataclasses import dataclass, field, fields
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -22,10 +22,10 @@ from ..operators.standardize import (
     standardize,
     unify_value,
 )
-from ..operators.typed import TYPED_COLUMNS, Constraint, enforce, load_typed, quarantine
-from ..sources import landing, sinks
+from ..operators.typed import TYPED_COLUMNS, Constraint, checked_rows, enforce, load_typed, split_checked
+from ..sources import landing, ledger, sinks
 from . import fixed_values as fv
-from .stage_store import write_stage
+from .stage_store import collected_stages, remove_stages, write_counted, write_stage
 
 
 @dataclass(frozen=True)
@@ -80,7 +80,12 @@ def read_inputs(
 
 @dataclass(frozen=True)
 class Stages:
-    """The order table after each change, as the next step and the log see it."""
+    """The order table after each change, as the next step and the log see it.
+
+    ``counts`` holds the rows of each, ``keys`` those with an order id; both are
+    counted while the stage tables are written. ``rejected`` are the rows that
+    break a constraint, if there are constraints.
+    """
 
     raw: DataFrame
     duplicates: DataFrame
@@ -93,6 +98,18 @@ class Stages:
     flagged: DataFrame
     with_valid_payment: DataFrame
     final: DataFrame
+    rejected: DataFrame | None = None
+    counts: dict[str, int] = field(default_factory=dict)
+    keys: dict[str, int] = field(default_factory=dict)
+
+
+def _counted_selections(base: str) -> dict[str, Column]:
+    """What to count when a stored table is written: the rows of the tables that are
+    selections of it, and those with a key."""
+    has_key = F.col(fv.KEY).isNotNull()
+    members = _members().get(base, {base: F.lit(True)})
+    out = {name: is_true(m) for name, m in members.items()}
+    return out | {f"keys of {name}": m & has_key for name, m in out.items()}
 
 
 def standardize_places(df: DataFrame, places: DataFrame) -> DataFrame:
@@ -122,11 +139,18 @@ def build_stages(
     """
     key = fv.KEY
     raw = inputs.sales
-    duplicates = dedup.first_of_each_group(raw, fv.DUPLICATE_COLUMNS_RAW, key)
+    found: dict[str, int] = {}
+
+    def stored(df: DataFrame, name: str) -> DataFrame:
+        out, counts = write_counted(df, name.replace("_", "-"), _counted_selections(name))
+        found.update(counts)
+        return out
+
+    first = dedup.counted_firsts(raw, fv.DUPLICATE_COLUMNS_RAW, key)
     # read by the cleaning and by eight kinds of log entries
-    without_duplicates = write_stage(
-        dedup.drop_one_per_duplicate_group(raw, fv.DUPLICATE_COLUMNS_RAW, key, duplicates),
-        "without-duplicates",
+    without_duplicates = stored(
+        dedup.drop_one_per_duplicate_group(raw, fv.DUPLICATE_COLUMNS_RAW, key, first.firsts),
+        "without_duplicates",
     )
     with_qty = drop_blank(without_duplicates, "qty")
     unified = unify_value(with_qty, "order_status", fv.RECEIVED_PATTERN, fv.RECEIVED)
@@ -138,27 +162,35 @@ def build_stages(
         with_pay_method, "pay_method", inputs.pay_methods, "pay_method", "pay_method_new"
     )
     placed = standardize_places(paid_by, inputs.places)
-    repaired = write_stage(date_repair(placed, "order_date", "order_timestamp"), "repaired")
+    repaired = stored(date_repair(placed, "order_date", "order_timestamp"), "repaired")
 
-    duplicates_clean = dedup.first_of_each_group(repaired, fv.DUPLICATE_COLUMNS_CLEAN, key)
+    second = dedup.counted_firsts(repaired, fv.DUPLICATE_COLUMNS_CLEAN, key)
     clean = dedup.drop_one_per_duplicate_group(
-        repaired, fv.DUPLICATE_COLUMNS_CLEAN, key, duplicates_clean
+        repaired, fv.DUPLICATE_COLUMNS_CLEAN, key, second.firsts
     )
-    typed = load_typed(clean)
-    if constraints is not None:
-        typed = (
-            enforce(typed, key, constraints)
-            if strict
-            else quarantine(typed, key, constraints)[0]
+    typed, rejected = load_typed(clean), None
+    if constraints is not None and strict:
+        typed = enforce(typed, key, constraints)
+    elif constraints is not None:
+        checked, counts = write_counted(
+            checked_rows(typed, key, constraints), "checked", {"clean": F.lit(True)}
         )
+        found.update(counts)
+        typed, rejected = split_checked(checked)
     categorised = add_categories(typed, inputs.ship_methods, inputs.cancel_reasons)
-    flagged = write_stage(flags.add_flags(categorised), "flagged")
+    flagged = stored(flags.add_flags(categorised), "flagged")
 
     with_valid_payment = rules.drop_violations(flagged, "invalid_zero_payment")
     final = rules.drop_violations(with_valid_payment, "invalid_ship_disc")
+    keys = {n.removeprefix("keys of "): c for n, c in found.items() if n.startswith("keys of ")}
+    counts = {n: c for n, c in found.items() if not n.startswith("keys of ")}
+    # every row that is not set aside is kept from the typed load to the flags
+    counts = {"clean": counts["flagged"]} | counts
+    counts |= {"raw": first.table_rows, "duplicates": first.groups, "duplicates_clean": second.groups}
     return Stages(
-        raw, duplicates, without_duplicates, with_qty, with_pay_method, repaired,
-        duplicates_clean, clean, flagged, with_valid_payment, final,
+        raw, first.firsts, without_duplicates, with_qty, with_pay_method, repaired,
+        second.firsts, clean, flagged, with_valid_payment, final, rejected,
+        counts, keys | {"raw": first.table_keys, "repaired": second.table_keys},
     )
 
 
@@ -213,26 +245,32 @@ def log_steps() -> list[audit.LogStep]:
     ]
 
 
-def _duplicate_entries(stages: Stages) -> dict[int, DataFrame]:
-    passes = {
-        0: (stages.raw, fv.DUPLICATE_COLUMNS_RAW, stages.duplicates),
-        9: (stages.repaired, fv.DUPLICATE_COLUMNS_CLEAN, stages.duplicates_clean),
-    }
-    return {
-        step: audit.audit_duplicates(table, cols, firsts=firsts)
-        for step, (table, cols, firsts) in passes.items()
-    }
+# step of a duplicate pass -> table before it, its stored groups, the columns compared
+DUPLICATE_PASSES = {
+    "duplicates": (0, "raw", fv.DUPLICATE_COLUMNS_RAW),
+    "duplicates_clean": (9, "repaired", fv.DUPLICATE_COLUMNS_CLEAN),
+}
+
+
+def _duplicate_entries(stages: Stages, name: str) -> DataFrame:
+    _, table, cols = DUPLICATE_PASSES[name]
+    firsts = getattr(stages, name)
+    return audit.audit_duplicates(getattr(stages, table), cols, firsts=firsts, total=stages.keys[table])
+
+
+def audit_batch(stages: Stages, entry: str) -> DataFrame:
+    """The log entries of one change."""
+    if entry in DUPLICATE_PASSES:
+        return _duplicate_entries(stages, entry)
+    step = next(s for s in log_steps() if s.entry == entry)
+    return audit.audit_entries(
+        getattr(stages, step.table), entry, step.where, step.reason, total=stages.keys[step.table]
+    )
 
 
 def audit_batches(stages: Stages) -> dict[str, DataFrame]:
     """The log entries of every change, each as a table of its own."""
-    passes = _duplicate_entries(stages)
-    batches = {"duplicates": passes[0], "duplicates_clean": passes[9]}
-    for s in log_steps():
-        batches[s.entry] = audit.audit_entries(
-            getattr(stages, s.table), s.entry, s.where, s.reason
-        )
-    return batches
+    return {e: audit_batch(stages, e) for e in [*DUPLICATE_PASSES, *[s.entry for s in log_steps()]]}
 
 
 def audit_entries_of(stages: Stages, entries: list[str]) -> DataFrame:
@@ -241,26 +279,33 @@ def audit_entries_of(stages: Stages, entries: list[str]) -> DataFrame:
     for base, members in _members().items():
         own = [s for s in log_steps() if s.table in members and s.entry in entries]
         if own:
-            parts.append(audit.fused_entries(getattr(stages, base), members, own))
+            parts.append(audit.fused_entries(getattr(stages, base), members, own, totals=stages.keys))
     return reduce(DataFrame.unionByName, parts)
 
 
 def all_audit_entries(stages: Stages) -> DataFrame:
     """One table of all log entries with ``step``, the place of their change."""
-    parts = [df.withColumn("step", F.lit(i)) for i, df in _duplicate_entries(stages).items()]
+    parts = [
+        _duplicate_entries(stages, name).withColumn("step", F.lit(step))
+        for name, (step, _, _) in DUPLICATE_PASSES.items()
+    ]
     parts.append(audit_entries_of(stages, [s.entry for s in log_steps()]))
     return reduce(DataFrame.unionByName, parts)
 
 
 @dataclass(frozen=True)
 class Prepared:
-    """The stored results."""
+    """The published results, and the rows of every stage and result by name.
+
+    ``stages`` is there if the stage tables were kept.
+    """
 
     fact: DataFrame
     dim_order_category: DataFrame
     dim_payments: DataFrame
     audit_log: DataFrame
-    stages: Stages
+    counts: dict[str, int]
+    stages: Stages | None
 
 
 def prepare(
@@ -271,21 +316,39 @@ def prepare(
     csv: bool = False,
     backup: bool = False,
     run: str | None = None,
+    keep_stages: bool = False,
 ) -> Prepared:
-    """Run everything and store fact, dimensions and audit log under ``out``.
-
-    Running it again replaces the tables. The log grows by one batch per
-    run, and entries that an earlier run has logged are skipped. A run that is
-    given a name replaces the batch of that name; without one it replaces none.
-    ``backup`` keeps a copy of the typed table as it was before any row was
-    deleted from it.
+    """Run everything and publish fact, dimensions and audit log under ``out``.
+
+    Each table is published as a new version when it is complete; until then,
+    and after a failure, readers see the last one. The log comes first, so no
+    published change lacks its entries. It grows by one batch per run, and
+    entries that an earlier run has logged are skipped. A run that is given a
+    name replaces the batch of that name; without one it replaces none.
+    ``backup`` publishes a copy of the typed table as it was before any row was
+    deleted from it. Rows that break a constraint are published as
+    ``rejected_sales``. Stage tables are removed at the end, also after a
+    failure, unless they are to be kept.
     """
+    spark = inputs.sales.sparkSession
+    with collected_stages() as made:
+        try:
+            done = _prepare(inputs, out, constraints, strict, csv, backup, run)
+        except BaseException:
+            remove_stages(spark, made)
+            raise
+    if keep_stages:
+        return done
+    remove_stages(spark, made)
+    return Prepared(**{**done.__dict__, "stages": None})
+
+
+def _prepare(
+    inputs: Inputs, out: str, constraints: list[Constraint] | None, strict: bool, csv: bool,
+    backup: bool, run: str | None,
+) -> Prepared:
     stages = build_stages(inputs, constraints, strict)
-    fact = sinks.snapshot(star.fact_sales(stages.final), f"{out}/fact_sales")
-    categories = sinks.snapshot(
-        star.dim_order_category(inputs.order_categories, fact), f"{out}/dim_order_category"
-    )
-    payments = sinks.snapshot(star.dim_payments(inputs.pay_methods), f"{out}/dim_payments")
+    spark = stages.raw.sparkSession
     log_path, mirror_path = f"{out}/audit_log", f"{out}/backup_audit_log"
     # entries of one step differ in their order, those of two steps in their texts
     audit.append_audit(
@@ -294,35 +357,28 @@ def prepare(
     )
     if backup:
         sinks.snapshot(stages.flagged.select(*TYPED_COLUMNS), f"{out}/backup_sales")
+    if stages.rejected is not None:
+        sinks.publish(stages.rejected, f"{out}/rejected_sales")
+    fact = sinks.publish(star.fact_sales(stages.final), f"{out}/fact_sales")
+    categories = sinks.publish(
+        star.dim_order_category(inputs.order_categories, fact), f"{out}/dim_order_category"
+    )
+    payments = sinks.publish(star.dim_payments(inputs.pay_methods), f"{out}/dim_payments")
     if csv:
         sinks.export_csv(fact, f"{out}/csv/fact_sales")
         sinks.export_csv(categories, f"{out}/csv/dim_order_category")
         sinks.export_csv(payments, f"{out}/csv/dim_payments", one_file=True)
-    return Prepared(
-        fact, categories, payments, audit.read_log(fact.sparkSession, log_path), stages
-    )
+    published = {"fact": "fact_sales", "dim_order_category": "dim_order_category", "dim_payments": "dim_payments"}
+    counts = {name: stages.counts[name] for name in STAGE_NAMES}
+    counts |= {name: sinks.published_rows(spark, f"{out}/{table}") for name, table in published.items()}
+    counts["audit_log"] = sum(entries for *_, entries in ledger.entries(spark, log_path)[-1]["counts"])
+    return Prepared(fact, categories, payments, audit.read_log(spark, log_path), counts, stages)
 
 
-def stage_counts(stages: Stages) -> DataFrame:
-    """(stage, rows) of every step, in order.
+STAGE_NAMES = [f.name for f in fields(Stages) if f.name not in ("rejected", "counts", "keys")]
 
-    One aggregate per stored table; steps that are row-local selections of a
-    stored table are counted by their condition in the same scan.
-    """
-    order = [f.name for f in fields(stages)]
-    selections = _members()
-    inside = {name for members in selections.values() for name in members}
-    parts = []
-    for base in order:
-        if base in inside and base not in selections:
-            continue
-        members = selections.get(base, {base: F.lit(True)})
-        counts = [F.count_if(is_true(m)).alias(name) for name, m in members.items()]
-        totals = getattr(stages, base).agg(*counts)
-        parts.append(totals.unpivot([], list(members), "stage", "rows"))
-    place = F.array_position(F.lit(order), F.col("stage")).cast("int") - 1
-    return (
-        reduce(DataFrame.unionByName, parts)
-        .select(place.alias("step"), "stage", "rows")
-        .orderBy("step")
-    )
+
+def stage_counts(spark: SparkSession, counts: dict[str, int]) -> DataFrame:
+    """(step, stage, rows) of counts by name, in their order; nothing is scanned."""
+    numbered = [(i, name, rows) for i, (name, rows) in enumerate(counts.items())]
+    return spark.createDataFrame(numbered, "step int, stage string, rows long").orderBy("step")

@@ -10,11 +10,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 _LOCAL_ROOTS: dict[str, str] = {}
 _MADE: dict[str, list[str]] = {}
+_COLLECTED: ContextVar[list[str] | None] = ContextVar("collected", default=None)
 
 
 def stage_root(spark: SparkSession) -> str:
@@ -37,9 +41,24 @@ def stage_root(spark: SparkSession) -> str:
 def new_stage_path(spark: SparkSession, label: str) -> str:
     path = f"{stage_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
     _MADE.setdefault(spark.sparkContext.applicationId, []).append(path)
+    if (collected := _COLLECTED.get()) is not None:
+        collected.append(path)
     return path
 
 
+@contextmanager
+def collected_stages() -> Iterator[list[str]]:
+    """The paths of the stage tables that are made inside, by this thread."""
+    outer, made = _COLLECTED.get(), []
+    token = _COLLECTED.set(made)
+    try:
+        yield made
+    finally:
+        _COLLECTED.reset(token)
+        if outer is not None:
+            outer.extend(made)
+
+
 def stage_paths(spark: SparkSession) -> list[str]:
     """The stage tables that this session has made and not removed, oldest first."""
     return list(_MADE.get(spark.sparkContext.applicationId, []))
@@ -61,3 +80,15 @@ def write_stage(df: DataFrame, label: str) -> DataFrame:
     path = new_stage_path(spark, label)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def write_counted(df: DataFrame, label: str, counts: dict[str, Column]) -> tuple[DataFrame, dict[str, int]]:
+    """Write a stage table and count, while it is written, the rows of each condition.
+
+    The counts are taken by the tasks that write, whose results count once even
+    if a task is repeated.
+    """
+    metrics = Observation()
+    observed = df.observe(metrics, *[F.count_if(F.coalesce(c, F.lit(False))).alias(n) for n, c in counts.items()])
+    stored = write_stage(observed, label)
+    return stored, dict(metrics.get)

@@ -1,7 +1,9 @@
 """Operators on literal rows, against brute force and on their hard cases."""
 
 import datetime as dt
+import threading
 from collections import defaultdict
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from hypothesis import given, settings, strategies as st
@@ -21,7 +23,7 @@ from orderloom.operators.standardize import (
 from orderloom.plans import fixed_values as fv
 from orderloom.plans.group_joins import join_groups, without_keys
 from orderloom.plans.stage_store import new_stage_path, stage_paths, write_stage
-from orderloom.sources import landing, sinks
+from orderloom.sources import landing, ledger, sinks
 
 
 def rows(df):
@@ -540,9 +542,38 @@ def test_create_append_snapshot(spark):
     assert sinks.create_table_as(spark.range(9), path, if_not_exists=True).count() == 3
     with pytest.raises(PySparkException):
         sinks.create_table_as(df, path)
-    sinks.append_rows(df, path)
-    assert spark.read.parquet(path).count() == 6
-    assert sinks.snapshot(df, path).count() == 3
+    copy = new_stage_path(spark, "copy")
+    assert sinks.snapshot(spark.range(5), copy).count() == 5
+    assert sinks.snapshot(df, copy).count() == sinks.published_rows(spark, copy) == 3
+
+
+def test_a_killed_publication_leaves_the_last_version(spark):
+    path = new_stage_path(spark, "published")
+    data = spark.createDataFrame([("a", 1, "x"), (None, 2, "y")], "m string, v int, t string")
+    first = sinks.publish(data, path, partition_by=["m"])
+    assert first.columns == data.columns and rows(first) == rows(data)
+    broken = spark.range(4).select(F.when(F.col("id") == 3, F.raise_error(F.lit("killed"))).otherwise("a").cast("string").alias("m"), F.lit(1).alias("v"), F.lit("z").alias("t"))
+    with pytest.raises(Exception, match="killed"):
+        sinks.publish(broken, path)
+    assert rows(sinks.read_published(spark, path)) == rows(data)
+    # the version before stays readable, older ones go
+    second = sinks.publish(data.limit(1), path)
+    assert first.count() == 2 and second.count() == 1
+    sinks.publish(data.limit(0), path)
+    assert sinks.read_published(spark, path).count() == 0 == sinks.published_rows(spark, path)
+    with pytest.raises(Exception):
+        spark.read.schema(first.schema).parquet(first.inputFiles()[0]).count()
+    with pytest.raises(FileNotFoundError):
+        sinks.read_published(spark, new_stage_path(spark, "nothing"))
+
+
+def test_a_ledger_number_is_given_once(spark):
+    path = new_stage_path(spark, "ledger")
+    assert ledger.entries(spark, path) == []
+    with ThreadPoolExecutor(8) as pool:
+        won = list(pool.map(lambda i: ledger.commit(spark, path, 1, {"writer": i}), range(8)))
+    assert won.count(True) == 1
+    assert ledger.entries(spark, path) == [{"writer": won.index(True), "number": 1}]
 
 
 # --- audit log --------------------------------------------------------------
@@ -573,6 +604,64 @@ def test_strict_append_raises_and_writes_nothing(spark):
     assert audit.read_log(spark, log).count() == audit.read_log(spark, mirror).count() == 1
 
 
+def test_a_mirror_that_was_left_behind_catches_up(spark, monkeypatch):
+    log, mirror = new_stage_path(spark, "log"), new_stage_path(spark, "mirror")
+    audit.append_audit(entries(spark, "a"), log, mirror)
+    with monkeypatch.context() as crash:
+        crash.setattr(audit, "catch_up", lambda *paths: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            audit.append_audit(entries(spark, "b", "c"), log, mirror)
+        with pytest.raises(ZeroDivisionError):
+            audit.append_audit(entries(spark, "x"), log, mirror, batch_id="named")
+    assert audit.read_log(spark, mirror).count() == 1
+    # the same again without a name adds nothing to the log, but fills the mirror
+    audit.append_audit(entries(spark, "b", "c"), log, mirror)
+    assert rows(audit.read_log(spark, mirror)) == rows(audit.read_log(spark, log))
+    assert audit.read_log(spark, log).count() == 4
+    audit.append_audit(entries(spark, "y"), log, mirror, batch_id="named")
+    assert rows(audit.read_log(spark, mirror)) == rows(audit.read_log(spark, log))
+    assert audit.catch_up(spark, log, mirror) == 0
+    # a batch that was replaced before it was mirrored comes once
+    other = new_stage_path(spark, "mirror")
+    assert audit.catch_up(spark, log, other) == 5
+    assert rows(audit.read_log(spark, other)) == rows(audit.read_log(spark, log))
+
+
+def test_two_appends_at_once(spark, monkeypatch):
+    log, mirror = new_stage_path(spark, "log"), new_stage_path(spark, "mirror")
+    audit.append_audit(entries(spark, "a"), log, mirror)
+    # both have read the log before either is entered
+    both, commit = threading.Barrier(2), ledger.commit
+    first = set()
+
+    def together(session, path, *entry):
+        if path == log and threading.get_ident() not in first:
+            first.add(threading.get_ident())
+            both.wait(60)
+        return commit(session, path, *entry)
+
+    monkeypatch.setattr(audit.ledger, "commit", together)
+    with ThreadPoolExecutor(2) as pool:
+        done = [pool.submit(audit.append_audit, entries(spark, *ids), log, mirror) for ids in ("bcd", "dea")]
+        added = [f.result() for f in done]
+    got = rows(audit.read_log(spark, log).select("log_id", "order_id"))
+    assert [r[0] for r in got] == [1, 2, 3, 4, 5]
+    assert sorted(r[1] for r in got) == list("abcde")
+    assert sum(df.count() for df in added) == 4
+    assert rows(audit.read_log(spark, mirror)) == rows(audit.read_log(spark, log))
+
+
+def test_counts_in_the_ledger_are_those_of_the_rows(spark):
+    log, mirror = new_stage_path(spark, "log"), new_stage_path(spark, "mirror")
+    other = entries(spark, "a", "z", reason="q").withColumn("source_table", F.lit("t2"))
+    for name, batch in [("1", entries(spark, "a", "b", None)), ("2", other), ("3", entries(spark, "c", "a")), ("1", entries(spark, "b")), ("4", entries(spark, "d").limit(0))]:
+        audit.append_audit(batch, log, mirror, batch_id=name)
+        told = audit.log_summary(spark, log)
+        assert rows(told) == rows(audit.audit_summary(audit.read_log(spark, log)))
+        assert "Scan parquet" not in told._jdf.queryExecution().executedPlan().toString()
+    assert rows(audit.log_summary(spark, mirror)) == rows(told)
+
+
 def test_null_keys_are_never_repeats(spark):
     log, mirror = new_stage_path(spark, "log"), new_stage_path(spark, "mirror")
     audit.append_audit(entries(spark, None, None), log, mirror)

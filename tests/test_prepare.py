@@ -7,8 +7,11 @@ from checks import fixtures as fx
 from orderloom.operators import audit, dedup, profile, rules, star
 from orderloom.operators.typed import sales_constraints
 from orderloom.plans import fixed_values as fv
-from orderloom.plans.prepare import MAPPING_COLUMNS, all_audit_entries, audit_batches, prepare, read_inputs, stage_counts
-from orderloom.plans.stage_store import new_stage_path
+from orderloom.plans import prepare as prepare_module
+from orderloom.plans.prepare import (
+    MAPPING_COLUMNS, STAGE_NAMES, all_audit_entries, audit_batches, prepare, read_inputs, stage_counts,
+)
+from orderloom.plans.stage_store import new_stage_path, stage_paths
 from orderloom.sources import landing, sinks
 from orderloom.streaming.audit_stream import mirror_stream
 
@@ -32,7 +35,7 @@ def out(spark):
 
 @pytest.fixture(scope="module")
 def done(inputs, out):
-    return prepare(inputs, out, csv=True)
+    return prepare(inputs, out, csv=True, keep_stages=True)
 
 
 def test_files_give_the_same_result(spark, inputs, done):
@@ -100,7 +103,9 @@ def test_csv_export_holds_the_fact(spark, done, out):
 
 def test_running_again_changes_nothing(inputs, out, done):
     before = rows(done.fact), rows(done.audit_log.drop("logged_at"))
+    made = set(stage_paths(done.fact.sparkSession))
     again = prepare(inputs, out)
+    assert set(stage_paths(done.fact.sparkSession)) == made and again.stages is None
     assert (rows(again.fact), rows(again.audit_log.drop("logged_at"))) == before
 
 
@@ -109,9 +114,9 @@ def test_another_run_adds_only_what_is_new(spark, inputs):
     some = F.substring("order_id", -1, 1) < "5"
     part = type(inputs)(**{**inputs.__dict__, "sales": inputs.sales.where(some)})
     first = prepare(part, base, run="monday", backup=True)
-    assert spark.read.parquet(f"{base}/backup_sales").count() == first.stages.flagged.count()
+    assert sinks.read_published(spark, f"{base}/backup_sales").count() == first.counts["flagged"]
     before = rows(first.audit_log)
-    whole = prepare(inputs, base, run="tuesday")
+    whole = prepare(inputs, base, run="tuesday", keep_stages=True)
     log = whole.audit_log
     assert set(before) <= set(rows(log))
     assert log.select("log_id").distinct().count() == log.count()
@@ -133,12 +138,15 @@ def test_unnamed_runs_keep_the_log(spark, inputs):
 
 
 def test_constraints_filter_or_stop(inputs, spark):
-    kept = prepare(inputs, new_stage_path(spark, "kept"), constraints=sales_constraints(key_length=fx.ID_LENGTH))
-    assert kept.fact.count() == kept.stages.final.count() > 0
+    out = new_stage_path(spark, "kept")
+    kept = prepare(inputs, out, constraints=sales_constraints(key_length=fx.ID_LENGTH))
+    assert kept.fact.count() == kept.counts["final"] == kept.counts["fact"] > 0
+    assert kept.counts["clean"] - kept.counts["flagged"] == sinks.published_rows(spark, f"{out}/rejected_sales") > 0
     bad = inputs.sales.withColumn("qty", F.when(F.col("order_id") == "ORD_000000000000000005", "0").otherwise(F.col("qty")))
     broken = type(inputs)(**{**inputs.__dict__, "sales": bad})
     fewer = prepare(broken, new_stage_path(spark, "fewer"), constraints=sales_constraints(key_length=fx.ID_LENGTH))
-    assert fewer.stages.flagged.count() == kept.stages.flagged.count() - 1
+    assert fewer.counts["flagged"] == kept.counts["flagged"] - 1
+    assert fewer.counts["clean"] == kept.counts["clean"]
     with pytest.raises(Exception, match="qty > 0"):
         prepare(broken, new_stage_path(spark, "stop"), constraints=sales_constraints(key_length=fx.ID_LENGTH), strict=True)
 
@@ -170,8 +178,36 @@ def test_second_pass_finds_what_the_first_could_not(done):
     assert left.count() == 0
 
 
+def test_counts_are_those_of_the_tables(done):
+    stages = done.stages
+    assert done.counts == {
+        **{name: getattr(stages, name).count() for name in STAGE_NAMES},
+        **{name: getattr(done, name).count() for name in ("fact", "dim_order_category", "dim_payments", "audit_log")},
+    }
+    for name, keys in stages.keys.items():
+        assert keys == getattr(stages, name).where("order_id IS NOT NULL").count()
+
+
+def test_a_killed_run_leaves_the_last_results(spark, inputs, monkeypatch):
+    base = new_stage_path(spark, "killed")
+    before = rows(prepare(inputs, base).fact)
+    made = set(stage_paths(spark))
+    part = type(inputs)(**{**inputs.__dict__, "sales": inputs.sales.where("order_id < 'ORD_000000000000000100'")})
+
+    def broken(df):
+        return star.fact_sales(df).withColumn("qty", F.raise_error(F.lit("killed")).cast("bigint"))
+
+    monkeypatch.setattr(prepare_module, "star", type("Broken", (), {**star.__dict__, "fact_sales": staticmethod(broken)}))
+    with pytest.raises(Exception, match="killed"):
+        prepare(part, base)
+    monkeypatch.undo()
+    assert rows(sinks.read_published(spark, f"{base}/fact_sales")) == before
+    assert set(stage_paths(spark)) == made
+    assert rows(prepare(part, base).fact) != before
+
+
 def test_stage_counts_only_fall(done):
-    counts = {r.stage: r.rows for r in stage_counts(done.stages).collect()}
+    counts = {r.stage: r.rows for r in stage_counts(done.fact.sparkSession, done.counts).collect()}
     chain = ["raw", "without_duplicates", "with_qty", "with_pay_method", "repaired", "clean",
              "flagged", "with_valid_payment", "final"]
     assert [counts[c] for c in chain] == sorted((counts[c] for c in chain), reverse=True)
@@ -217,4 +253,4 @@ def test_command_line(spark, inputs, capsys):
     main(arguments)
     shown = capsys.readouterr().out
     assert "without_duplicates" in shown and "Delete invalid zero payment" in shown
-    assert spark.read.parquet(f"{base}/out/fact_sales").count() > 0
+    assert sinks.read_published(spark, f"{base}/out/fact_sales").count() > 0
