@@ -380,6 +380,7 @@ def validation_report(spark, sf_dir):
             "city": (fx.map_place(spark, sf_dir), "city_new"),
             "province": (fx.map_place(spark, sf_dir), "province_new"),
         },
+        categories=fx.order_category(spark, sf_dir),
     )
 
 

@@ -355,6 +355,10 @@ _RULES = {
     "status_reason_mismatch": _MISMATCH,
     "return_not_done": "returned_qty > 0 AND order_status <> 'Selesai'",
     "date_ts_mismatch": "CAST(order_timestamp AS DATE) <> order_date_clean",
+    "per_item_weight": "qty < 10 AND weight_gr / 1000.0::DOUBLE / nullif(qty, 0) > 10",
+    "fast_ship_heavy": "shipping_category IN ('Instant', 'Same Day')"
+    " AND round(weight_gr / 1000.0::DOUBLE, 3) > 50",
+    "cod_problem": f"{COD_STATUS} IN ('COD_1', 'COD_2')",
     "future_dates": _FUTURE,
     "incomplete_rows": _INCOMPLETE,
 }
@@ -599,7 +603,9 @@ def oracle_sql() -> dict[str, str]:
                 ]
             ],
         ]
-    )
+    ) + """ UNION ALL SELECT 'category_count_mismatch', count(*) FROM typed_sales
+      JOIN (SELECT order_id, count(product_category) AS n FROM order_category GROUP BY order_id) r
+        USING (order_id) WHERE category_count <> n"""
     q["domain_ship_method"] = _domain("ship_method", "map_ship", "ship_method_new")
     q["domain_pay_method"] = _domain("pay_method", "map_pay", "pay_method_new")
     q["domain_city"] = _domain("city", "map_place", "city_new")

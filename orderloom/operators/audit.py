@@ -219,7 +219,6 @@ def _once(batch: DataFrame) -> DataFrame:
     whole = F.lit(True)
     for name in fv.AUDIT_KEY:
         whole = whole & F.col(name).isNotNull()
-    others = [c for c in batch.columns if c not in fv.AUDIT_KEY]
     hashed = batch.withColumn("__hash", F.when(whole, F.xxhash64(*fv.AUDIT_KEY)))
     repeated = write_stage(
         hashed.where(F.col("__hash").isNotNull())
@@ -230,13 +229,20 @@ def _once(batch: DataFrame) -> DataFrame:
     )
     marked = join_groups(hashed, repeated, ["__hash"], how="left")
     single = marked.where(F.col("__rows").isNull()).select(*batch.columns)
-    first = (
-        marked.where(F.col("__rows").isNotNull())
-        .groupBy(*fv.AUDIT_KEY)
+    return single.unionByName(one_per_key(marked.where(F.col("__rows").isNotNull()).select(*batch.columns)))
+
+
+def one_per_key(batch: DataFrame) -> DataFrame:
+    """One row per audit key by grouping all rows; those with a NULL in it all stay."""
+    others = [c for c in batch.columns if c not in fv.AUDIT_KEY]
+    # a number for each row whose key equals nothing
+    alone = F.when(F.greatest(*[F.col(c).isNull() for c in fv.AUDIT_KEY]), F.monotonically_increasing_id())
+    return (
+        batch.withColumn("__alone", alone)
+        .groupBy(*fv.AUDIT_KEY, "__alone")
         .agg(F.min(F.struct(*others)).alias("__row"))
-        .select(*fv.AUDIT_KEY, *[F.col(f"__row.{c}").alias(c) for c in others])
+        .select(*[F.col(c) if c in fv.AUDIT_KEY else F.col(f"__row.{c}").alias(c) for c in batch.columns])
     )
-    return single.unionByName(first)
 
 
 def new_entries(batch: DataFrame, log: DataFrame, unique_batch: bool = False) -> DataFrame:
@@ -306,18 +312,18 @@ def append_audit(
     spark = batch.sparkSession
     batch_id = batch_id or uuid.uuid4().hex
     seen = Observation()
-    staged = batch.withColumn(KIND, kind_of_entry()).observe(
-        seen, F.count(F.lit(1)).alias("rows"), F.collect_set(KIND).alias("kinds")
-    )
-    stored = write_stage(staged, "entries")
+    figures = [F.count(F.lit(1)).alias("rows"), F.collect_set(KIND).alias("kinds")]
+    stored = write_stage(batch.withColumn(KIND, kind_of_entry()).observe(seen, *figures), "entries")
     once = stored if unique_batch else _once(stored)
     while True:
         known = ledger.entries(spark, log_path)
         others = {e["batch"]: e for e in known}
         replaced = others.pop(batch_id, None)
-        # a filter on a partition column: folders of other kinds are not opened
-        held = _read_parts(spark, log_path, list(others.values())).where(F.col(KIND).isin(seen.get["kinds"]))
-        new = new_entries(once, held, True) if others else once
+        held, new = None, once
+        if others:
+            # a filter on a partition column: folders of other kinds are not opened
+            held = _read_parts(spark, log_path, list(others.values())).where(F.col(KIND).isin(seen.get["kinds"]))
+            new = new_entries(once, held, unique_batch=True)
         placed = place_rows(new, order_by or [fv.KEY])
         if strict and placed.count() != seen.get["rows"]:
             raise ValueError("audit entries repeat a key: " + ", ".join(fv.AUDIT_KEY))
@@ -331,7 +337,7 @@ def append_audit(
         before = None if replaced else (known[-1]["counts"] if known else [])
         entry = {
             "batch": batch_id, "folder": folder, "last_id": start + rows,
-            "counts": _counts(spark, log_path, folder, held if others else None, before, others),
+            "counts": _counts(spark, log_path, folder, held, before, others),
         }
         if ledger.commit(spark, log_path, ledger.next_number(known), entry):
             break

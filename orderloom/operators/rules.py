@@ -14,6 +14,8 @@ from pyspark.sql.types import StringType
 
 from ..functions import any_of, is_true, like_ignoring_case, local_now, rounded
 from ..plans import fixed_values as fv
+from ..plans.fixed_values import Terms
+from .flags import cod_status
 from .standardize import domain_members, drop_where, not_in_domain
 
 col = F.col
@@ -28,27 +30,32 @@ class RowRule:
     shows: tuple[str, ...]
 
 
-def _zero_payment() -> Column:
-    excused = (col("order_status") == fv.CANCELLED) | (col("pay_method") == fv.FREE_PAYMENT)
-    return (col("payment") == 0) & ~is_true(excused)
+def _per_piece_kg() -> Column:
+    return F.try_divide(col("weight_gr") / F.lit(1000.0), col("qty").cast("double"))
 
 
-def _above_estimate(what: str) -> Column:
-    return ~is_true(col(what) <= col("ship_est"))
+def _weight_kg() -> Column:
+    return rounded(col("weight_gr") / F.lit(1000.0), 3)
 
 
-def _reason_mismatch() -> Column:
-    cancelled = col("order_status") == fv.CANCELLED
-    return ((col("cancel_reason") == fv.NOT_CANCELLED_REASON) & cancelled) | (
-        (col("order_status") != fv.CANCELLED)
-        & like_ignoring_case("cancel_reason", fv.CANCELLED_REASON_PATTERN)
-    )
+def row_rules(terms: Terms = fv.TERMS) -> dict[str, RowRule]:
+    """The rules on single rows by name, in the order of the report."""
+
+    def zero_payment() -> Column:
+        excused = (col("order_status") == terms.cancelled) | (col("pay_method") == terms.free_payment)
+        return (col("payment") == 0) & ~is_true(excused)
 
+    def above_estimate(what: str) -> Column:
+        return ~is_true(col(what) <= col("ship_est"))
+
+    def reason_mismatch() -> Column:
+        cancelled = col("order_status") == terms.cancelled
+        return ((col("cancel_reason") == terms.not_cancelled_reason) & cancelled) | (
+            (col("order_status") != terms.cancelled)
+            & like_ignoring_case("cancel_reason", terms.cancelled_reason_pattern)
+        )
 
-# one row per rule; the order is that of the report
-ROW_RULES = {
-    rule.name: rule
-    for rule in [
+    rules = [
         RowRule(
             "returned_gt_qty",
             lambda: col("returned_qty") > col("qty"),
@@ -56,38 +63,38 @@ ROW_RULES = {
         ),
         RowRule(
             "free_but_paid",
-            lambda: (col("pay_method") == fv.FREE_PAYMENT) & (col("payment") > 0),
+            lambda: (col("pay_method") == terms.free_payment) & (col("payment") > 0),
             ("pay_method", "payment"),
         ),
         RowRule(
             "invalid_zero_payment",
-            _zero_payment,
+            zero_payment,
             ("order_id", "order_status", "pay_method", "payment"),
         ),
         RowRule(
             "discount_gt_total",
             lambda: (col("discount") > col("payment") + col("ship_fee"))
-            & (col("order_status") != fv.CANCELLED),
+            & (col("order_status") != terms.cancelled),
             ("order_id", "order_status", "discount", "payment", "ship_fee"),
         ),
         RowRule(
             "invalid_ship_disc",
-            lambda: _above_estimate("ship_disc"),
+            lambda: above_estimate("ship_disc"),
             ("order_id", "ship_disc", "ship_est"),
         ),
         RowRule(
             "ship_fee_gt_est",
-            lambda: _above_estimate("ship_fee"),
+            lambda: above_estimate("ship_fee"),
             ("order_id", "ship_fee", "ship_disc", "ship_est"),
         ),
         RowRule(
             "status_reason_mismatch",
-            _reason_mismatch,
+            reason_mismatch,
             ("order_id", "cancel_reason", "order_status"),
         ),
         RowRule(
             "return_not_done",
-            lambda: (col("returned_qty") > 0) & (col("order_status") != fv.DONE),
+            lambda: (col("returned_qty") > 0) & (col("order_status") != terms.done),
             ("order_id", "returned_qty", "order_status"),
         ),
         RowRule(
@@ -95,8 +102,27 @@ ROW_RULES = {
             lambda: col("order_timestamp").cast("date") != col("order_date_clean"),
             ("order_id", "order_timestamp", "order_date_clean"),
         ),
+        RowRule(
+            "per_item_weight",
+            lambda: (col("qty") < terms.bulk_pieces) & (_per_piece_kg() > terms.heavy_item_gr / 1000),
+            ("order_id", "product_categories", "weight_gr", "qty"),
+        ),
+        RowRule(
+            "fast_ship_heavy",
+            lambda: col("shipping_category").isin(terms.instant, terms.same_day)
+            & (_weight_kg() > terms.heavy_fast_gr / 1000),
+            ("order_id", "ship_method", "shipping_carrier", "weight_gr"),
+        ),
+        RowRule(
+            "cod_problem",
+            lambda: cod_status(terms).isin(*terms.cod_problems),
+            ("order_id", "order_status", "payment", "pay_method"),
+        ),
     ]
-}
+    return {rule.name: rule for rule in rules}
+
+
+ROW_RULES = row_rules()
 
 
 def violations(df: DataFrame, rule: str | RowRule, all_columns: bool = False) -> DataFrame:
@@ -142,50 +168,44 @@ def future(as_of: Column | None = None) -> Column:
 # --- profiles ---------------------------------------------------------------
 
 
-def per_item_weight(df: DataFrame) -> DataFrame:
+def per_item_weight(df: DataFrame, terms: Terms = fv.TERMS) -> DataFrame:
     """Orders of few pieces whose pieces weigh more than 10 kg each."""
-    weight_kg = col("weight_gr") / F.lit(1000.0)
-    per_piece = F.try_divide(weight_kg, col("qty").cast("double"))
     return (
-        df.where(col("qty") < fv.BULK_PIECES)
+        violations(df, row_rules(terms)["per_item_weight"])
         .select(
             "order_id",
             "product_categories",
-            per_piece.alias("per_item_kg"),
-            weight_kg.alias("weight_kg"),
+            _per_piece_kg().alias("per_item_kg"),
+            (col("weight_gr") / F.lit(1000.0)).alias("weight_kg"),
             "qty",
         )
-        .where(col("per_item_kg") > fv.HEAVY_ITEM_GR / 1000)
         .orderBy("product_categories", "per_item_kg")
     )
 
 
-def fast_ship_heavy(df: DataFrame) -> DataFrame:
+def fast_ship_heavy(df: DataFrame, terms: Terms = fv.TERMS) -> DataFrame:
     """Instant and same-day parcels above 50 kg, on the rounded weight."""
-    weight_kg = rounded(col("weight_gr") / F.lit(1000.0), 3)
-    return (
-        df.where(col("shipping_category").isin(fv.INSTANT, fv.SAME_DAY))
-        .select("order_id", "ship_method", "shipping_carrier", weight_kg.alias("weight_kg"))
-        .where(col("weight_kg") > fv.HEAVY_FAST_GR / 1000)
+    return violations(df, row_rules(terms)["fast_ship_heavy"]).select(
+        "order_id", "ship_method", "shipping_carrier", _weight_kg().alias("weight_kg")
     )
 
 
-def high_value_orders(df: DataFrame) -> DataFrame:
+def high_value_orders(df: DataFrame, terms: Terms = fv.TERMS) -> DataFrame:
     return (
-        df.where(col("payment") > fv.HIGH_VALUE)
+        df.where(col("payment") > terms.high_value)
         .select("order_id", "qty", "payment")
         .orderBy(col("payment").desc())
     )
 
 
-def high_value_by_category(df: DataFrame, categories: DataFrame) -> DataFrame:
+def high_value_by_category(df: DataFrame, categories: DataFrame, terms: Terms = fv.TERMS) -> DataFrame:
     """High-value orders per category.
 
     Both sides are reduced to counts per order before they meet, so that no
     order can fill a task however often it is repeated.
     """
     orders = (
-        df.where(col("payment") > fv.HIGH_VALUE)
+        df.where(col("payment") > terms.high_value)
         .groupBy("order_id")
         .agg(F.count(F.lit(1)).alias("__orders"))
     )
@@ -200,14 +220,15 @@ def high_value_by_category(df: DataFrame, categories: DataFrame) -> DataFrame:
     )
 
 
+def _reference_counts(categories: DataFrame) -> DataFrame:
+    return categories.groupBy("order_id").agg(F.count("product_category").alias("category_count_ref"))
+
+
 def category_count_mismatch(df: DataFrame, categories: DataFrame) -> DataFrame:
     """Orders whose stored category count differs from their rows in the child table."""
-    counted = categories.groupBy("order_id").agg(
-        F.count("product_category").alias("category_count_ref")
-    )
     return (
         df.select("order_id", "category_count")
-        .join(counted, "order_id")
+        .join(_reference_counts(categories), "order_id")
         .where(col("category_count") != col("category_count_ref"))
     )
 
@@ -221,11 +242,13 @@ def validate(
     complete: list[str] | None = None,
     as_of: Column | None = None,
     domains: dict[str, tuple[DataFrame, str]] | None = None,
+    categories: DataFrame | None = None,
 ) -> DataFrame:
     """(rule, violations) of all row rules from a single scan of ``df``.
 
-    ``domains`` adds domain checks, ``{column: (domain table, its column)}``;
-    the members are looked up in the same pass.
+    ``domains`` adds domain checks, ``{column: (domain table, its column)}``,
+    and ``categories`` the check of the stored category counts; members and
+    counts are looked up in the same pass.
     """
     broken = {r.name: r.broken() for r in (rules or list(ROW_RULES.values()))}
     broken["future_dates"] = future(as_of)
@@ -235,6 +258,9 @@ def validate(
         members = domain_members(domain, domain_col, member).withColumn(found, F.lit(True))
         df = df.join(members, col(name) == col(member), "left")
         broken[f"domain_{name}"] = col(name).isNotNull() & col(found).isNull()
+    if categories is not None:
+        df = df.join(_reference_counts(categories), "order_id", "left")
+        broken["category_count_mismatch"] = col("category_count") != col("category_count_ref")
     counts = df.agg(*[F.count_if(is_true(c)).alias(name) for name, c in broken.items()])
     return counts.unpivot([], list(broken), "rule", "violations")
 

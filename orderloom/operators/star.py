@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import is_blank
 
@@ -93,3 +93,53 @@ def star_rollup(fact: DataFrame, categories: DataFrame, payments: DataFrame) ->
         )
         .orderBy("payment_category", "product_category")
     )
+
+
+SLICE = "month_order_date"
+
+
+def calendar(fact: DataFrame) -> DataFrame:
+    """The months of the fact table with their year, quarter and half-year.
+
+    Of a fact table that is published by month only the folders are listed.
+    """
+    month = F.substring(SLICE, 6, 2).cast("int")
+    return (
+        fact.select(SLICE)
+        .where(F.col(SLICE).isNotNull())
+        .distinct()
+        .select(
+            SLICE,
+            F.substring(SLICE, 1, 4).alias("year"),
+            F.ceil(month / 3).cast("int").alias("quarter"),
+            F.ceil(month / 6).cast("int").alias("half"),
+        )
+    )
+
+
+def sliced_rollup(
+    fact: DataFrame, categories: DataFrame, payments: DataFrame, months: DataFrame, where: Column
+) -> DataFrame:
+    """:func:`star_rollup` per month, of the months of a calendar that meet ``where``.
+
+    With a fact table that is published by month (``publish(…,
+    partition_by=[SLICE])``) Spark reads the chosen months' folders only, by
+    dynamic partition pruning. The rows of an order's categories are counted for
+    the orders of those months alone.
+    """
+    chosen = months.where(where).select(SLICE)
+    sliced = fact.select(SLICE, "order_id", "pay_method", "payment").join(chosen, SLICE)
+    per_order = sliced.groupBy(SLICE, "order_id", "pay_method").agg(
+        F.count(F.lit(1)).alias("__orders"), F.sum("payment").alias("__payment")
+    )
+    members = categories.groupBy("order_id", "product_category").agg(F.count(F.lit(1)).alias("__members"))
+    return (
+        per_order.join(payments, "pay_method")
+        .join(members, "order_id")
+        .groupBy(SLICE, "payment_category", "product_category")
+        .agg(
+            F.sum(F.col("__orders") * F.col("__members")).alias("orders"),
+            F.sum(F.col("__payment") * F.col("__members")).alias("payment_total"),
+        )
+        .orderBy(SLICE, "payment_category", "product_category")
+    )

@@ -5,6 +5,8 @@ text that must be exactly this for the results to be right. The operators take
 these as default arguments, so another table can bring its own.
 """
 
+from dataclasses import dataclass
+
 # --- fixed values: landing table -------------------------------------------
 
 LANDING_SEPARATOR = ";"
@@ -100,6 +102,63 @@ GAP_OUTLIER_SHARE = 0.5
 GAP_SUSPICIOUS = 15_000
 TILES = 10
 
+# --- fixed values: labels of the flags --------------------------------------
+
+NORMAL = "Normal"
+WEIGHT_LABELS = (
+    "Invalid_Per_Item_Too_Heavy", "Invalid_Instant_Too_Heavy",
+    "Suspicious_Per_Item_Heavy", "Suspicious_Fast_Shipping_Heavy",
+)
+PAYMENT_LABELS = (
+    "Suspicious_High_Value_Low_Qty", "High_Value_Heavy_Category", "High_Value_Bulk", "High_Value",
+)
+SEGMENT_LABELS = ("High Value", "Mid Value", "Low Value")
+SHIPPING_LABELS = ("Outlier", "Suspicious")
+COD_LABELS = ("COD_1", "COD_2", "COD_3", "COD_4", "COD_5", "COD_6", "COD_Other")
+NON_COD = "Non_COD"
+COD_PROBLEMS = COD_LABELS[:2]
+
+
+
+@dataclass(frozen=True)
+class Terms:
+    """What flags and rules go by; another table brings its own with ``replace``."""
+
+    cancelled: str = CANCELLED
+    done: str = DONE
+    received: str = RECEIVED
+    in_transit: str = IN_TRANSIT
+    sent: str = SENT
+    not_cancelled_reason: str = NOT_CANCELLED_REASON
+    cancelled_reason_pattern: str = CANCELLED_REASON_PATTERN
+    free_payment: str = FREE_PAYMENT
+    cash_on_delivery: str = CASH_ON_DELIVERY
+    instant: str = INSTANT
+    same_day: str = SAME_DAY
+    heavy_category_pattern: str = HEAVY_CATEGORY_PATTERN
+    high_value: int = HIGH_VALUE
+    mid_value: int = MID_VALUE
+    few_pieces: int = FEW_PIECES
+    bulk_pieces: int = BULK_PIECES
+    heavy_item_gr: int = HEAVY_ITEM_GR
+    too_heavy_item_gr: int = TOO_HEAVY_ITEM_GR
+    heavy_fast_gr: int = HEAVY_FAST_GR
+    too_heavy_instant_gr: int = TOO_HEAVY_INSTANT_GR
+    gap_outlier: int = GAP_OUTLIER
+    gap_outlier_share: float = GAP_OUTLIER_SHARE
+    gap_suspicious: int = GAP_SUSPICIOUS
+    normal: str = NORMAL
+    weight_labels: tuple[str, ...] = WEIGHT_LABELS
+    payment_labels: tuple[str, ...] = PAYMENT_LABELS
+    segment_labels: tuple[str, ...] = SEGMENT_LABELS
+    shipping_labels: tuple[str, ...] = SHIPPING_LABELS
+    cod_labels: tuple[str, ...] = COD_LABELS
+    non_cod: str = NON_COD
+    cod_problems: tuple[str, ...] = COD_PROBLEMS
+
+
+TERMS = Terms()
+
 # --- fixed values: date formats --------------------------------------------
 
 DATE_GLOB = "[0-9][0-9][0-9][0-9]-[0-9][0-9]-[0-9][0-9]"

@@ -284,9 +284,14 @@ def audit_entries_of(stages: Stages, entries: list[str]) -> DataFrame:
 
 
 def all_audit_entries(stages: Stages) -> DataFrame:
-    """One table of all log entries with ``step``, the place of their change."""
+    """One table of all log entries with ``step``, the place of their change.
+
+    No audit key is repeated: an order has one entry per change and all changes
+    differ in their texts, only an order that is the first of several groups of
+    duplicates has to be listed once.
+    """
     parts = [
-        _duplicate_entries(stages, name).withColumn("step", F.lit(step))
+        audit.one_per_key(_duplicate_entries(stages, name)).withColumn("step", F.lit(step))
         for name, (step, _, _) in DUPLICATE_PASSES.items()
     ]
     parts.append(audit_entries_of(stages, [s.entry for s in log_steps()]))
@@ -353,7 +358,7 @@ def _prepare(
     # entries of one step differ in their order, those of two steps in their texts
     audit.append_audit(
         all_audit_entries(stages), log_path, mirror_path,
-        batch_id=run, order_by=["step", fv.KEY],
+        batch_id=run, order_by=["step", fv.KEY], unique_batch=True,
     )
     if backup:
         sinks.snapshot(stages.flagged.select(*TYPED_COLUMNS), f"{out}/backup_sales")
