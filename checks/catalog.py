@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from orderloom.functions import like_ignoring_case, matches_glob, whole_number
-from orderloom.operators import audit, dedup, distribution, flags, profile, rules, star
+from orderloom.operators import audit, dedup, distribution, flags, profile, relations, rules, star, tallies
 from orderloom.operators.standardize import (
     date_repair,
     drop_blank,
@@ -22,7 +22,7 @@ from orderloom.operators.typed import (
     quarantine,
     sales_constraints,
 )
-from orderloom.plans import fixed_values as fv
+from orderloom.plans import extracts, fixed_values as fv
 from orderloom.plans.prepare import (
     add_categories,
     audit_batch,
@@ -30,7 +30,7 @@ from orderloom.plans.prepare import (
     prepare,
     stage_counts,
 )
-from orderloom.plans.stage_store import new_stage_path
+from orderloom.plans.stage_store import new_stage_path, write_stage
 from orderloom.sources import landing, sinks
 from orderloom.streaming.audit_stream import mirror_stream
 
@@ -410,6 +410,73 @@ def category_count_mismatch(spark, sf_dir):
     )
 
 
+# --- extracts ---------------------------------------------------------------
+
+
+def _every_second(df):
+    """A first extract and the rest, by the amount of pieces."""
+    first = F.coalesce(F.col("qty") % 2 == 1, F.lit(False))
+    return df.where(first), df.where(~first)
+
+
+@query
+def append_extract(spark, sf_dir):
+    """Two extracts under one key; the second repeats orders of the first."""
+    one, other = _every_second(fx.typed_sales(spark, sf_dir))
+    path = new_stage_path(spark, "extracts")
+    extracts.append_extract(one, path, KEY, "first")
+    extracts.append_extract(other.unionByName(one.where("qty = 7")), path, KEY, "second")
+    appended = extracts.read_extracts(spark, path).withColumn("reason", F.lit("appended"))
+    return appended.unionByName(extracts.rejected_rows(spark, path)).select(KEY, "qty", "payment", "reason")
+
+
+@query
+def dedup_across_extracts(spark, sf_dir):
+    """One row less per group of duplicates, of two extracts that were added in turn."""
+    raw = fx.raw_sales(spark, sf_dir)
+    original = F.coalesce((F.substring(KEY, 5, 1) == "0") | (F.substring(KEY, -1, 1) < "5"), F.lit(True))
+    path = new_stage_path(spark, "extracts")
+    extracts.add_extract(raw.where(original), path, fv.DUPLICATE_COLUMNS_RAW, KEY, "first")
+    extracts.add_extract(raw.where(~original), path, fv.DUPLICATE_COLUMNS_RAW, KEY, "second")
+    return extracts.read_deduplicated(spark, path)
+
+
+@query
+def ntile_payment_merged(spark, sf_dir):
+    """Deciles out of the stored tallies of two extracts."""
+    path = new_stage_path(spark, "tallies")
+    for name, part in zip(("first", "second"), _every_second(fx.typed_sales(spark, sf_dir))):
+        kept = rules.drop_violations(part, "invalid_zero_payment")
+        tallies.add_tally(tallies.tally(kept, {"payment": F.col("payment"), "qty": F.col("qty")}), path, name)
+    return tallies.tiles(tallies.read_tally(spark, path, ["payment"]), "payment", "payment")
+
+
+@query
+def value_frequencies_merged(spark, sf_dir):
+    """Frequencies of all category columns out of the stored tallies of two extracts."""
+    path = new_stage_path(spark, "tallies")
+    raw = fx.raw_sales(spark, sf_dir)
+    first = F.coalesce(F.col(KEY).endswith("1"), F.lit(False))
+    for name, part in (("first", raw.where(first)), ("second", raw.where(~first))):
+        tallies.add_tally(tallies.tally(part, {c: F.col(c) for c in fv.CATEGORY_TEXT_COLUMNS}), path, name)
+    return tallies.frequencies(tallies.read_tally(spark, path))
+
+
+@query
+def relations_report(spark, sf_dir):
+    """All declared relations in both directions, before and after the preparation."""
+    done, inputs = fx.stages(spark, sf_dir), fx.inputs(spark, sf_dir)
+    fact = star.fact_sales(done.final)
+    tables = {
+        "sales": inputs.sales, "order_categories": inputs.order_categories,
+        "pay_methods": inputs.pay_methods, "ship_methods": inputs.ship_methods,
+        "cancel_reasons": inputs.cancel_reasons, "places": inputs.places,
+        "fact": fact, "dim_payments": star.dim_payments(inputs.pay_methods),
+        "dim_order_category": star.dim_order_category(inputs.order_categories, fact),
+    }
+    return relations.check_relations(tables, relations.SALES_REFERENCES + relations.FACT_REFERENCES)
+
+
 # --- audit log --------------------------------------------------------------
 
 
@@ -515,6 +582,19 @@ def star_rollup(spark, sf_dir):
     )
 
 
+SLICED = "year = '1997' AND half = 1"
+
+
+@query
+def star_rollup_sliced(spark, sf_dir):
+    """The rollup of half a year's months, out of a fact table published by month."""
+    path = new_stage_path(spark, "fact")
+    fact = sinks.publish(star.fact_sales(fx.stages(spark, sf_dir).final), path, partition_by=[star.SLICE])
+    months = write_stage(star.calendar(fact), "calendar")
+    payments = star.dim_payments_unique(fx.map_pay(spark))
+    return star.sliced_rollup(fact, fx.order_category(spark, sf_dir), payments, months, F.expr(SLICED))
+
+
 @query
 def prepare_summary(spark, sf_dir):
     """The whole preparation: rows of every stage and of the stored results."""

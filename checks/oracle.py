@@ -364,6 +364,18 @@ _RULES = {
 }
 
 
+def _relation(name: str, table: str, col: str, parent: str, parent_col: str) -> str:
+    named = f"(SELECT {col} AS v FROM {table} WHERE {col} <> '')"
+    members = f"(SELECT {parent_col} AS v, count(*) AS n FROM {parent} WHERE {parent_col} <> '' GROUP BY 1)"
+    return f"""SELECT '{name}' AS reference, (SELECT count(*) FROM {table}) AS rows,
+      (SELECT count(*) FROM {table} WHERE coalesce({col}, '') = '') AS empty_rows,
+      (SELECT count(*) FROM {named} WHERE v NOT IN (SELECT v FROM {members})) AS orphan_rows,
+      (SELECT count(DISTINCT v) FROM {named} WHERE v NOT IN (SELECT v FROM {members})) AS orphan_values,
+      (SELECT count(*) FROM {members}) AS members,
+      (SELECT count(*) FROM {members} WHERE v NOT IN (SELECT v FROM {named})) AS unused_members,
+      (SELECT count(*) FROM {members} WHERE n > 1) AS repeated_members"""
+
+
 def _rule(name: str, columns: str) -> str:
     return f"SELECT {columns} FROM typed_sales WHERE {_RULES[name]}"
 
@@ -618,6 +630,35 @@ def oracle_sql() -> dict[str, str]:
       FROM typed_sales JOIN order_category USING (order_id) GROUP BY order_id, category_count
       HAVING category_count <> count(product_category)"""
 
+    # extracts
+    second = "(qty % 2 = 1) IS NOT TRUE"
+    q["append_extract"] = f"""SELECT order_id, qty, payment, coalesce(reason, 'appended') AS reason FROM (
+        SELECT *, CASE WHEN extract = 2 AND order_id IN (
+              SELECT order_id FROM parts WHERE extract = 1 AND n = 1 AND order_id IS NOT NULL) THEN 'known'
+            WHEN n > 1 AND order_id IS NOT NULL THEN 'repeated' END AS reason
+        FROM parts)"""
+    parts = f"""parts AS (SELECT *, count(*) OVER (PARTITION BY extract, order_id) AS n FROM (
+      SELECT 1 AS extract, * FROM typed_sales WHERE qty % 2 = 1
+      UNION ALL SELECT 2, * FROM typed_sales WHERE {second} OR qty = 7))
+    """
+    q["append_extract"] = f"SELECT * FROM (WITH {parts} {q['append_extract']})"
+    q["dedup_across_extracts"] = "SELECT * FROM unique_raw"
+    q["ntile_payment_merged"] = q["ntile_payment"]
+    q["value_frequencies_merged"] = q["value_frequencies"]
+    q["relations_report"] = " UNION ALL ".join(
+        _relation(*r) for r in [
+            ("sales.order_id > order_categories.order_id", "raw_sales", "order_id", "order_category", "order_id"),
+            ("sales.pay_method > pay_methods.pay_method", "raw_sales", "pay_method", "map_pay", "pay_method"),
+            ("sales.ship_method > ship_methods.ship_method", "raw_sales", "ship_method", "map_ship", "ship_method"),
+            ("sales.cancel_reason > cancel_reasons.cancel_reason", "raw_sales", "cancel_reason", "map_cancel", "cancel_reason"),
+            ("sales.province > places.province", "raw_sales", "province", "map_place", "province"),
+            ("sales.city > places.city", "raw_sales", "city", "map_place", "city"),
+            ("fact.pay_method > dim_payments.pay_method", "fact", "pay_method", "map_pay", "pay_method_new"),
+            ("fact.order_id > dim_order_category.order_id", "fact", "order_id",
+             "(SELECT * FROM order_category WHERE order_id IN (SELECT order_id FROM fact))", "order_id"),
+        ]
+    )
+
     # audit log
     for key, entry in {
         "audit_duplicates": "duplicates",
@@ -657,6 +698,12 @@ def oracle_sql() -> dict[str, str]:
       FROM fact JOIN order_category USING (order_id)
       JOIN (SELECT DISTINCT pay_method_new AS pay_method, payment_category FROM map_pay)
         USING (pay_method) GROUP BY 1, 2"""
+    q["star_rollup_sliced"] = """SELECT month_order_date, payment_category, product_category,
+        count(*) AS orders, CAST(sum(payment) AS BIGINT) AS payment_total
+      FROM fact JOIN order_category USING (order_id)
+      JOIN (SELECT DISTINCT pay_method_new AS pay_method, payment_category FROM map_pay)
+        USING (pay_method)
+      WHERE month_order_date BETWEEN '1997-01' AND '1997-06' GROUP BY 1, 2, 3"""
     stages = [
         ("raw", "raw_sales"), ("duplicates", f"({_AUDITS['duplicates']})"), ("without_duplicates", "unique_raw"), ("with_qty", "with_qty"),
         ("with_pay_method", "with_pay"), ("repaired", "repaired"),

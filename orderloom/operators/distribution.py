@@ -34,6 +34,11 @@ def ntile_profile(
         .groupBy("v")
         .agg(F.count(F.lit(1)).alias("n"))
     )
+    return ntile_of_counts(counted, name, tiles)
+
+
+def ntile_of_counts(counted: DataFrame, name: str, tiles: int = fv.TILES) -> DataFrame:
+    """The same of values ``v``, each once, with the number ``n`` of their rows."""
     # stored, so that the offsets and the ranks come from the same ranges
     ranges = write_stage(
         counted.orderBy(F.col("v").asc_nulls_first()).withColumn(
