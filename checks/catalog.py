@@ -133,7 +133,7 @@ on_raw("peek_limit", lambda df: profile.peek(df, 100, fv.RAW_COLUMNS))
 on_raw("distinct_len", lambda df: profile.key_length_outliers(df, KEY, fx.ID_LENGTH))
 on_raw("id_format_check", lambda df: profile.key_prefix_outliers(df, KEY))
 on_raw("id_format_strict", lambda df: profile.key_format_outliers(df, KEY, fx.ID_PATTERN))
-on_raw("suffix_in_sequence", lambda df: profile.key_number_outliers(df, KEY, length=1 + fx.KEY_DIGITS))
+on_raw("suffix_in_sequence", lambda df: profile.key_number_outliers(df, KEY, start=6, length=fx.KEY_DIGITS))
 on_raw("dup_keys_or_null", lambda df: profile.duplicate_or_null_keys(df, KEY))
 on_raw(
     "numeric_format_profile_qty",

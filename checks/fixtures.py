@@ -21,9 +21,9 @@ from orderloom.plans.prepare import (
 from orderloom.plans.stage_store import new_stage_path, write_stage
 
 # Order ids: a digit that tells the order itself (0) from its planted copies, then
-# the key in a width that holds every key below 10^17. No key is cut, no copy
-# meets an order.
-KEY_DIGITS = 17
+# the key in the width of the longest 64-bit number. No key is cut, no copy meets
+# an order.
+KEY_DIGITS = 19
 COPY_AS_IS, COPY_OTHER_DATE = 5, 6
 ID_LENGTH = len("ORD_") + 1 + KEY_DIGITS
 ID_PATTERN = rf"^ORD_\d{{{1 + KEY_DIGITS}}}$"
@@ -35,7 +35,7 @@ PLANTED = [
     (337, "order_timestamp", "2024-02-30 10:00"), (347, "order_timestamp", ""),
     (349, "order_date", "2020-02-29"),
     (353, "cancel_reason", fv.NOT_CANCELLED_REASON),
-    (563, "cancel_reason", "Dibatalkan oleh Penjual. Alasan: Produk habis"),
+    (563, "cancel_reason", "Dibatalkan / shelf was empty"),
     (433, "cancel_reason", None),
     (431, "order_status", None),
     (509, "ship_method", None),
@@ -61,48 +61,44 @@ PROMO_LABEL = "Seal / Baut / Roof"
 
 STATUS = {"F": fv.DONE, "O": fv.CANCELLED}
 STATUS_LONG = "Pesanan diterima, namun Pembeli masih dapat mengajukan pengembalian"
-REASON_NONE = "Tidak dibatalkan"
-REASONS = [
-    "Dibatalkan oleh Pembeli. Alasan: Lainnya",
-    "Dibatalkan oleh Penjual. Alasan: Produk habis",
-    "Dibatalkan secara otomatis oleh sistem. Alasan: Pesanan belum dibayar",
-]
-SHIP_METHODS = [
-    "Kargo", "Hemat Kargo", "GoSend Instant (Versi Lama)", "Same Day-GoSend Same Day",
-    "Reguler (Cashless)-SPX Standard", "Next Day-JNE YES", "Instant", "SPX Sameday",
-    " Kurir Lain ",
-]
-PAY_METHODS = ["COD", "Saldo ShopeePay", "SPay Later", "Pembayaran dibebaskan", "OnlinePayment"]
-
+REASON_NONE = "none given"
+REASONS = ["Dibatalkan / buyer changed plans", "Dibatalkan / shelf was empty", "Dibatalkan / no transfer in time"]
+# raw name -> canonical name, carrier and category; the categories are those that rules compare
 MAP_SHIP_COLUMNS = ["ship_method", "ship_method_new", "shipping_carrier", "shipping_category"]
 MAP_SHIP = [
-    ("Kargo", "Cargo", "Unknown", "Cargo"),
-    ("Hemat Kargo", "Economy", "Unknown", "Economy"),
-    ("Gosend Instant", "GoSend Instant", "GoSend", "Instant"),
-    ("GoSend Instant (Versi Lama)", "GoSend Instant", "GoSend", "Instant"),
-    ("GoSend Same Day", "GoSend Same Day", "GoSend", "Same Day"),
-    ("Same Day-GoSend Same Day", "GoSend Same Day", "GoSend", "Same Day"),
-    ("Reguler (Cashless)-SPX Standard", "SPX Standard", "SPX", "Regular"),
-    ("Next Day-JNE YES", "JNE YES", "JNE", "Next Day"),
-    ("Instant", "Instant", "Unknown", "Instant"),
-    ("SPX Sameday", "SPX Same Day", "SPX", "Same Day"),
+    ("river barge", "Barge", "Delta Line", "Freight"),
+    ("barge, shared hold", "Barge Shared", "Delta Line", "Freight"),
+    ("pedal courier v1", "Pedal Courier", "Swift Wheels", fv.INSTANT),
+    ("Pedal courier", "Pedal Courier", "Swift Wheels", fv.INSTANT),
+    ("noon tram", "Noon Tram", "City Rails", fv.SAME_DAY),
+    ("tram/noon", "Noon Tram", "City Rails", fv.SAME_DAY),
+    ("post bag B", "Post Bag", "Valley Post", "Letter"),
+    ("night owl", "Night Owl", "Owl Freight", "Overnight"),
+    ("drone", "Drone", "Unknown", fv.INSTANT),
+    ("tram evening", "Evening Tram", "City Rails", fv.SAME_DAY),
+]
+# what orders name; the last one is in no mapping
+SHIP_METHODS = [
+    "river barge", "barge, shared hold", "pedal courier v1", "tram/noon", "post bag B", "night owl",
+    "drone", "tram evening", " own pick-up ",
 ]
 MAP_PAY_COLUMNS = ["pay_method", "pay_method_new", "payment_category"]
 MAP_PAY = [
-    ("Cash On Delivery", "Cash On Delivery", "Cash On Delivery"),
-    ("COD", "Cash On Delivery", "Cash On Delivery"),
-    ("Saldo ShopeePay", "ShopeePay", "E-Wallet"),
-    ("saldo shopeepay", "ShopeePay", "E-Wallet"),
-    ("Pembayaran dibebaskan", "Free (No Payment)", "Free"),
-    ("OnlinePayment", "Online Payment", "Other"),
-    ("SPay Later", "SPayLater", "PayLater"),
+    (fv.CASH_ON_DELIVERY, fv.CASH_ON_DELIVERY, "At the door"),
+    ("pay driver", fv.CASH_ON_DELIVERY, "At the door"),
+    ("purse balance", "Purse", "Stored value"),
+    ("PURSE BALANCE", "Purse", "Stored value"),
+    ("waived", fv.FREE_PAYMENT, "Gratis"),
+    ("card portal", "Card", "Bank"),
+    ("by month", "Monthly Bill", "Credit"),
 ]
+PAY_METHODS = ["pay driver", "purse balance", "by month", "waived", "card portal"]
 MAP_CANCEL_COLUMNS = ["cancel_id", "cancel_by", "reason", "cancel_reason"]
 MAP_CANCEL = [
-    ("CS1", "Pembeli", "Lainnya", REASONS[0]),
-    ("CS2", "Penjual", "Produk habis", REASONS[1]),
-    ("CS3", "Sistem", "Pesanan belum dibayar", REASONS[2]),
-    ("CS4", "Tidak dibatalkan", "Tidak dibatalkan", REASON_NONE),
+    ("R1", "buyer", "changed plans", REASONS[0]),
+    ("R2", "shop", "shelf was empty", REASONS[1]),
+    ("R3", "clock", "no transfer in time", REASONS[2]),
+    ("R4", "nobody", "none", REASON_NONE),
 ]
 
 

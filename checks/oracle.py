@@ -487,8 +487,8 @@ def oracle_sql() -> dict[str, str]:
     q["id_format_strict"] = (
         f"SELECT order_id FROM raw_sales WHERE NOT regexp_full_match(order_id, {_text(fx.ID_PATTERN[1:-1])})"
     )
-    q["suffix_in_sequence"] = f"""SELECT order_id, {whole('order_id[5:22]')} AS key_number
-      FROM raw_sales WHERE {whole('order_id[5:22]')} NOT IN
+    q["suffix_in_sequence"] = f"""SELECT order_id, {whole('order_id[6:24]')} AS key_number
+      FROM raw_sales WHERE {whole('order_id[6:24]')} NOT IN
         (SELECT unnest(generate_series(1, {fv.KEY_LAST_NUMBER})))"""
     q["dup_keys_or_null"] = """SELECT order_id, count(order_id) AS key_rows FROM raw_sales
       GROUP BY order_id HAVING count(order_id) > 1 OR order_id IS NULL"""

@@ -88,18 +88,6 @@ def one_row_per_key(df: DataFrame, key: str, values: list[str]) -> DataFrame:
     )
 
 
-def read_mapping(
-    spark: SparkSession,
-    path: str,
-    key: str,
-    values: list[str],
-    columns: list[str] | None = None,
-    sep: str = ",",
-) -> DataFrame:
-    """A mapping file as a lookup table on ``key``."""
-    return one_row_per_key(read_landing(spark, path, columns, sep), key, values)
-
-
 def split_places(places: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The city and the province lookup out of one file.
 
@@ -114,8 +102,3 @@ def split_places(places: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def rename_columns(df: DataFrame, renames: dict[str, str]) -> DataFrame:
     return df.withColumnsRenamed(renames)
-
-
-def number_sequence(spark: SparkSession, first: int, last: int, name: str = "number") -> DataFrame:
-    """The whole numbers ``first`` … ``last``."""
-    return spark.range(first, last + 1).toDF(name)

@@ -242,11 +242,6 @@ def test_reconcile_of_nothing_is_null(spark):
     assert rows(profile.date_reconcile(empty, "d", "t")) == [("order_date", 0, None, None, None)]
 
 
-def test_number_sequence(spark):
-    numbers = landing.number_sequence(spark, 1, 21001)
-    assert numbers.agg(F.min("number"), F.max("number"), F.count("*")).first() == (1, 21001, 21001)
-
-
 # --- distribution -----------------------------------------------------------
 
 

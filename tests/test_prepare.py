@@ -142,7 +142,7 @@ def test_constraints_filter_or_stop(inputs, spark):
     kept = prepare(inputs, out, constraints=sales_constraints(key_length=fx.ID_LENGTH))
     assert kept.fact.count() == kept.counts["final"] == kept.counts["fact"] > 0
     assert kept.counts["clean"] - kept.counts["flagged"] == sinks.published_rows(spark, f"{out}/rejected_sales") > 0
-    bad = inputs.sales.withColumn("qty", F.when(F.col("order_id") == "ORD_000000000000000005", "0").otherwise(F.col("qty")))
+    bad = inputs.sales.withColumn("qty", F.when(F.col("order_id") == "ORD_00000000000000000005", "0").otherwise(F.col("qty")))
     broken = type(inputs)(**{**inputs.__dict__, "sales": bad})
     fewer = prepare(broken, new_stage_path(spark, "fewer"), constraints=sales_constraints(key_length=fx.ID_LENGTH))
     assert fewer.counts["flagged"] == kept.counts["flagged"] - 1
@@ -165,9 +165,9 @@ def test_fused_and_separate_entries_agree(done):
 
 
 def test_repeated_order_ids_are_grouped(spark, inputs):
-    double = inputs.sales.unionByName(inputs.sales.where("order_id = 'ORD_000000000000000005'").withColumn("city", F.lit("x")))
+    double = inputs.sales.unionByName(inputs.sales.where("order_id = 'ORD_00000000000000000005'").withColumn("city", F.lit("x")))
     done = prepare(type(inputs)(**{**inputs.__dict__, "sales": double}), new_stage_path(spark, "double"))
-    again = done.audit_log.where("order_id = 'ORD_000000000000000005' and attribute = 'city'").collect()
+    again = done.audit_log.where("order_id = 'ORD_00000000000000000005' and attribute = 'city'").collect()
     assert [r.problematic_rows for r in again] == [2]
 
 
@@ -192,7 +192,7 @@ def test_a_killed_run_leaves_the_last_results(spark, inputs, monkeypatch):
     base = new_stage_path(spark, "killed")
     before = rows(prepare(inputs, base).fact)
     made = set(stage_paths(spark))
-    part = type(inputs)(**{**inputs.__dict__, "sales": inputs.sales.where("order_id < 'ORD_000000000000000100'")})
+    part = type(inputs)(**{**inputs.__dict__, "sales": inputs.sales.where("order_id < 'ORD_00000000000000000100'")})
 
     def broken(df):
         return star.fact_sales(df).withColumn("qty", F.raise_error(F.lit("killed")).cast("bigint"))
