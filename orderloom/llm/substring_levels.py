@@ -8,7 +8,7 @@ A window of the wanted length is judged at a shorter length by one of the
 shorter windows inside it: the one with the smallest hash, the first of equal
 ones. Equal windows choose alike, and neighbours mostly choose the same one, so
 few windows have to be compared; at the wanted length each window stands for
-itself. Hashes have 128 bits.
+itself. A word has two independent 64-bit hashes, and a window one of each kind.
 
 Documents are packed into blocks of about ``BLOCK_BYTES``, written once. Per
 level each block sends its hashes, each once, to the tasks that hold parts of
@@ -26,13 +26,14 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
-from itertools import compress
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
+from xxhash import xxh3_128_digest
 
 from orderloom.llm.common import fresh, ship_package
 from orderloom.plans.stage_store import write_stage
@@ -44,11 +45,7 @@ BLOCK_BYTES = 1 << 19
 #: Hashes that one task compares at a time, about.
 PART_KEYS = 1 << 18
 
-_SPACE = np.zeros(256, bool)
-_SPACE[[9, 10, 11, 12, 13, 32]] = True
 _RNG = np.random.default_rng(35)
-_BYTE = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_STEP = int(_RNG.integers(1, 1 << 62)) * 4 + 1
 #: One odd multiplier for each half of a window's hash.
 _MULTIPLIERS = tuple(int(x) * 8 + 5 for x in _RNG.integers(1, 1 << 60, 2))
 
@@ -68,24 +65,12 @@ def _mixed(z: np.ndarray) -> np.ndarray:
 
 
 def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """A hash for each word of all texts in order, and each text's number of words."""
-    joined = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
-    inside = ~_SPACE[joined]
-    starts = np.nonzero(inside & ~np.concatenate([[False], inside[:-1]]))[0]
-    ends = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])])
-    counts = np.diff(np.searchsorted(starts, ends))
-    if not len(starts):
-        return np.zeros(0, np.uint64), counts
-    stops = np.nonzero(~inside & np.concatenate([[False], inside[:-1]]))[0]
-    lengths = stops - starts
-    powers = np.full(int(lengths.max()), _STEP % 2**64, np.uint64)
-    powers[0] = 1
-    powers = np.multiply.accumulate(powers)
-    letters = np.nonzero(inside)[0]
-    first = np.concatenate([[0], np.cumsum(lengths)[:-1]])
-    place = np.arange(len(letters)) - np.repeat(first, lengths)
-    sums = np.add.reduceat(_BYTE[joined[letters]] * powers[place], first)
-    return _mixed(sums + lengths.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), counts
+    """Two independent hashes for each word of all texts in order (a column each),
+    and each text's number of words."""
+    split = [t.split() for t in texts]  # of bytes: at the six blanks only
+    digests = b"".join(map(xxh3_128_digest, chain.from_iterable(split)))
+    halves = np.frombuffer(digests, np.uint64).reshape(-1, 2).T
+    return np.ascontiguousarray(halves), np.array([len(w) for w in split], np.int64)
 
 
 def window_hashes(words: np.ndarray, length: int, multiplier: int) -> np.ndarray:
@@ -141,8 +126,8 @@ class Block:
         twice, and for each candidate the number of its pair."""
         if not len(self.open):
             return np.zeros((0, 2), np.uint64), np.zeros(0, bool), np.zeros(0, int)
-        high = _mixed(window_hashes(self.words, length, _MULTIPLIERS[0]))
-        low = window_hashes(self.words, length, _MULTIPLIERS[1])
+        high = _mixed(window_hashes(self.words[0], length, _MULTIPLIERS[0]))
+        low = window_hashes(self.words[1], length, _MULTIPLIERS[1])
         place = chosen(high, self.window - length + 1)[self.open]
         places, at = np.unique(place, return_inverse=True)
         pairs = np.stack([high[places], low[places]], 1)
@@ -159,7 +144,7 @@ class Block:
 
     def covered(self) -> np.ndarray:
         """For each word: does a candidate window cover it?"""
-        n = len(self.words) + 1
+        n = self.words.shape[1] + 1
         edge = np.bincount(self.open, minlength=n) - np.bincount(self.open + self.window, minlength=n)
         return np.cumsum(edge)[:-1] > 0
 

@@ -388,6 +388,17 @@ def test_substrings(docs, empty, window, monkeypatch):
     assert substring_levels.remove_repeated(empty, window=window).count() == 0
 
 
+def test_words_of_one_pattern_are_different(spark):
+    # the two words agree in every polynomial hash modulo 2^64
+    bits = [bin(i).count("1") % 2 for i in range(512)]
+    same = [f"w{i}" for i in range(34)]
+    texts = [" ".join([*same, "".join("ab"[b ^ flip] for b in bits)]) for flip in (0, 1)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = substring_levels.remove_repeated(docs)
+    assert [r["n_removed"] for r in got.collect()] == [0, 0]
+    assert [r["n_removed"] for r in substring_levels.remove_repeated(docs.union(docs)).collect()] == [35] * 4
+
+
 def test_levels_double():
     assert substring_levels.levels(35) == [18, 35]
     assert substring_levels.levels(35, 5) == [5, 9, 18, 35]
