@@ -20,6 +20,7 @@ table. Extra columns are ignored.
 from __future__ import annotations
 
 import functools
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -175,7 +176,7 @@ def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, lang: str = "lang",
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(first, len(found)),
-                        pa.array([row.astype(np.float16).tobytes() for row in np.minimum(found, 60_000)], pa.binary()),
+                        pa.array([zlib.compress(row.tobytes(), 1) for row in found], pa.binary()),
                     ],
                     names=["lang", "vector"],
                 )
@@ -186,8 +187,8 @@ def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, lang: str = "lang",
         .mapInArrow(run, "lang string, vector binary")
         .take(2 * sample_rows)
     )
-    rows = sorted((r["lang"], bytes(r["vector"])) for r in rows)
-    found = np.array([np.frombuffer(v, np.float16) for _, v in rows], np.float32).reshape(-1, DIMENSIONS)
+    rows = sorted((r["lang"], zlib.decompress(r["vector"])) for r in rows)
+    found = np.array([np.frombuffer(v, np.float32) for _, v in rows], np.float32).reshape(-1, DIMENSIONS)
     return CentroidModel([name for name, _ in rows], found)
 
 

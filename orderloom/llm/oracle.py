@@ -107,23 +107,31 @@ with w as (
   select w.doc_id, source, cast(len(ws) as bigint) as n_words,
     cast(coalesce(length(array_to_string(ws, '')), 0) as bigint) as word_chars,
     cast(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) as bigint) as n_symbols,
-    cast(len(ls) - len(list_distinct(ls)) as bigint) as n_dup_lines,
+    cast(len(ls) - len(list_distinct(ls)) as bigint) as n_dup_lines, len(ls) as n_lines,
     cast(coalesce(n_repeat_words, 0) as bigint) as n_repeat_words
   from w join lines using (doc_id) left join repeats using (doc_id)
 ), judged as (
   select *, n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed from measured
+), failures as (
+  select source, unnest([
+    {{'kind': 'few_words', 'f': n_words < 10}}, {{'kind': 'repeats', 'f': 100 * n_repeat_words > 20 * n_words}},
+    {{'kind': 'symbols', 'f': 100 * n_symbols > 10 * word_chars}}, {{'kind': 'dup_lines', 'f': 100 * n_dup_lines > 30 * n_lines}},
+    {{'kind': 'word_length', 'f': word_chars < 2 * n_words or word_chars > 15 * n_words}}], recursive := true)
+  from judged where source is not null
 ), hosts as (
-  select source, count(*) as n, sum(cast(base_failed as int)) as failed from judged where source is not null group by source
+  select kind, source, count(*) as n, sum(cast(f as int)) as failed from failures group by kind, source
 ), moments as (
-  select avg(failed / n) as m, var_pop(failed / n) as v from hosts
+  select kind, avg(failed / n) as m, var_pop(failed / n) as v from hosts group by kind
 ), prior as (
-  select m, greatest(1.0, least(1e6, case when v > 0 then m * (1 - m) / v - 1 else 1e6 end)) as s from moments
-), rates as (
-  select source, (failed + m * s) / (n + s) as rate from hosts, prior
+  select kind, m, greatest(1.0, least(1e6, case when v > 0 then m * (1 - m) / v - 1 else 1e6 end)) as s from moments
+), limits as (
+  select kind, m, s, least(0.5, greatest(0.3, m + 3 * sqrt(m * (1 - m) / (s + 1)))) as most from prior
+), verdicts as (
+  select source, bool_and((failed + m * s) / (n + s) <= most) as ok from hosts join limits using (kind) group by source
 )
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  not base_failed and coalesce(rate <= 0.5, true) as kept
-from judged left join rates using (source)
+  not base_failed and coalesce(ok, true) as kept
+from judged left join verdicts using (source)
 """
 
 ORACLE: dict[str, str] = {"op3_chat_format": OP3, "op4_source_mix": OP4, "op9_quality_rules": OP9}

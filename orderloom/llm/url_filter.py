@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
+from xxhash import xxh3_128_hexdigest
 
 from orderloom.llm.common import ship_package
 
@@ -70,9 +71,14 @@ def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str, str]] =
 
 def _suffixes(host: str, path: str) -> tuple[str, ...]:
     """What statistics are kept of: ends of the host, and the path's first directory."""
-    labels = host[-512:].split(".")
+    labels = host.rsplit(".", 3)
     ends = (".".join(labels[-n:]) for n in (1, 2, 3))
-    return *ends, "/" + path[1:65].split("/")[0]
+    return tuple(map(_key, (*ends, "/" + path[1:].split("/", 1)[0])))
+
+
+def _key(part: str) -> str:
+    """A whole part of a URL, long ones by a 128-bit hash, which begins with a blank."""
+    return part if len(part) <= 64 else " " + xxh3_128_hexdigest(part.encode("utf-8", "surrogatepass"))
 
 
 def features(host: str, path: str, url: str | None, rates: dict[str, float], prior: float) -> list[float]:

@@ -35,7 +35,10 @@ from orderloom.llm.queries import REGISTRY, mix_levels
 PATH = public_tokenizers.path("word_bpe_49k.json")
 LONG = "wörd " * 4000 + "x" * 9000
 #: names that operators use or return, as extra columns
-EXTRA = ["n_words", "kept", "block", "fp_", "row_", "tokens", "k_0", "host", "rows", "score"]
+EXTRA = [
+    "n_words", "kept", "block", "fp_", "row_", "tokens", "k_0", "host", "rows", "score", "__words", "__stay", "stay_",
+    "host_", "ok_", "n_lines",
+]
 DOCS = StructType(
     [
         StructField("doc_id", LongType()),
@@ -102,6 +105,58 @@ def test_language_of_awkward_rows(docs, empty):
     assert {r["lang_pred"] for r in nothing.collect()} == {"und"}
 
 
+def plain_vector(text):
+    """Counts of hashed letter pairs and triples, one by one."""
+    code, before = [32], False
+    for c in text.lower():
+        if c.isalpha() or before:  # the first other character after a word is its end
+            code.append(ord(c) if c.isalpha() else 32)
+        before = c.isalpha()
+    code.append(32)
+    mask, out = 2**64 - 1, Counter()
+    for i in range(len(code) - 1):
+        a, b, *c = code[i : i + 3]
+        pair = (a * 0x9E3779B1 + b * 0x85EBCA77) & mask
+        grams = [(pair, (a, b))]
+        if c:
+            grams.append(((pair * 0xC2B2AE3D + c[0] * 0x27D4EB2F) & mask, (a, b, c[0])))
+        for value, letters in grams:
+            if letters[0] != 32 or letters[-1] != 32:
+                out[(value * 0xD6E8FEB86659FD93 & mask) >> 52] += 1
+    return out
+
+
+def test_languages_like_brute_force(docs, spark):
+    model = lang_id.fit(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    odd = spark.createDataFrame([(900, "zzq xxj qqz vvk", None), (901, "the of and", None), (901, "the of and", None)], "doc_id long, text string, lang string")
+    some = docs.select("doc_id", "text", "lang").union(odd)
+    want = Counter()
+    for i, text, _ in some.collect():
+        if not any(map(str.isalpha, text or "")):
+            want[(i, "und", 0.0, True)] += 1
+            continue
+        x = np.zeros(lang_id.DIMENSIONS)
+        for place, n in plain_vector(text).items():
+            x[place] = np.log1p(n)
+        x *= model.idf
+        cosine = model.centroids @ (x / np.linalg.norm(x))
+        best = int(cosine.argmax())
+        far = 1 - cosine[best] > model.radius[model.owner[best]]
+        want[(i, model.names[model.owner[best]], round(float(np.clip(cosine[best], 0, 1)), 4), bool(far))] += 1
+    got = Counter((r[0], r[1], round(r[2], 4), r[3]) for r in lang_id.identify(some, model).collect())
+    assert got == want
+    assert len({k[3] for k in got}) == 2  # some are rejected, some are not
+
+
+def test_counts_of_the_fit_are_not_cut(spark):
+    long = "ab " * 90_000
+    rows_ = [(i, t, lang) for i, (t, lang) in enumerate([(long, "x"), (long + "ab " * 50_000, "x"), ("cd ef", "y")])]
+    model = lang_id.fit(spark.createDataFrame(rows_, "doc_id long, text string, lang string"))
+    (_, counts), = lang_id.vectors([t for _, t, _ in rows_])
+    plain = lang_id.CentroidModel(["x", "x", "y"], np.stack([*sorted(counts[:2], key=lambda c: c.tobytes()), counts[2]]))
+    assert np.array_equal(model.centroids, plain.centroids) and counts.max() > 65_000
+
+
 # BPE
 
 
@@ -249,6 +304,77 @@ def test_trees_learn_held_out_urls(spark):
     assert (said == [r[3] for r in known[1::2]]).mean() > 0.85
 
 
+def plain_trees(x, y, trees, depth, bins):
+    """The boosting written out: every cut of every feature in every node."""
+    edges = [np.unique(np.quantile(x[:, f], np.linspace(0, 1, bins + 1)[1:-1])) for f in range(x.shape[1])]
+    share = min(max(y.mean(), 1e-3), 1 - 1e-3)
+    base = np.log(share / (1 - share))
+    score, out = np.full(len(y), base), []
+    for _ in range(trees):
+        p = 1 / (1 + np.exp(-score))
+        g, h = y - p, np.maximum(p * (1 - p), 1e-12)
+        value = lambda at: g[at].sum() ** 2 / (h[at].sum() + 1)
+
+        def grow(at, level):
+            if level == depth:
+                return url_filter.RATE * g[at].sum() / (h[at].sum() + 1)
+            best = (1e-9, 0, np.inf)
+            for f in range(x.shape[1]):
+                for cut in edges[f]:
+                    right = x[:, f] > cut
+                    gain = value(at & ~right) + value(at & right) - value(at)
+                    if gain > best[0] + 1e-12:
+                        best = (gain, f, cut)
+            right = x[:, best[1]] > best[2]
+            return (*best[1:], grow(at & ~right, level + 1), grow(at & right, level + 1))
+
+        def walk(node, row):
+            while isinstance(node, tuple):
+                node = node[3 if row[node[0]] > node[1] else 2]
+            return node
+
+        tree = grow(np.ones(len(y), bool), 0)
+        score += np.array([walk(tree, row) for row in x])
+        out.append(tree)
+    return lambda rows_: [1 / (1 + np.exp(-base - sum(walk(t, r) for t in out))) for r in rows_]
+
+
+def test_trees_like_brute_force():
+    rng = np.random.default_rng(4)
+    x = np.round(rng.normal(size=(120, 4)), 2)
+    y = ((x[:, 0] > 0.2) ^ (x[:, 2] + 0.3 * rng.normal(size=120) > 0)).astype(float)
+    plain = plain_trees(x, y, 6, 2, 8)
+    made = url_filter.Trees.fit(x, y, trees=6, depth=2, bins=8)
+    fresh = np.round(rng.normal(size=(200, 4)), 2)
+    assert np.allclose(made.predict(fresh), plain(fresh), atol=1e-9)
+
+
+def test_verdicts_are_those_of_the_trees(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("page_id", "url")
+    got = url_filter.judge(pages).collect()
+    known = sorted((r["host"], r["path"], r["url"], r["verdict"] == "block") for r in got if r["rule"])
+    model = url_filter.UrlModel(known)
+    plain = url_filter.Trees.predict
+    assert len(known) < url_filter.SAMPLE_ROWS  # the fit has seen them all
+    for r in got:
+        host, path, rule, verdict = plain_rule(r["url"])
+        score = float(plain(model.trees, model.matrix([(host, path, r["url"])]))[0])
+        assert abs(score - r["block_score"]) < 1e-9
+        assert r["verdict"] == (verdict or ("block" if score > 0.5 else "allow"))
+
+
+def test_long_parts_of_a_url_differ_late():
+    far = "d" * 300
+    rows_ = [(f"{'a' * 600}.x{i % 2}.{far}", f"/{far}{i % 2}/p", "u", bool(i % 2)) for i in range(40)]
+    model = url_filter.UrlModel(rows_)
+    low, high = (url_filter.features(*rows_[i][:3], model.rates, model.prior) for i in (0, 1))
+    at = url_filter.FEATURES.index
+    assert low[at("directory")] < 0.2 < 0.8 < high[at("directory")]
+    assert low[at("last_two_labels")] < 0.2 < 0.8 < high[at("last_two_labels")]
+    assert low[at("last_label")] == high[at("last_label")] == 0.5
+    assert max(map(len, model.rates)) < 70
+
+
 # SimHash
 
 
@@ -430,6 +556,25 @@ def test_bad_hosts_lose_their_documents(spark):
     assert {r["source"]: r["count"] for r in got} == {"fine": 100, None: 1}
 
 
+def test_junk_hosts_of_any_kind_go(spark):
+    rnd = random.Random(7)
+    plain = lambda: " ".join(f"word{rnd.randrange(10**6)}" for _ in range(30))
+    kinds = {
+        "symbols": lambda: plain() + " " + "#|$" * 30,
+        "lines": lambda: "\n".join([plain()] + ["the same small line of text"] * 2 + [f"line {rnd.randrange(10**6)} end"] * 1),
+        "long": lambda: " ".join("x" * 20 + str(rnd.randrange(10**6)) for _ in range(30)),
+    }
+    data = [(h, make()) for h, make in kinds.items() for _ in range(60)]
+    data[60:120] = [("lines", "\n".join([f"a {rnd.randrange(10**9)} b c d e f g h"] + ["same line here"] * 3)) for _ in range(60)]
+    for host in range(12):  # of clean hosts one text in ten is junk
+        data += [(f"clean{host}", plain() if i % 10 else kinds["symbols"]()) for i in range(60)]
+    df = spark.createDataFrame([(i, t, h) for i, (h, t) in enumerate(data)], "doc_id long, text string, source string")
+    got = quality_rules.judge(quality_rules.with_metrics(df))
+    stays = {r["source"] for r in got.where("kept").collect()}
+    assert stays == {f"clean{i}" for i in range(12)}
+    assert got.where("kept").count() == got.where("source like 'clean%' and not base_failed").count()
+
+
 # token shards
 
 
