@@ -3,30 +3,33 @@
 Vectors are dealt into blocks of about ``BLOCK`` rows. A block holds a forest:
 each tree gives every vector a long hash string (64 signs of random
 projections) and keeps the strings in a sorted array. A query goes down each
-tree to the entries with the longest common prefix; then all trees go up
-together, one digit at a time, and the entries that now share the shorter prefix
-become candidates, until the chance that a vector as near as the query's worst
-kept neighbour is still unseen in all trees is below ``MISS``. Nothing is capped: at the
-empty prefix every row of the block is a candidate.
+tree: its place in the sorted array has the entries with the longest common
+prefix on both sides, and their prefix, of a length of its own in each tree, is
+where the tree is entered. Then all trees go up together, one digit at a time
+from the longest of these prefixes, and the entries that now share the shorter
+prefix become candidates, until the chance that a vector as near as one of the
+query's kept neighbours is still unseen in all trees is below ``MISS`` on average.
+Nothing is capped: at the empty prefix every row of the block is a candidate.
 
 Candidates are compared by their exact inner product in double precision. For
 the hashes, inner products become angles: vectors are given one more component
 that makes all norms of a block equal; queries get 0 there.
 
 Every block is searched by every query, in blocks of queries; a query's best of
-each block meet at the end.
+each block meet at the end. So the work grows with queries times rows, of which
+the share in ``compared`` is compared.
 
 Defined results: vectors that are null, zero, of another length than most or
 that hold nulls or non-finite numbers take no part; ties go to the smaller id;
 the query's own id is no candidate; with repeated ids every row is a candidate
-under its id; rows with a null id take no part; fewer candidates than asked for
+under its id; rows with a null id take no part (ids are cast to long, and a text
+that is no number stops the job); fewer candidates than asked for
 give fewer rows; an empty table gives an empty table.
 """
 
 from __future__ import annotations
 
 import functools
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,11 +42,9 @@ from orderloom.plans.stage_store import write_stage
 
 BLOCK = 16_384
 QUERY_BLOCK = 1_024
-TREES = 48
+TREES = 160
 DIGITS = 64
-#: The longest prefix at which all entries are looked at.
-DEEPEST = 16
-#: Chance to miss a vector that is as near as the worst kept neighbour.
+#: Mean chance to miss a vector that is as near as a kept neighbour.
 MISS = 0.1
 
 
@@ -60,6 +61,13 @@ def hash_strings(x: np.ndarray, extra: np.ndarray, trees: int) -> np.ndarray:
     return np.ascontiguousarray(packed).view(">u8")[:, :, 0].astype(np.uint64).T.copy()
 
 
+def _bit_length(x: np.ndarray) -> np.ndarray:
+    """The number of binary digits of each number, 0 for 0."""
+    high, low = x >> np.uint64(32), x & np.uint64(0xFFFFFFFF)
+    # halves are exact as doubles
+    return np.where(high > 0, 32 + np.frexp(high.astype(float))[1], np.frexp(low.astype(float))[1])
+
+
 class Forest:
     """The sorted arrays of one block."""
 
@@ -72,52 +80,70 @@ class Forest:
         self.rows = np.argsort(strings, axis=1, kind="stable")
         self.strings = np.take_along_axis(strings, self.rows, 1)
 
-    def _ranges(self, strings: np.ndarray, digits: int) -> tuple[np.ndarray, np.ndarray]:
-        """Per tree and query: the entries that share the first digits."""
-        if digits == 0:
-            return np.zeros(strings.shape, np.int64), np.full(strings.shape, len(self.ids), np.int64)
-        shift = np.uint64(DIGITS - digits)
-        lo = (strings >> shift) << shift
-        hi = lo | ((np.uint64(1) << shift) - np.uint64(1))
-        return (
-            np.stack([np.searchsorted(s, q, "left") for s, q in zip(self.strings, lo, strict=True)]),
-            np.stack([np.searchsorted(s, q, "right") for s, q in zip(self.strings, hi, strict=True)]),
-        )
+    def _longest(self, strings: np.ndarray) -> np.ndarray:
+        """Per tree and query: the length of the longest prefix that an entry shares,
+        which is that of one of the two neighbours in the sorted array."""
+        out = np.zeros(strings.shape, np.int64)
+        for tree, (s, q) in enumerate(zip(self.strings, strings, strict=True)):
+            place = np.searchsorted(s, q)
+            for near in (np.maximum(place - 1, 0), np.minimum(place, len(s) - 1)):
+                out[tree] = np.maximum(out[tree], DIGITS - _bit_length(s[near] ^ q))
+        return out
+
+    def _ranges(self, strings: np.ndarray, order: np.ndarray, digits: int) -> tuple[np.ndarray, np.ndarray]:
+        """Per tree and query: the entries that share the first digits. ``order`` sorts
+        the queries of each tree, neighbours are found faster after each other."""
+        lo, hi = np.zeros(strings.shape, np.int64), np.full(strings.shape, len(self.ids), np.int64)
+        if digits:
+            shift = np.uint64(DIGITS - digits)
+            low = (strings >> shift) << shift
+            high = low | ((np.uint64(1) << shift) - np.uint64(1))
+            for tree, (s, at) in enumerate(zip(self.strings, order, strict=True)):
+                lo[tree, at] = np.searchsorted(s, low[tree, at], "left")
+                hi[tree, at] = np.searchsorted(s, high[tree, at], "right")
+        return lo, hi
 
     def search(self, query_ids: np.ndarray, queries: np.ndarray, k: int, miss: float = MISS) -> Iterator[tuple[int, np.ndarray, np.ndarray, int]]:
         """Per query: its id, the ids and scores of its best, and how many rows were compared."""
         strings = hash_strings(queries, np.zeros(len(queries)), self.trees)
-        levels = [self._ranges(strings, d) for d in range(DEEPEST, -1, -1)]
+        order = np.argsort(strings, axis=1)
+        longest = self._longest(strings)
+        ranges: dict[int, tuple[np.ndarray, np.ndarray]] = {}  # by number of digits, made when needed
         norms = np.linalg.norm(queries, axis=1)
+        entries, n = self.rows.ravel(), len(self.ids)
         for i, (name, q) in enumerate(zip(query_ids, queries, strict=True)):
             seen = self.ids == name
-            best = np.zeros(0, np.int64)
-            scores = np.zeros(0)
-            own = int(seen.sum())
-            for digits, (lo, hi) in zip(range(DEEPEST, -1, -1), levels, strict=True):
-                fresh = np.zeros(len(self.ids), bool)
-                for rows, a, b in zip(self.rows, lo[:, i], hi[:, i], strict=True):
-                    fresh[rows[a:b]] = True
-                    if not digits:
-                        break
-                fresh &= ~seen
-                seen |= fresh
-                new = np.nonzero(fresh)[0]
+            best, scores, compared = np.zeros(0, np.int64), np.zeros(0), 0
+            for digits in range(int(longest[:, i].max()), -1, -1):
+                if digits not in ranges:
+                    ranges[digits] = self._ranges(strings, order, digits)
+                lo, hi = ranges[digits]
+                # at the empty prefix one tree has every row
+                entered = np.nonzero(longest[:, i] >= digits)[0] if digits else np.zeros(1, np.int64)
+                size = hi[entered, i] - lo[entered, i]
+                first = entered * n + lo[entered, i] - (np.cumsum(size) - size)
+                found = entries[np.arange(size.sum()) + np.repeat(first, size)]
+                new = np.unique(found[~seen[found]])
+                seen[new] = True
+                compared += len(new)
                 best = np.concatenate([best, new])
                 # one product per row, summed in one order: the same in every block
                 scores = np.concatenate([scores, (self.x[new] * q).sum(1)])
                 if len(best) > k:
-                    first = np.lexsort((self.ids[best], -scores))[:k]
-                    best, scores = best[first], scores[first]
-                if len(best) == k and self._unseen(scores[-1], norms[i], digits) <= miss:
+                    keep = np.argpartition(-scores, k - 1)[:k]
+                    # all that are as good as the last one kept, ties by id
+                    keep = np.nonzero(scores >= scores[keep].min())[0]
+                    keep = keep[np.lexsort((self.ids[best[keep]], -scores[keep]))[:k]]
+                    best, scores = best[keep], scores[keep]
+                if len(best) == k and self._unseen(scores, norms[i], digits) <= miss:
                     break
             first = np.lexsort((self.ids[best], -scores))
-            yield int(name), self.ids[best[first]], scores[first], int(seen.sum()) - own
+            yield int(name), self.ids[best[first]], scores[first], compared
 
-    def _unseen(self, score: float, norm: float, digits: int) -> float:
-        cosine = min(1.0, max(-1.0, score / (norm * self.norm)))
-        same = 1 - math.acos(cosine) / math.pi
-        return (1 - same**digits) ** self.trees
+    def _unseen(self, scores: np.ndarray, norm: float, digits: int) -> float:
+        """The mean chance, over vectors as near as those kept, to be unseen in all trees."""
+        same = 1 - np.arccos(np.clip(scores / (norm * self.norm), -1, 1)) / np.pi
+        return float(((1 - same**digits) ** self.trees).mean())
 
 
 def usable(vectors: DataFrame, key: str, vector: str) -> DataFrame:
@@ -173,7 +199,10 @@ def search(
         _packed(asked, asked_parts, "pack").select("pack", "ids", "x", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part")),
         "ann-packs",
     )
-    pairs = index.join(packs.select("part", F.col("ids").alias("q_ids"), F.col("x").alias("q_x")), "part")
+    # a task per block, however small its bytes are
+    pairs = index.repartition(parts, "part").join(
+        packs.select("part", F.col("ids").alias("q_ids"), F.col("x").alias("q_x")).repartition(parts, "part").hint("merge"), "part"
+    )
     made: dict[bytes, Forest] = {}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -6,11 +6,14 @@ lookahead): a merge moves the place from which two continuations differ left by
 the length of its left part, and only a later merge whose right part begins at
 that place can move it further, so the longest such chain bounds the reach.
 Tokens that end before the last ``lookahead`` symbols of the window are stable
-and are emitted; the window goes on from there. Memory per text is one window,
-whatever the length of a word; short words are remembered in a bounded table.
+and are emitted; the window goes on from there. Every part of a text goes through the
+transducer; the tokens of short parts are remembered in a bounded table. A text
+is read in pieces of about ``PIECE`` characters that end at white space, and its
+tokens come out piece by piece, so besides the text itself memory is bounded by
+a piece, a window and the longest run of characters without white space.
 
 Decoding feeds token bytes to an incremental byte-to-text machine that holds
-back at most an unfinished character.
+back at most an unfinished character; it takes the encoder's pieces as they come.
 
 Defined results: a null text is empty and has no tokens; the marks of added
 tokens that occur in a text are that token, as in the tokenizers library; rows
@@ -26,8 +29,9 @@ import json
 import unicodedata
 from array import array
 from collections.abc import Iterable, Iterator
-from itertools import chain
+from itertools import chain, islice
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -42,6 +46,8 @@ WORD_CHARS = 64
 REMEMBERED = 300_000
 #: Ids that are decoded in one step.
 DECODE_BLOCK = 8192
+#: Characters of a text that are encoded in one step.
+PIECE = 1 << 16
 
 #: Token numbers and ranks share one integer.
 BITS = 24
@@ -254,14 +260,11 @@ class WordBpe:
         word = word.lower()
         return [word] if word.isalpha() else self._pattern.findall(word)
 
-    def encode_part(self, text: str) -> Iterable[int]:
+    def encode_part(self, text: str) -> Iterator[int]:
         """Tokens of a part of a run, in normal form."""
         piece = text.encode()
-        inner, last = self._inner, self._last
-        if len(piece) <= 2 * WORD_CHARS:
-            return self.merges.merge([*map(inner.__getitem__, piece[:-1]), last[piece[-1]]])
-        symbols = map(inner.__getitem__, memoryview(piece)[:-1])
-        return self.merges.stream(chain(symbols, (last[piece[-1]],)), self._sizes)
+        symbols = map(self._inner.__getitem__, memoryview(piece)[:-1])
+        return self.merges.stream(chain(symbols, (self._last[piece[-1]],)), self._sizes)
 
     def encode_word(self, word: str) -> Iterator[int]:
         """Tokens of a run of characters without white space."""
@@ -270,17 +273,39 @@ class WordBpe:
     def encode(self, text: str | None) -> array:
         """Token numbers of a whole text."""
         out = array("I")
-        if not text:
-            return out
-        parts = self._added.split(text) if self._added and self._added.search(text) else (text,)
-        for part in parts:
-            if part in self.added:
-                out.append(self.added[part])
-            else:
-                runs = _GAP.split(part) if _SEPARATORS.search(part) else part.split()
-                out.frombytes(b"".join(map(self._words.__getitem__, runs)))
+        for piece in self.encode_pieces(text):
+            out.frombytes(piece)
         return out
 
+    def encode_pieces(self, text: str | None) -> Iterator[bytes]:
+        """Token numbers of a text, piece by piece, as the bytes of an array of ``I``."""
+        for part, token in self._marked(text or ""):
+            if token is not None:
+                yield array("I", [token]).tobytes()
+            at = 0
+            while at < len(part):
+                gap = _GAP.search(part, at + PIECE)
+                end = gap.start() if gap else len(part)
+                piece = part if not at and end == len(part) else part[at:end]
+                at = end
+                runs = _GAP.split(piece) if _SEPARATORS.search(piece) else piece.split()
+                if len(piece) <= 2 * PIECE:
+                    yield b"".join(map(self._words.__getitem__, runs))
+                else:  # the last run is a long one
+                    for run in runs:
+                        ids = self.encode_word(run)
+                        while block := array("I", islice(ids, DECODE_BLOCK)):
+                            yield block.tobytes()
+
+    def _marked(self, text: str) -> Iterator[tuple[str, int | None]]:
+        """The text between marks of added tokens, and their numbers, in order."""
+        at = 0
+        for mark in self._added.finditer(text) if self._added else ():
+            yield text[at : mark.start()], None
+            yield "", self.added[mark[0]]
+            at = mark.end()
+        yield text[at:], None
+
     def forget(self) -> None:
         """Give back the memory of the remembered words."""
         self._words.forget()
@@ -289,13 +314,28 @@ class WordBpe:
         """Pieces of text: the tokens' own strings with blanks between them, as the
         library gives for a file without a decoder, or (``surface=False``) the
         text that the bytes stand for, with blanks at word ends."""
-        table, gap = (self._surface, b" ") if surface else (self._raw, b"")
-        machine, ids, first = ByteToText(), list(ids), True
-        for at in range(0, len(ids), DECODE_BLOCK):
-            piece = gap.join(map(table.__getitem__, ids[at : at + DECODE_BLOCK]))
-            yield machine.feed(piece if first else gap + piece)
-            first = False
-        yield machine.close()
+        made, ids = self.decoder(surface), iter(ids)
+        while block := list(islice(ids, DECODE_BLOCK)):
+            yield made.feed(block)
+        yield made.close()
+
+    def decoder(self, surface: bool = True) -> IdsToText:
+        return IdsToText(self._surface, b" ") if surface else IdsToText(self._raw, b"")
+
+
+class IdsToText:
+    """Text of ids that come in pieces."""
+
+    def __init__(self, table: list[bytes], gap: bytes):
+        self._table, self._gap, self._machine, self._first = table, gap, ByteToText(), True
+
+    def feed(self, ids: Iterable[int]) -> str:
+        found = self._gap.join(map(self._table.__getitem__, ids))
+        before, self._first = b"" if self._first else self._gap, False
+        return self._machine.feed(before + found)
+
+    def close(self) -> str:
+        return self._machine.close()
 
 
 _CODECS: dict[str, WordBpe] = {}
@@ -309,10 +349,8 @@ def codec(description: str) -> WordBpe:
     return _CODECS[name]
 
 
-def little_endian(ids: array) -> bytes:
+def little_endian(ids: array | bytes) -> bytes:
     """The ids as unsigned 32-bit integers, lowest byte first."""
-    import numpy as np
-
     return np.frombuffer(ids, dtype=np.uintc).astype("<u4").tobytes() if len(ids) else b""
 
 
@@ -328,13 +366,18 @@ def encode_digests(docs: DataFrame, path: str, key: str = "doc_id", text: str =
         for batch in batches:
             counts, of_ids, of_text = [], [], []
             for value in batch.column(1):
-                ids = bpe.encode(value.as_py())
-                counts.append(len(ids))
-                of_ids.append(hashlib.sha256(little_endian(ids)).hexdigest())
-                digest = hashlib.sha256()
-                for piece in bpe.decode(ids):
-                    digest.update(piece.encode())
-                of_text.append(digest.hexdigest())
+                n, id_digest, text_digest, made = 0, hashlib.sha256(), hashlib.sha256(), bpe.decoder()
+                for piece in bpe.encode_pieces(value.as_py()):
+                    if not piece:
+                        continue
+                    ids = memoryview(piece).cast("I")
+                    n += len(ids)
+                    id_digest.update(little_endian(piece))
+                    text_digest.update(made.feed(ids).encode())
+                text_digest.update(made.close().encode())
+                counts.append(n)
+                of_ids.append(id_digest.hexdigest())
+                of_text.append(text_digest.hexdigest())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(counts, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_text, pa.string())],
                 names=[key, "n_tokens", "ids_sha256", "decoded_sha256"],
@@ -377,8 +420,6 @@ def decode_ids(docs: DataFrame, path: str, ids: str = "token_ids", text: str = "
     at = docs.columns.index(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import numpy as np
-
         bpe = codec(held.value)
         for batch in batches:
             made = ["".join(bpe.decode(np.frombuffer(v.as_py() or b"", "<u4").tolist(), surface)) for v in batch.column(at)]

@@ -9,7 +9,8 @@ The index is minimal and perfect: each level hashes the keys that are still left
 into a bit array and keeps those that are alone at their place; a key's number
 is the count of set bits before its own. At that number stand the row of the
 key's first document, how many documents bear the key, and a fingerprint that
-turns away keys the shard does not hold. A lookup costs a fixed number of reads.
+turns away keys the shard does not hold. A lookup reads the footer and then single
+entries, whose number does not grow with the shard.
 
 Shards are ranges of the key, written in key order by the tasks of a range
 partitioning; every attempt writes a file of its own name, and only the files
@@ -19,7 +20,8 @@ harm. Ids take two bytes where the vocabulary allows it, else four.
 Defined results: a null text is empty and holds the end id alone; documents with
 equal keys lie side by side, ordered by a digest of their text, and are all found
 under their key; null keys come first and are read in order; an empty table
-makes no shard. Extra columns are ignored.
+makes no shard. Keys are whole numbers: others are cast to long, and a text that
+is none stops the job. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -261,7 +263,8 @@ class ShardWriter:
 
 
 class Shard:
-    """One shard, opened for reading; ids are read when asked for."""
+    """One shard, opened for reading: the footer is read at once, single entries of the
+    index and the ids when they are asked for, whole parts of the index once."""
 
     def __init__(self, path: str):
         fs, inner = _filesystem(path)
@@ -272,33 +275,62 @@ class Shard:
             raise ValueError(f"{path} is no shard")
         length = int.from_bytes(tail[:8], "little")
         footer = json.loads(self.file.read_at(length, size - 16 - length))
-        self.width, self.nulls = footer["width"], footer["nulls"]
-        part = {
-            name: np.frombuffer(self.file.read_at(n * np.dtype(kind).itemsize, at), kind)
-            for name, (at, n, kind) in footer["parts"].items()
-        }
-        self.starts, self.keys = part["starts"], part["keys"]
-        self.rows, self.copies, self.prints = part["rows"], part["copies"], part["prints"]
-        self.table = PerfectHash(footer["sizes"], part["bits"], part["ranks"])
+        self.width, self.nulls, self.sizes = footer["width"], footer["nulls"], footer["sizes"]
+        self._places = footer["parts"]
+        self._whole: dict[str, np.ndarray] = {}
+
+    def whole(self, name: str) -> np.ndarray:
+        """A part of the index, read once."""
+        if name not in self._whole:
+            at, n, kind = self._places[name]
+            self._whole[name] = np.frombuffer(self.file.read_at(n * np.dtype(kind).itemsize, at), kind)
+        return self._whole[name]
+
+    def entry(self, name: str, i: int, n: int = 1) -> list[int]:
+        """A few neighbouring entries of a part of the index."""
+        if name in self._whole:
+            return self._whole[name][i : i + n].tolist()
+        at, _, kind = self._places[name]
+        size = np.dtype(kind).itemsize
+        return np.frombuffer(self.file.read_at(n * size, at + i * size), kind).tolist()
 
     def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """First row and number of documents of each key; 0 documents if it is not here."""
         keys = keys.astype("<i8").view("<u8")
-        number = self.table.find(keys)
+        number = PerfectHash(self.sizes, self.whole("bits"), self.whole("ranks")).find(keys)
         known = number >= 0
-        known[known] = self.prints[number[known]] == _print(keys[known])
+        known[known] = self.whole("prints")[number[known]] == _print(keys[known])
         rows, copies = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
-        rows[known], copies[known] = self.rows[number[known]], self.copies[number[known]]
+        rows[known], copies[known] = self.whole("rows")[number[known]], self.whole("copies")[number[known]]
         return rows, copies
 
+    def _number(self, key: np.ndarray) -> int:
+        """The place of one key in the index, by one entry per level that it goes down;
+        -1 if it is surely not here."""
+        base = 0
+        for level, size in enumerate(self.sizes):
+            place = int((_mixed(key, level) % np.uint64(size))[0])
+            (bits,) = self.entry("bits", base + place // 64)
+            if bits >> place % 64 & 1:
+                (rank,) = self.entry("ranks", base + place // 64)
+                return rank + (bits & ((1 << place % 64) - 1)).bit_count()
+            base += size // 64
+        return -1
+
     def ids(self, row: int) -> np.ndarray:
         """The ids of the document in a row, as unsigned 32-bit integers."""
-        start, end = int(self.starts[row]), int(self.starts[row + 1])
+        start, end = self.entry("starts", row, 2)
         raw = self.file.read_at((end - start) * self.width, start * self.width)
         return np.frombuffer(raw, f"<u{self.width}").astype("<u4")
 
     def get(self, key: int) -> list[np.ndarray]:
-        (row,), (n,) = self.find(np.array([key]))
+        """The ids of every document with this key. On average a key goes down less than
+        two levels, so the reads do not grow with the shard."""
+        own = np.array([key], "<i8").view("<u8")
+        number = self._number(own)
+        if number < 0 or self.entry("prints", number) != _print(own).tolist():
+            return []
+        (row,), (n,) = self.entry("rows", number), self.entry("copies", number)
         return [self.ids(r) for r in range(row, row + n)]
 
 
@@ -367,9 +399,10 @@ def read_shards(manifest: DataFrame, key: str = "doc_id") -> DataFrame:
         for batch in batches:
             for path, base in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 shard = Shard(path)
-                wanted = np.unique(shard.keys[shard.nulls :])
+                keys, starts = shard.whole("keys"), shard.whole("starts")
+                wanted = np.unique(keys[shard.nulls :])
                 rows, copies = shard.find(wanted)
-                if int(copies.sum()) + shard.nulls != len(shard.keys):
+                if int(copies.sum()) + shard.nulls != len(keys):
                     raise ValueError(f"the index of {path} does not fit its keys")
                 found = [(None, r) for r in range(shard.nulls)]
                 found += [(int(k), int(r) + i) for k, r, n in zip(wanted, rows, copies) for i in range(n)]
@@ -379,7 +412,7 @@ def read_shards(manifest: DataFrame, key: str = "doc_id") -> DataFrame:
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array([k for k, _ in part], pa.int64()),
-                            pa.array([base + int(shard.starts[r]) for _, r in part], pa.int64()),
+                            pa.array([base + int(starts[r]) for _, r in part], pa.int64()),
                             pa.array([len(i) for i in ids], pa.int64()),
                             pa.array([zlib.crc32(i.tobytes()) for i in ids], pa.int64()),
                         ],

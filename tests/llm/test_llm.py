@@ -204,6 +204,23 @@ def test_stream_emits_the_same_tokens():
         assert list(bpe.merges.stream(iter(symbols), bpe._sizes, window=32)) == bpe.merges.merge(symbols)
 
 
+def test_texts_come_in_pieces(monkeypatch, library):
+    with open(PATH) as file:
+        bpe = bpe_stream.codec(file.read())
+    rnd = random.Random(9)
+    text = " ".join("".join(rnd.choices("abcdefgé1.", k=rnd.randrange(1, 30))) for _ in range(400))
+    text = text[:3000] + "<|endoftext|>" + text[3000:] + "\x1d x\u3000y" + "q" * 2000 + " end"
+    want = library.encode(text, add_special_tokens=False).ids
+    for piece in (1, 50, 1000, 1 << 16):
+        monkeypatch.setattr(bpe_stream, "PIECE", piece)
+        parts = list(bpe.encode_pieces(text))
+        assert b"".join(parts) == np.array(want, np.uintc).tobytes()
+        assert len(parts) > 10 or piece > 50
+        machine = bpe.decoder()
+        told = [machine.feed(memoryview(p).cast("I")) for p in parts if p]
+        assert "".join(told) + machine.close() == library.decode(want, skip_special_tokens=False)
+
+
 def test_text_of_split_characters():
     machine = bpe_stream.ByteToText()
     assert "".join(machine.feed(bytes([b])) for b in "aé漢👩".encode()) + machine.close() == "aé漢👩"
@@ -473,6 +490,22 @@ def test_neighbours(spark):
         near = dict(zip(ids, score))
         assert all(abs(near[v] - s) < 1e-12 for v, s in zip(own.vec_id, own.score))
     assert hits / len(found) >= 0.9
+    assert found.groupby("query_id").compared.first().mean() < 0.5 * len(rows_)
+
+
+def test_trees_are_entered_at_the_longest_prefix():
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(300, 8))
+    forest = ann_forest.Forest(np.arange(300), x, trees=5)
+    queries = rng.normal(size=(40, 8))
+    strings = ann_forest.hash_strings(queries, np.zeros(40), 5)
+    got, order = forest._longest(strings), np.argsort(strings, axis=1)
+    for t in range(5):
+        for i in range(40):
+            shared = [64 - (int(s) ^ int(strings[t, i])).bit_length() for s in forest.strings[t]]
+            assert got[t, i] == max(shared)
+            a, b = (side[t, i] for side in forest._ranges(strings, order, int(got[t, i])))
+            assert b - a == shared.count(max(shared))
 
 
 def test_neighbours_of_awkward_rows(spark):
@@ -591,6 +624,11 @@ def test_shards(docs, empty, library, spark, tmp_path):
     store = token_shards.TokenStore(spark, f"file://{tmp_path}/ids")
     assert [x.tolist() for x in store.get(4)] == [i for k, i in coded if k == 4]
     assert len(store.get(6)) == 3 and store.get(10**9) == [] and store.get(-1) == []
+    # single entries were read, no part of an index as a whole
+    assert store._open and not any(shard._whole for shard in store._open.values())
+    for shard in store._open.values():
+        keys = np.unique(shard.whole("keys")[shard.nulls :])
+        assert [len(shard.get(int(k))) for k in keys] == shard.find(keys)[1].tolist()
     assert token_shards.read_shards(token_shards.write_shards(empty, f"file://{tmp_path}/none", PATH)).count() == 0
 
 
