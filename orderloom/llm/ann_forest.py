@@ -75,6 +75,8 @@ class Forest:
         order = np.argsort(ids, kind="stable")
         self.ids, self.x, self.trees = ids[order], x[order], trees
         self.norm = float(np.linalg.norm(self.x, axis=1).max())
+        #: vectors in single precision, the longest of length 1: good enough to choose by
+        self.units = (self.x / self.norm).astype(np.float32)
         extra = np.sqrt(np.maximum(self.norm**2 - (self.x**2).sum(1), 0))
         strings = hash_strings(self.x, extra, trees)
         self.rows = np.argsort(strings, axis=1, kind="stable")
@@ -109,11 +111,13 @@ class Forest:
         order = np.argsort(strings, axis=1)
         longest = self._longest(strings)
         ranges: dict[int, tuple[np.ndarray, np.ndarray]] = {}  # by number of digits, made when needed
-        norms = np.linalg.norm(queries, axis=1)
         entries, n = self.rows.ravel(), len(self.ids)
+        units = (queries / np.linalg.norm(queries, axis=1, keepdims=True)).astype(np.float32)
+        # products of units in single precision are off by less than this
+        margin = 2 * (self.x.shape[1] + 8) * 2.0**-23
         for i, (name, q) in enumerate(zip(query_ids, queries, strict=True)):
             seen = self.ids == name
-            best, scores, compared = np.zeros(0, np.int64), np.zeros(0), 0
+            best, cosines, compared = np.zeros(0, np.int64), np.zeros(0, np.float32), 0
             for digits in range(int(longest[:, i].max()), -1, -1):
                 if digits not in ranges:
                     ranges[digits] = self._ranges(strings, order, digits)
@@ -123,26 +127,29 @@ class Forest:
                 size = hi[entered, i] - lo[entered, i]
                 first = entered * n + lo[entered, i] - (np.cumsum(size) - size)
                 found = entries[np.arange(size.sum()) + np.repeat(first, size)]
-                new = np.unique(found[~seen[found]])
-                seen[new] = True
+                fresh = np.zeros(n, bool)
+                fresh[found] = True
+                fresh[seen] = False
+                seen |= fresh
+                new = np.flatnonzero(fresh)
                 compared += len(new)
                 best = np.concatenate([best, new])
-                # one product per row, summed in one order: the same in every block
-                scores = np.concatenate([scores, (self.x[new] * q).sum(1)])
-                if len(best) > k:
-                    keep = np.argpartition(-scores, k - 1)[:k]
-                    # all that are as good as the last one kept, ties by id
-                    keep = np.nonzero(scores >= scores[keep].min())[0]
-                    keep = keep[np.lexsort((self.ids[best[keep]], -scores[keep]))[:k]]
-                    best, scores = best[keep], scores[keep]
-                if len(best) == k and self._unseen(scores, norms[i], digits) <= miss:
-                    break
-            first = np.lexsort((self.ids[best], -scores))
+                cosines = np.concatenate([cosines, self.units[new] @ units[i]])
+                if len(best) >= k:
+                    # all that may be as good as the last one kept
+                    last = np.partition(cosines, -k)[-k]
+                    keep = cosines >= last - margin
+                    best, cosines = best[keep], cosines[keep]
+                    if self._unseen(cosines, digits) <= miss:
+                        break
+            # one exact product per row, summed in one order: the same in every block
+            scores = (self.x[best] * q).sum(1)
+            first = np.lexsort((self.ids[best], -scores))[:k]
             yield int(name), self.ids[best[first]], scores[first], compared
 
-    def _unseen(self, scores: np.ndarray, norm: float, digits: int) -> float:
+    def _unseen(self, cosines: np.ndarray, digits: int) -> float:
         """The mean chance, over vectors as near as those kept, to be unseen in all trees."""
-        same = 1 - np.arccos(np.clip(scores / (norm * self.norm), -1, 1)) / np.pi
+        same = 1 - np.arccos(np.clip(cosines, -1, 1)) / np.pi
         return float(((1 - same**digits) ** self.trees).mean())
 
 
