@@ -1,7 +1,7 @@
 """Approximate nearest neighbours by a forest of hash prefixes.
 
 Vectors are dealt into blocks of about ``BLOCK`` rows. A block holds a forest:
-each tree gives every vector a long hash string (64 signs of random
+each tree gives every vector a long hash string (32 signs of random
 projections) and keeps the strings in a sorted array. A query goes down each
 tree: its place in the sorted array has the entries with the longest common
 prefix on both sides, and their prefix, of a length of its own in each tree, is
@@ -43,7 +43,7 @@ from orderloom.plans.stage_store import write_stage
 BLOCK = 16_384
 QUERY_BLOCK = 1_024
 TREES = 160
-DIGITS = 64
+DIGITS = 32
 #: Mean chance to miss a vector that is as near as a kept neighbour.
 MISS = 0.1
 
@@ -54,18 +54,16 @@ def projections(width: int, trees: int) -> np.ndarray:
 
 
 def hash_strings(x: np.ndarray, extra: np.ndarray, trees: int) -> np.ndarray:
-    """(trees, rows) hash strings of 64 binary digits as numbers, first digit highest."""
+    """(trees, rows) hash strings of binary digits as numbers, first digit highest."""
     p = projections(x.shape[1], trees)
     signs = (x.astype(np.float32) @ p[:-1] + extra[:, None].astype(np.float32) * p[-1]) > 0
-    packed = np.packbits(signs, axis=1).reshape(len(x), trees, 8)
-    return np.ascontiguousarray(packed).view(">u8")[:, :, 0].astype(np.uint64).T.copy()
+    packed = np.packbits(signs, axis=1).reshape(len(x), trees, DIGITS // 8)
+    return np.ascontiguousarray(packed).view(">u4")[:, :, 0].astype(np.uint64).T.copy()
 
 
 def _bit_length(x: np.ndarray) -> np.ndarray:
     """The number of binary digits of each number, 0 for 0."""
-    high, low = x >> np.uint64(32), x & np.uint64(0xFFFFFFFF)
-    # halves are exact as doubles
-    return np.where(high > 0, 32 + np.frexp(high.astype(float))[1], np.frexp(low.astype(float))[1])
+    return np.frexp(x.astype(float))[1]  # hash strings are exact as doubles
 
 
 class Forest:
@@ -130,8 +128,10 @@ class Forest:
                 fresh = np.zeros(n, bool)
                 fresh[found] = True
                 fresh[seen] = False
-                seen |= fresh
                 new = np.flatnonzero(fresh)
+                if not len(new):
+                    continue
+                seen[new] = True
                 compared += len(new)
                 best = np.concatenate([best, new])
                 cosines = np.concatenate([cosines, self.units[new] @ units[i]])

@@ -502,7 +502,7 @@ def test_trees_are_entered_at_the_longest_prefix():
     got, order = forest._longest(strings), np.argsort(strings, axis=1)
     for t in range(5):
         for i in range(40):
-            shared = [64 - (int(s) ^ int(strings[t, i])).bit_length() for s in forest.strings[t]]
+            shared = [ann_forest.DIGITS - (int(s) ^ int(strings[t, i])).bit_length() for s in forest.strings[t]]
             assert got[t, i] == max(shared)
             a, b = (side[t, i] for side in forest._ranges(strings, order, int(got[t, i])))
             assert b - a == shared.count(max(shared))
