@@ -366,9 +366,10 @@ def _counts(
     else:
         rows = _per_action(part, held)
     total = {(s, a): (orders, found) for s, a, orders, found in before}
-    for r in rows.collect():  # one row per kind of change
-        orders, found = total.get((r[0], r[1]), (0, 0))
-        total[r[0], r[1]] = (orders + r[2], found + r[3])
+    every = F.collect_list(F.struct(*_ACTION, "orders", "entries"))
+    for solution, attribute, *more in rows.agg(every).first()[0]:  # one per kind of change
+        orders, found = total.get((solution, attribute), (0, 0))
+        total[solution, attribute] = (orders + more[0], found + more[1])
     return [[*action, *numbers] for action, numbers in total.items()]
 
 
