@@ -22,6 +22,18 @@ from orderloom.plans.stage_store import remove_stages, stage_paths, write_stage
 _LEFT: dict[str, list[str]] = {}
 
 
+def _tables_read(df: DataFrame) -> set[str]:
+    """The folders that a frame's plan reads, one entry per scan; no file is listed."""
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    found = set()
+    for i in range(leaves.length()):
+        leaf = leaves.apply(i)
+        if leaf.getClass().getSimpleName() == "LogicalRelation":
+            roots = leaf.relation().location().rootPaths()
+            found |= {roots.apply(k).toUri().getPath().lstrip("/") for k in range(roots.length())}
+    return found
+
+
 def _tidy(stage: Callable) -> Callable:
     """Before a stage starts, remove the intermediate tables of the stage before,
     whose result is stored by then - unless ``docs`` still reads one of them."""
@@ -31,9 +43,8 @@ def _tidy(stage: Callable) -> Callable:
         app = spark.sparkContext.applicationId
         left = _LEFT.pop(app, [])
         if left:
-            read = [f.removeprefix("file:").lstrip("/") for f in docs.inputFiles()]
-            inner = lambda p: p.removeprefix("file:").lstrip("/") + "/"
-            free = [p for p in left if not any(f.startswith(inner(p)) for f in read)]
+            read = _tables_read(docs)
+            free = [p for p in left if p.removeprefix("file:").lstrip("/") not in read]
             remove_stages(spark, free)
             left = [p for p in left if p not in free]
         before = stage_paths(spark)
