@@ -5,6 +5,9 @@ larger neighbours the smallest vertex it knows of; *small* - it tells its smalle
 neighbours. Each step is one grouping and one join, and the links shrink towards
 stars around the smallest vertex of each component in a number of rounds that
 grows with the logarithm of the longest chain. Rounds are cut by stage tables.
+
+Defined results: a link with a null end is no link; repeated links and links of a
+vertex to itself change nothing; no links give no components.
 """
 
 from __future__ import annotations

@@ -50,9 +50,10 @@ PROBE = "</s>[INST] ok [/INST]"
 
 def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    probe = spark.createDataFrame(
-        [(-1, 0, "user", PROBE), (-1, 1, "assistant", PROBE)], turns.schema
-    )
+    one = lambda turn, role: F.struct(F.lit(turn).alias("turn"), F.lit(role).alias("role"))
+    added = spark.range(1).select(F.explode(F.array(one(0, "user"), one(1, "assistant"))).alias("one"))
+    values = {"conv_id": F.lit(-1), "turn": F.col("one.turn"), "role": F.col("one.role"), "text": F.lit(PROBE)}
+    probe = added.select(*(values[f.name].cast(f.dataType).alias(f.name) for f in turns.schema))
     return chat_format.digests(chat_format.format_conversations(turns.union(probe)))
 
 
