@@ -30,7 +30,7 @@ def _tables_read(df: DataFrame) -> set[str]:
         leaf = leaves.apply(i)
         if leaf.getClass().getSimpleName() == "LogicalRelation":
             roots = leaf.relation().location().rootPaths()
-            found |= {roots.apply(k).toUri().getPath().lstrip("/") for k in range(roots.length())}
+            found |= {roots.apply(k).toUri().getPath() for k in range(roots.length())}
     return found
 
 
@@ -44,7 +44,8 @@ def _tidy(stage: Callable) -> Callable:
         left = _LEFT.pop(app, [])
         if left:
             read = _tables_read(docs)
-            free = [p for p in left if p.removeprefix("file:").lstrip("/") not in read]
+            inner = spark._jvm.org.apache.hadoop.fs.Path
+            free = [p for p in left if inner(p).toUri().getPath() not in read]
             remove_stages(spark, free)
             left = [p for p in left if p not in free]
         before = stage_paths(spark)
