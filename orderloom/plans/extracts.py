@@ -22,7 +22,7 @@ from ..sources import ledger
 from .group_joins import join_groups
 from .stage_store import write_stage
 
-BUCKETS = 256
+BUCKETS = 64
 BUCKET = "bucket"
 RUN = "run"
 REASON = "reason"
@@ -39,9 +39,14 @@ class Extract(NamedTuple):
 
 
 def _store(df: DataFrame, path: str, part: str, partition_by: list[str] | None = None) -> str:
-    """Write a folder of one of the table's parts; its name."""
+    """Write a folder of one of the table's parts; its name.
+
+    Rows that are partitioned are brought together first, in shares of about equal
+    bytes, so that not every task writes a file for every bucket.
+    """
     run = uuid.uuid4().hex
-    df.write.partitionBy(*partition_by or []).parquet(f"{path}/{part}/{RUN}={run}")
+    together = df.hint("rebalance", *partition_by) if partition_by else df
+    together.write.partitionBy(*partition_by or []).parquet(f"{path}/{part}/{RUN}={run}")
     return run
 
 
