@@ -59,10 +59,10 @@ def log_text(entry: str | LogText) -> LogText:
     return entry if isinstance(entry, LogText) else LogText(*fv.AUDIT_TEXTS[entry])
 
 
-def _texts(text: LogText, reason: Column | None) -> dict[str, Column]:
+def _texts(text: LogText) -> dict[str, Column]:
     return {
         "attribute": F.lit(text.attribute),
-        "reason": F.lit(text.reason) if reason is None else reason,
+        "reason": F.lit(text.reason),
         "solution": F.lit(text.solution),
         "source_table": F.lit(text.source_table),
     }
@@ -114,7 +114,7 @@ def audit_duplicates(
         firsts, total = known.firsts, known.table_keys
     return firsts.select(
         F.col(key).alias(fv.KEY),
-        *[text.alias(name) for name, text in _texts(log_text(entry), None).items()],
+        *[text.alias(name) for name, text in _texts(log_text(entry)).items()],
         F.lit(total).cast("bigint").alias("total_rows"),
         F.col("group_rows").cast("bigint").alias("problematic_rows"),
     )
@@ -153,28 +153,36 @@ def fused_entries(
         .groupBy(F.col(key).alias(fv.KEY))
         .agg(*counts, *reasons)
     )
+    # what differs between orders goes through the explode, the texts of the step after it
+    told = [log_text(s.entry) for s in steps]
     found = [
         F.when(
             F.col(f"__n{i}") > 0,
             F.struct(
-                *[
-                    text.alias(name)
-                    for name, text in _texts(
-                        log_text(s.entry), F.col(f"__why{i}") if s.reason else None
-                    ).items()
-                ],
-                total[s.table].alias("total_rows"),
-                F.when(F.col(fv.KEY).isNull(), 0)
-                .otherwise(F.col(f"__n{i}"))
-                .cast("bigint")
-                .alias("problematic_rows"),
-                F.lit(s.step).alias("step"),
+                F.lit(i).alias("i"),
+                (F.col(f"__why{i}") if s.reason else F.lit(None).cast("string")).alias("why"),
+                F.when(F.col(fv.KEY).isNull(), 0).otherwise(F.col(f"__n{i}")).cast("bigint").alias("rows"),
             ),
         )
         for i, s in enumerate(steps)
     ]
-    one = F.explode(F.array_compact(F.array(*found))).alias("e")
-    return per_key.select(fv.KEY, one).select(fv.KEY, "e.*")
+
+    def by_step(values: list[Column]) -> Column:
+        return F.get(F.array(*values), F.col("e.i"))
+
+    # without a reason of its own a step's reason is the row's, NULL too
+    fixed = [F.lit(None if s.reason else t.reason).cast("string") for s, t in zip(steps, told, strict=True)]
+    each = per_key.select(fv.KEY, F.explode(F.array(*found)).alias("e")).where(F.col("e").isNotNull())
+    return each.select(
+        fv.KEY,
+        by_step([F.lit(t.attribute) for t in told]).alias("attribute"),
+        F.coalesce(by_step(fixed), "e.why").alias("reason"),
+        by_step([F.lit(t.solution) for t in told]).alias("solution"),
+        by_step([F.lit(t.source_table) for t in told]).alias("source_table"),
+        by_step([total[s.table] for s in steps]).alias("total_rows"),
+        F.col("e.rows").alias("problematic_rows"),
+        by_step([F.lit(s.step) for s in steps]).alias("step"),
+    )
 
 
 # --- appending --------------------------------------------------------------
