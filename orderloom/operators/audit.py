@@ -128,11 +128,11 @@ def fused_entries(
 
     ``members`` says for each table, all of them row-local selections of
     ``df``, which rows it has. ``totals`` are the rows with a key that each of
-    them has; they are counted by a scan of their own if they are not known. The rows of a key are counted per change in one
-    grouping, on the map side first, so a key may occur any number of times;
-    what is shuffled are counts, the texts are added afterwards. A NULL key has
-    one entry per change, with a count of 0. The result has the columns of
-    :func:`audit_entries` and ``step``.
+    them has; they are counted by a scan of their own if they are not known.
+    The rows of a key are counted per change in one grouping, on the map side
+    first, so a key may occur any number of times; what is shuffled are counts,
+    the texts are added afterwards. A NULL key has one entry per change, with a
+    count of 0. The result has the columns of :func:`audit_entries` and ``step``.
     """
     has_key = F.col(key).isNotNull()
     if totals is None:
