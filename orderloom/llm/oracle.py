@@ -134,4 +134,199 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 from judged left join verdicts using (source)
 """
 
-ORACLE: dict[str, str] = {"op3_chat_format": OP3, "op4_source_mix": OP4, "op9_quality_rules": OP9}
+
+OP8 = rf"""
+with docs as (
+  select row_number() over () as row, doc_id, {_WORDS} as ws from documents
+), starts as (
+  select row, i, count(*) over (partition by span) as n from (
+    select row, i, md5(array_to_string(list_slice(ws, i, i + 34), ' ')) as span
+    from (select row, ws, unnest(range(1, len(ws) - 33)) as i from docs where len(ws) >= 35))
+), covered as (
+  select distinct row, unnest(range(i, i + 35)) as i from starts where n > 1
+), placed as (
+  select row, unnest(ws) as word, unnest(range(1, len(ws) + 1)) as i from docs
+), kept as (
+  select row, count(*) as n, string_agg(word, ' ' order by i) as kept
+  from placed anti join covered using (row, i) group by row
+)
+select doc_id, cast(len(ws) as bigint) as n_words, cast(len(ws) - coalesce(n, 0) as bigint) as n_removed,
+  sha256(coalesce(kept, '')) as kept_sha256
+from docs left join kept using (row)
+"""
+
+
+def _normal_words(text: str) -> str:
+    low = f"translate(coalesce({text}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return rf"[x for x in string_split_regex({low}, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+') if x <> '']"
+
+
+OP11 = f"""
+with docs as (
+  select row_number() over () as row, doc_id, {_normal_words("text")} as ws from documents
+), items as (
+  select cast(item_id as varchar) as item, {_normal_words("text")} as ws from benchmark
+), patterns as (
+  select distinct item, least(10, len(ws)) as size, array_to_string(list_slice(ws, i, i + 9), ' ') as pattern
+  from (select item, ws, unnest(range(1, greatest(2, len(ws) - 8))) as i from items where len(ws) > 0)
+), windows as (
+  select row, i, size, array_to_string(list_slice(ws, i, i + size - 1), ' ') as pattern from (
+    select row, ws, size, unnest(range(1, len(ws) - size + 2)) as i
+    from docs, (select distinct size from patterns) where len(ws) >= size)
+), found as (select row, i, size, item from windows join patterns using (size, pattern)
+), hit as (
+  select row, count(distinct place) as n_hit from (select row, unnest(range(i, i + size)) as place from found) group by row
+), listed as (
+  select row, count(*) as n_items, string_agg(item, ',' order by item) as ids
+  from (select distinct row, item from found where item is not null) group by row
+)
+select doc_id, cast(len(ws) as bigint) as n_words, cast(coalesce(n_hit, 0) as bigint) as n_hit,
+  cast(coalesce(n_items, 0) as bigint) as n_items, sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from docs left join hit using (row) left join listed using (row)
+"""
+
+
+def _crc32(keys: str) -> str:
+    """Common table expressions up to ``crcs`` (key, crc): the CRC-32 of each ASCII ``key``
+    of a query; for WITH RECURSIVE."""
+    return f"""
+bits as (
+  select i, i as c, 0 as step from range(256) t(i)
+  union all select i, case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, step + 1 from bits where step < 8
+), bytes as (select i, c from bits where step = 8
+), reading as (
+  select key, 1 as place, cast(4294967295 as bigint) as crc from ({keys})
+  union all select key, place + 1, xor(crc >> 8, bytes.c)
+  from reading join bytes on bytes.i = xor(crc, cast(ascii(substr(key, place, 1)) as bigint)) & 255 where place <= length(key)
+), crcs as (select key, xor(crc, 4294967295) as crc from reading where place = length(key) + 1
+)"""
+
+
+#: The state behind a user or assistant row, and the states that a kept row leads to.
+_NEXT = (2, 2, 3, 2)
+_KEPT = ({"s": 1, "u": 2}, {"u": 2}, {"a": 3}, {"u": 2})
+
+
+def _way(left: str, to: int, cost: str, letters: str, rows: str) -> str:
+    to_ = f"{left}[{to + 1}]"
+    return f"{{'c': {cost} + {to_}.c, 'a': '{letters}' || {to_}.a, 'r': {rows} || {to_}.r}}"
+
+
+def _made(state: int) -> str:
+    return f"'{'assistant' if state == 2 else 'user'}:'"
+
+
+def _used(state: int) -> str:
+    """The cheapest edit of a row from a state, least of equals; left: what follows."""
+    ways = [_way("b", state, "4", "D", "''")]
+    for head, to in _KEPT[state].items():
+        ways.append(f"case when stays and head = '{head}' then {_way('b', to, 'cut', 'K', 'role || chr(58) || text || chr(10)')} end")
+    again = _way("b", _NEXT[state], "3 + cut", "R", f"{_made(state)} || text || chr(10)")
+    return f"list_min([{', '.join(ways)}, case when stays then {again} end])"
+
+
+def _with_insertions(state: int) -> str:
+    one, two = _NEXT[state], _NEXT[_NEXT[state]]
+    rows = f"{_made(state)} || chr(10)"
+    both = f"{rows} || {_made(one)} || chr(10)"
+    return f"list_min([m[{state + 1}], {_way('m', one, '3', 'I', rows)}, {_way('m', two, '6', 'II', both)}])"
+
+
+OP12 = rf"""
+with recursive {_crc32("select distinct coalesce(cast(conv_id as varchar), ' ') || ':' || coalesce(cast(turn as varchar), ' ') as key from conversations")},
+damaged as (
+  select conv_id, turn, case when kind = 4 then 'user' else role end as role,
+    case when kind = 1 then '' when kind = 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text,
+    unnest(range(case when kind = 3 then 2 else 1 end)) as copy
+  from (
+    select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text, crc % 20 as kind
+    from conversations join crcs on key = coalesce(cast(conv_id as varchar), ' ') || ':' || coalesce(cast(turn as varchar), ' ')
+  ) where kind <> 0
+), ordered as (
+  select *, substr(role, 1, 1) as head, row_number() over (partition by conv_id order by turn nulls first, role, text) as n from damaged
+), faults as (
+  select *, lag(head) over (partition by conv_id order by n) as before,
+    case when not regexp_matches(text, '[^\x20\x09-\x0D]') then 'blank'
+      when row_number() over (partition by conv_id, role, text order by n) > 1 then 'duplicate'
+      when not regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') then 'truncated' else '' end as fault
+  from ordered
+), rows as (
+  select conv_id, n, role, text, head, fault in ('truncated', '') as stays, case when fault = 'truncated' then 3 else 0 end as cut from faults
+), best as (
+  select conv_id, max(n) + 1 as n, [
+    {{'c': 0, 'a': '', 'r': ''}},
+    {{'c': 6, 'a': 'II', 'r': 'user:' || chr(10) || 'assistant:' || chr(10)}},
+    {{'c': 3, 'a': 'I', 'r': 'assistant:' || chr(10)}},
+    {{'c': 0, 'a': '', 'r': ''}}] as b
+  from rows group by conv_id
+  union all
+  select conv_id, n, [{", ".join(_with_insertions(s) for s in range(4))}] as b
+  from (
+    select rows.conv_id, rows.n, [{", ".join(_used(s) for s in range(4))}] as m
+    from best join rows on rows.conv_id is not distinct from best.conv_id and rows.n = best.n - 1
+  )
+), figures as (
+  select conv_id, max(turn) - min(turn) + 1 - count(distinct turn) as gaps, sum(cast(fault = 'blank' as int)) as blank,
+    sum(cast(fault = 'duplicate' as int)) as duplicate, sum(cast(fault = 'truncated' as int)) as truncated,
+    sum(cast(before is not null and before || head not in ('su', 'ua', 'au') as int)) as illegal
+  from faults group by conv_id
+), convs as (select distinct conv_id from conversations)
+select convs.conv_id, cast(coalesce(gaps, 0) as bigint) as gaps, cast(coalesce(blank, 0) as bigint) as blank,
+  cast(coalesce(duplicate, 0) as bigint) as duplicate, cast(coalesce(truncated, 0) as bigint) as truncated,
+  cast(coalesce(illegal, 0) as bigint) as illegal, cast(coalesce(b[1].c, 0) as bigint) as cost, coalesce(b[1].a, '') as audit,
+  sha256(coalesce(left(b[1].r, greatest(length(b[1].r) - 1, 0)), '')) as repaired_sha256
+from convs left join figures on figures.conv_id is not distinct from convs.conv_id
+  left join best on best.conv_id is not distinct from convs.conv_id and best.n = 1
+"""
+
+# A run's windows of eight words are found again one period on: at least 16 words of it
+# have an equal word there. So stretches of such windows, by distance, are its candidates;
+# one inside another of a smaller distance has that as its period.
+OP13 = rf"""
+with recursive {_crc32("select distinct cast(doc_id as varchar) as key from documents where doc_id is not null")},
+docs as (
+  select row_number() over () as row, doc_id, ws, len(ws) as n, crc % 10 = 0 and len(ws) > 0 as planted,
+    case when len(ws) > 0 then (crc // 10) % len(ws) end as a, 3 + (crc // 10) % 8 as turns
+  from (select doc_id, {_WORDS} as ws from documents) left join crcs on key = cast(doc_id as varchar)
+), words as (
+  select row, i, ws[1 + case when planted and i >= a then a + (i - a) % (1 + (n - a) // turns) else i end] as word
+  from (select *, unnest(range(n)) as i from docs)
+), texts as (select row, list(word order by i) as ws from words group by row
+), grams as (
+  select row, i, md5(array_to_string(list_slice(ws, i + 1, i + 8), ' ')) as gram
+  from (select row, ws, unnest(range(len(ws) - 7)) as i from texts where len(ws) >= 24)
+), again as (
+  select x.row, x.i, y.i - x.i as q from grams x join grams y on x.row = y.row and x.gram = y.gram and x.i < y.i
+), stretches as (
+  select row, min(i) as start, count(*) + 7 + q as length, q as period
+  from (select *, i - row_number() over (partition by row, q order by i) as island from again)
+  group by row, q, island having count(*) + 7 + q >= greatest(24, 3 * q)
+), runs as (
+  select * from stretches s where not exists (
+    select 1 from stretches t where t.row = s.row and t.period < s.period
+      and t.start <= s.start and t.start + t.length >= s.start + s.length)
+), told as (
+  select row, count(*) as n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' order by start, period) as lines
+  from runs group by row
+), greatest_runs as (
+  select * from runs qualify row_number() over (partition by row order by length / cast(period as double) desc, start, period) = 1
+), dropped as (
+  select distinct row, unnest(range(start + period, start + length)) as i from runs
+), kept as (
+  select row, string_agg(word, ' ' order by i) as kept from words anti join dropped using (row, i) group by row
+)
+select doc_id, cast(coalesce(n_runs, 0) as bigint) as n_runs, cast(start as bigint) as start, cast(length as bigint) as length,
+  cast(period as bigint) as period, cast(1000 * length // period as bigint) as exponent_milli,
+  sha256(coalesce(lines, '')) as runs_sha256, sha256(coalesce(kept, '')) as collapsed_sha256
+from docs left join told using (row) left join greatest_runs using (row) left join kept using (row)
+"""
+
+ORACLE: dict[str, str] = {
+    "op3_chat_format": OP3,
+    "op4_source_mix": OP4,
+    "op8_substring_dedup": OP8,
+    "op9_quality_rules": OP9,
+    "op11_decontamination": OP11,
+    "op12_conversation_repair": OP12,
+    "op13_periodic_runs": OP13,
+}
