@@ -9,10 +9,13 @@ is held against 64 others by one exclusive-or per plane, and the differences
 are added by carry-save counters of one bit per lane. After every few planes the
 words whose lanes have all passed the radius are abandoned.
 
-Keys shared by very many fingerprints are dealt into pairs of parts, so no task
-holds more than two parts of one key. A block gives one link per fingerprint to
-the head of its group in the block, never all pairs; components are found over
-the links.
+Where very many fingerprints share a key, they are keyed again within it: what is
+left of them are 32 bits, of whose four pieces at least two agree for two near
+ones, so each goes into six smaller tables. Of these a key leaves 16 bits open, so
+none is shared by more than 65,536 fingerprints, and the work grows with the
+number of fingerprints, not with its square. Such a group is compared by pairs of
+blocks. A block gives one link per fingerprint to the head of its group in the
+block, never all pairs; components are found over the links.
 
 Defined results: words are separated by blanks, tabs and line ends; a text with
 fewer words than a shingle counts as one shingle, a text without words (or null)
@@ -24,6 +27,7 @@ a null component; an empty table gives an empty table.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +43,7 @@ SHINGLE = 3
 SEED = 42
 RADIUS = 2
 QUARTERS = 4
-#: Rows of a block; also the rows of one key that stay together.
+#: Rows of a block; a key that more rows share is divided.
 BLOCK = 4096
 #: Planes between two looks at which words can be abandoned.
 PLANES_A_LOOK = 8
@@ -177,16 +181,28 @@ def block_links(prints: np.ndarray, radius: int = RADIUS) -> list[tuple[int, int
     return links
 
 
-def _keys(value: Column, quarters: int = QUARTERS) -> Column:
-    """The pairs of quarters of a 64-bit number: (table, key)."""
-    width = 64 // quarters
-    part = [F.shiftrightunsigned(value, i * width).bitwiseAND((1 << width) - 1) for i in range(quarters)]
-    pairs = [(i, j) for i in range(quarters) for j in range(i + 1, quarters)]
+def links_by_blocks(prints: np.ndarray, radius: int = RADIUS, block: int = BLOCK) -> Iterator[list[tuple[int, int]]]:
+    """The links of any number of rows, a pair of blocks at a time."""
+    n = len(prints)
+    if n <= 2 * block:
+        yield block_links(prints, radius)
+        return
+    pieces = np.array_split(np.arange(n), -(-n // block))
+    for i, piece in enumerate(pieces):
+        for other in pieces[i + 1 :]:
+            rows = np.concatenate([piece, other])
+            yield [(int(rows[a]), int(rows[b])) for a, b in block_links(prints[rows], radius)]
+
+
+def _keys(value: Column, bits: int) -> Column:
+    """The pairs of quarters of a number of so many bits: (table, key, the bits left)."""
+    width = bits // QUARTERS
+    part = [F.shiftrightunsigned(value, i * width).bitwiseAND((1 << width) - 1) for i in range(QUARTERS)]
+    pairs = list(combinations(range(QUARTERS), 2))
+    # the other two quarters are the pair at the same place from the end
+    joined = [F.shiftleft(part[i], width).bitwiseOR(part[j]) for i, j in pairs]
     return F.array(
-        *(
-            F.struct(F.lit(t).alias("t"), F.shiftleft(part[i], width).bitwiseOR(part[j]).alias("key"))
-            for t, (i, j) in enumerate(pairs)
-        )
+        *(F.struct(F.lit(t).alias("t"), joined[t].alias("key"), joined[-1 - t].alias("rest")) for t in range(len(pairs)))
     )
 
 
@@ -196,31 +212,26 @@ def fingerprint_links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     if not 0 <= radius <= QUARTERS - 2:
         raise ValueError("pairs of four quarters find differences of at most two bits")
     ship_package(prints.sparkSession)
-    spread = prints.select("fp", F.explode(_keys(F.col("fp"))).alias("at")).select("fp", "at.t", "at.key")
+    spread = prints.select("fp", F.explode(_keys(F.col("fp"), 64)).alias("at")).select("fp", "at.*")
     counts = spread.groupBy("t", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     shared = spread.join(counts, ["t", "key"])
-    # parts of at most BLOCK rows of a key; a row meets each part once
-    parts = F.ceil(F.col("n") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")
-    dealt = (
-        shared.withColumn("parts", parts)
-        .withColumn("own", own)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        .select(
-            "t", "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "fp"
-        )
+    whole = F.struct(F.lit(-1).alias("t"), F.lit(0).cast("long").alias("key"), F.lit(0).cast("long").alias("rest"))
+    inner = F.when(F.col("n") > BLOCK, _keys(F.col("rest"), 32)).otherwise(F.array(whole))
+    dealt = shared.select("t", "key", F.explode(inner).alias("in"), "fp").select(
+        "t", "key", F.col("in.t").alias("s"), F.col("in.key").alias("inner"), "fp"
     )
-    group = ["t", "key", "i", "j"]
+    group = ["t", "key", "s", "inner"]
     dealt = dealt.repartition(*group).sortWithinPartitions(*group, "fp")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []  # whole groups of up to BLOCK rows, and the one that is open
+        held: list[np.ndarray] = []  # whole groups of fewer than BLOCK rows, and the one that is open
 
-        def linked(rows: np.ndarray) -> pa.RecordBatch:
+        def linked(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
             rows = np.unique(rows).view(np.uint64)
-            found = np.array(block_links(rows, radius), np.int64).reshape(-1, 2)
             signed = rows.view(np.int64)
-            return pa.RecordBatch.from_arrays([pa.array(signed[found[:, 0]]), pa.array(signed[found[:, 1]])], names=["a", "b"])
+            for links in links_by_blocks(rows, radius):
+                found = np.array(links, np.int64).reshape(-1, 2)
+                yield pa.RecordBatch.from_arrays([pa.array(signed[found[:, 0]]), pa.array(signed[found[:, 1]])], names=["a", "b"])
 
         for batch in batches:
             names = np.stack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in range(4)], 1)
@@ -233,11 +244,11 @@ def fingerprint_links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
                 held.append(prints[at:cut])
                 at = cut
                 if sum(map(len, held)) >= BLOCK:
-                    yield linked(np.concatenate(held))
+                    yield from linked(np.concatenate(held))
                     held = []
             held.append(prints[at:])
         if held:
-            yield linked(np.concatenate(held))
+            yield from linked(np.concatenate(held))
 
     return dealt.mapInArrow(run, "a bigint, b bigint").distinct()
 

@@ -458,13 +458,32 @@ def test_planes_find_all_near_rows(n):
     assert sorted(simhash_planes.block_links(x)) == want
 
 
-def test_hot_keys_are_dealt_into_parts(spark, monkeypatch):
+@pytest.mark.parametrize("n, block", [(700, 64), (129, 64), (128, 64), (50, 7)])
+def test_blocks_of_a_large_group(n, block):
+    rng = np.random.default_rng(n)
+    x = np.unique(rng.integers(0, 2**12, n, dtype=np.uint64) << np.uint64(20))
+    head = plain_components([int(v) for v in x])
+    found = {i: i for i in range(len(x))}
+    for a, b in (link for links in simhash_planes.links_by_blocks(x, 2, block) for link in links):
+        a, b = found[a], found[b]
+        found = {k: min(a, b) if v in (a, b) else v for k, v in found.items()}
+    assert [int(x[found[i]]) for i in range(len(x))] == [head[int(v)] for v in x]
+
+
+@pytest.mark.parametrize("at", [0, 8, 16, 24, 40, 48])
+def test_hot_keys_are_divided(spark, monkeypatch, at):
     monkeypatch.setattr(simhash_planes, "BLOCK", 16)
-    values = sorted({(1 << a) ^ (1 << b) for a in range(16) for b in range(16)} | {5 << 40})
+    rnd = random.Random(at)
+    near = {((1 << a) ^ (1 << b)) << at for a in range(16) for b in range(16)}
+    far = {rnd.getrandbits(16) << at for _ in range(200)}
+    values = sorted(v - (v >> 63 << 64) for v in near | far | {5 << 40})
     links = simhash_planes.fingerprint_links(spark.createDataFrame([(v,) for v in values], "fp long"))
     roots = {r["vertex"]: r["root"] for r in components.components(links).collect()}
-    head = plain_components(values)
-    assert {v: h for v, h in head.items() if v != h} == roots
+    head = plain_components([v % 2**64 for v in values])
+    named = {}
+    for v in values:
+        named.setdefault(roots.get(v, v), set()).add(head[v % 2**64])
+    assert all(len(h) == 1 for h in named.values()) and len(named) == len(set(head.values()))
 
 
 def test_components_of_a_long_chain(spark):
